@@ -2,6 +2,6 @@
 
 
 def statements() -> dict[str, str]:
-    from oracle import models, reports
+    from oracle import measures, models, reports
 
-    return {**models.Q, **reports.Q}
+    return {**models.Q, **reports.Q, **measures.Q}

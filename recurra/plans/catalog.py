@@ -7,22 +7,29 @@ compose their model from the raw entities each time; the others read stored mode
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import tempfile
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurra.functions.numbers import rnd
-from recurra.operators import attribution, customers, economics, mrr, plan_history, retention, subscriptions
+from pyspark.sql import types as T
+
+from recurra.functions.numbers import cents_to_dollars, decay, divide_or, rnd
+from recurra.operators import attribution, customers, economics, mrr, plan_history, retention, risk, subscriptions
 from recurra.plans import (
-    channel_reports, churn_reports, cohort_reports, lifecycle_reports, market_reports, performance_reports,
-    roi_reports,
+    channel_reports, checks, churn_reports, cohort_reports, datasets, kpi, lifecycle_reports, market_reports,
+    performance_reports, roi_reports,
 )
-from recurra.plans.build import Warehouse
+from recurra.plans.build import LAYERS, Warehouse
 from recurra.settings import Settings
-from recurra.sources.io import plain_types
+from recurra.sources import lookups
+from recurra.sources.io import (
+    coerce_columns, export_marts, plain_types, read_mart_extract, read_raw, register, to_extract, write_mart,
+)
 from recurra.sources.testbed import Testbed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +75,11 @@ def _rounded(df: DataFrame, names: list[str], places: int = 6) -> DataFrame:
     return df.withColumns({n: rnd(F.col(n), places) for n in names})
 
 
+def _kpi_rounded(df: DataFrame) -> DataFrame:
+    """Every DOUBLE measure cut to six decimals."""
+    return _rounded(df, [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)])
+
+
 # --- datasets -----------------------------------------------------------------------
 
 for _name, _table in {
@@ -201,3 +213,220 @@ _report("q33_penetration_by_size", market_reports.penetration_by_size, "dim_cust
 _report("q34_revenue_by_country", market_reports.revenue_by_country, "dim_customers")
 _report("q35_industry_by_tier", market_reports.industry_by_tier, "dim_customers")
 _report("q36_segment_health", market_reports.segment_health, "dim_customers")
+
+
+# --- KPI measures ---------------------------------------------------------------------
+
+_report("k01_k23_revenue_measures", lambda f: _kpi_rounded(kpi.revenue_kpis(f)), "fct_mrr")
+_report("k01_k23_revenue_measures_filled", lambda f: _kpi_rounded(kpi.revenue_kpis(f)), "fct_mrr_filled")
+_report("k01_k23_scope_measures", lambda f: _kpi_rounded(kpi.scope_kpis(f, dt.date(1999, 1, 1), dt.date(1999, 12, 1))), "fct_mrr")
+_report("k24_k25_customer_measures", lambda d: _kpi_rounded(kpi.customer_kpis(d)), "dim_customers")
+_report("k26_k33_unit_economics", lambda e: _kpi_rounded(kpi.economics_kpis(e)), "rpt_unit_economics")
+_report(
+    "k34_k36_efficiency",
+    lambda f, e: _kpi_rounded(kpi.efficiency_kpis(kpi.revenue_kpis(f), e)), "fct_mrr_filled", "rpt_unit_economics",
+)
+_report("k37_k40_churn_risk", lambda r, f: _kpi_rounded(kpi.risk_kpis(r, f)), "rpt_churn_risk", "fct_mrr")
+_report("k41_k43_cohorts", lambda r: _kpi_rounded(kpi.cohort_kpis(r)), "rpt_cohort_retention")
+_report("k41_k43_cohorts_by_period", lambda r: _kpi_rounded(kpi.cohort_kpis(r, ["period_label"])), "rpt_cohort_retention")
+_report("k47_customers_by_industry", lambda d: _kpi_rounded(kpi.customer_kpis(d, ["industry"])), "dim_customers")
+_report("k48_subscriptions", lambda s: kpi.subscription_kpis(s, ["plan_tier"]), "dim_subscriptions")
+_report("k49_k50_stored_measures", lambda f: _kpi_rounded(kpi.stored_kpis(f)), "fct_mrr_filled")
+_report("k51_economics_with_total", lambda e: _kpi_rounded(kpi.economics_kpis(e, True)), "rpt_unit_economics")
+_report("k52_risk_by_industry", lambda r, f: _kpi_rounded(kpi.risk_kpis(r, f, ["industry"])), "rpt_churn_risk", "fct_mrr")
+
+
+@query("v15_revenue_by_channel")
+def _(w: Warehouse) -> DataFrame:
+    by = ["acquisition_channel"]
+    monthly = kpi.monthly_by(w.table("int_spine_filled_mrr"), w.table("dim_customers"), by)
+    return _kpi_rounded(kpi.revenue_kpis(monthly, by))
+
+
+@query("v15_revenue_by_tier_and_size")
+def _(w: Warehouse) -> DataFrame:
+    by = ["current_plan_tier", "company_size"]
+    monthly = kpi.monthly_by(w.table("int_mrr_movements"), w.table("dim_customers"), by)
+    return _kpi_rounded(kpi.scope_kpis(monthly, by=by))
+
+
+# --- documented metrics ---------------------------------------------------------------
+
+_report("n01_point_in_time_mrr", kpi.point_in_time_mrr, "dim_subscriptions")
+_report("n02_net_new_both_ways", kpi.net_new_both_ways, "fct_mrr_filled")
+_report("n03_simple_ltv", kpi.lifetime_value, "fct_mrr_filled")
+_report("n03_historical_ltv", lambda d: kpi.historical_ltv(d, ["acquisition_channel"]), "dim_customers")
+
+
+@query("n04_cost_per_acquisition")
+def _(w: Warehouse) -> DataFrame:
+    """Spend stands in for a cost ledger: every touch costs a tenth of the channel's typical cost."""
+    channels = w.table("marketing_channels")
+    touches = w.table("int_attribution_touchpoints").groupBy("channel_id").agg(F.count("*").alias("n"))
+    spend = touches.join(channels, "channel_id").select(
+        F.col("channel_name").alias("acquisition_channel"),
+        F.lit(0).cast("decimal(18,2)").alias("sales_cost"),
+        (F.col("n") * F.col("typical_cac") / 10).cast("decimal(18,2)").alias("marketing_cost"),
+    )
+    return economics.cost_per_acquisition(spend, w.table("dim_customers"))
+
+
+_report("n05_benchmark_bands", kpi.benchmark_bands, "fct_mrr")
+_report("n05_payback_bands", kpi.payback_bands, "rpt_unit_economics")
+_report("n06_health_score", risk.health_score, "dim_customers", settings=True)
+_register("n07_weekly_retention", lambda w: kpi.weekly_retention(_activity(w)))
+_report("n08_run_rate", kpi.recurring_run_rate, "fct_mrr")
+
+# --- report datasets ------------------------------------------------------------------
+
+_report("v01_executive_row", lambda f, e: _kpi_rounded(datasets.executive_row(f, e)), "fct_mrr_filled", "rpt_unit_economics")
+_report("v02_mrr_trend", datasets.mrr_trend, "fct_mrr")
+_report("v03_waterfall_steps", datasets.waterfall_steps, "fct_mrr")
+_report("v04_arr_by_tier", datasets.arr_by_tier, "dim_subscriptions")
+_report("v05_trial_split", datasets.trial_split, "dim_customers")
+_report(
+    "v06_plan_progression_matrix",
+    lambda d: datasets.plan_progression_matrix(d, [p[1] for p in lookups.PLAN_TIERS]), "dim_customers",
+)
+_report("v07_expansion_vs_contraction", datasets.expansion_versus_contraction, "fct_mrr")
+_report("v08_channel_points", datasets.channel_points, "rpt_unit_economics")
+_report("v09_industry_tier_matrix", datasets.industry_tier_matrix, "dim_customers")
+_report("v09_market_cards", datasets.market_cards, "dim_customers")
+_report("v10_segment_points", lambda d: datasets.segment_points(market_reports.segment_health(d)), "dim_customers")
+_report("v11_risk_bands", datasets.risk_band_counts, "rpt_churn_risk")
+_report("v12_risk_drivers", lambda r: _kpi_rounded(datasets.risk_drivers(r)), "rpt_churn_risk")
+_report("v13_cohort_heatmap", datasets.cohort_heatmap, "rpt_cohort_retention")
+_report("v14_risk_accounts", datasets.risk_accounts, "rpt_churn_risk")
+_report("v15_slicer_values", datasets.slicer_values, "dim_customers", "fct_mrr")
+_report(
+    "v16_last_refresh",
+    lambda f: datasets.last_refresh(datasets.stamped(f, dt.datetime.combine(SETTINGS.as_of, dt.time()))), "fct_mrr",
+)
+
+
+def _bounds(w: Warehouse) -> DataFrame:
+    return w.lazy("stg_subscription_events").agg(F.min("event_date").alias("first"), F.max("event_date").alias("last"))
+
+
+_register("v17_calendar", lambda w: datasets.calendar(_bounds(w)))
+_register(
+    "v18_star_view",
+    lambda w: datasets.star_view(
+        w.table("fct_subscription_events"), w.table("dim_customers"), w.table("dim_subscriptions"),
+        datasets.calendar(_bounds(w)),
+    ),
+)
+
+# --- building blocks --------------------------------------------------------------------
+
+_register("m01_day_spine", lambda w: datasets.date_spine(_bounds(w), "day"))
+_register("m01_week_spine", lambda w: datasets.date_spine(_bounds(w), "week"))
+_register("m01_month_spine", lambda w: datasets.date_spine(_bounds(w), "month"))
+
+
+@query("m02_divide_or_default")
+def _(w: Warehouse) -> DataFrame:
+    growth = divide_or(F.col("net_new_mrr"), F.col("churned_mrr"), 0.0)
+    return w.table("fct_mrr").select("month_key", rnd(growth, 6).alias("net_new_per_churned"))
+
+
+@query("m03_cents_to_dollars")
+def _(w: Warehouse) -> DataFrame:
+    cents = (F.col("amount") * 100).cast("bigint")
+    return w.lazy("stg_payments").select("payment_id", cents_to_dollars(cents).alias("amount_dollars"))
+
+
+@query("m07_decay_weight")
+def _(w: Warehouse) -> DataFrame:
+    weight = rnd(decay(F.col("days_to_conversion"), w.settings.half_life_days), 6)
+    return w.lazy("stg_marketing_touches").select("touch_id", weight.alias("decay_weight"))
+
+
+_report("a09_journey_paths", attribution.journey_paths, "int_attribution_touchpoints")
+_report(
+    "a10_exact_median", lambda h: lifecycle_reports.time_to_value(h, exact=True).select("median_days_to_paid"),
+    "int_customer_subscription_history",
+)
+_report("f30_feature_adoption", datasets.feature_adoption, "dim_subscriptions", "plan_tiers")
+
+
+@query("d08_attribution_renormalised")
+def _(w: Warehouse) -> DataFrame:
+    points = attribution.attribution_touchpoints(
+        w.lazy("stg_marketing_touches"), w.lazy("marketing_channels"), w.lazy("stg_customers"),
+        w.lazy("stg_subscriptions"), w.settings, renormalise=True,
+    )
+    sums = points.groupBy("customer_id").agg(F.sum("time_decay_weight").alias("decay_sum"))
+    return _rounded(sums, ["decay_sum"])
+
+
+# --- sources and sinks --------------------------------------------------------------------
+
+
+@query("s01_raw_csv")
+def _(w: Warehouse) -> DataFrame:
+    """Raw customers written as headed CSV and read back as text."""
+    path = f"{w.folder}/csv/customers"
+    w.table("raw_customers").write.mode("overwrite").option("header", True).csv(path, quoteAll=False)
+    return read_raw(w.spark, path, "customers").select("customer_id", "company_name", "signup_date", "trial_end_date")
+
+
+@query("s03_month_partitions")
+def _(w: Warehouse) -> DataFrame:
+    """Events stored by month; a month filter reads only its folders."""
+    path = f"{w.folder}/by_month/fct_subscription_events"
+    write_mart(w.table("fct_subscription_events"), path, month_of="event_date")
+    stored = w.spark.read.parquet(path).where(F.col("month_key_part").between("1999-01", "1999-06"))
+    return stored.groupBy(F.col("month_key_part").cast("string").alias("month_key")).agg(F.count("*").alias("events"))
+
+
+@query("s04_sql_view")
+def _(w: Warehouse) -> DataFrame:
+    register(w.table("fct_mrr"), "fct_mrr")
+    return w.spark.sql("SELECT month_key, ending_mrr, active_customers FROM fct_mrr WHERE active_customers > 0")
+
+
+@query("s05_mart_extracts")
+def _(w: Warehouse) -> DataFrame:
+    """The monthly fact exported in extract form and imported with declared types."""
+    paths = export_marts({"fct_mrr": to_extract(w.table("fct_mrr"), "fct_mrr")}, f"{w.folder}/extracts")
+    return read_mart_extract(w.spark, paths[0], "fct_mrr")
+
+
+@query("s06_coerce_columns")
+def _(w: Warehouse) -> DataFrame:
+    """Raw payments typed by what their cells hold."""
+    return coerce_columns(w.table("raw_payments").select("payment_id", "amount", "payment_date", "status"))
+
+
+@query("s07_export_bundle")
+def _(w: Warehouse) -> DataFrame:
+    """Rows per exported table, counted from the written files."""
+    names = LAYERS["marts"]
+    flat = {n: plain_types(w.table(n)) for n in names}
+    paths = export_marts(flat, f"{w.folder}/bundle")
+    counts = [
+        w.spark.read.csv(p, header=True, schema=flat[n].schema).agg(F.count("*").alias("rows")).select(F.lit(n).alias("table"), "rows")
+        for n, p in zip(names, paths)
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+# --- checks -------------------------------------------------------------------------------
+
+_register("t01_unique", lambda w: checks.violations(w.table, "unique"))
+_register("t02_not_null", lambda w: checks.violations(w.table, "not_null"))
+_register("t03_accepted_values", lambda w: checks.violations(w.table, "accepted_values"))
+_register(
+    "t04_relationships",
+    lambda w: checks.orphans(w.table("raw_subscriptions"), "customer_id", w.table("raw_customers"), "customer_id").select(
+        "subscription_id", "customer_id"
+    ),
+)
+_report("t05_balance", checks.unbalanced_months, "fct_mrr")
+_report("t05_balance_filled", checks.unbalanced_months, "fct_mrr_filled")
+_report("t06_attribution_weights", checks.unbalanced_weights, "int_attribution_touchpoints")
+_report("t07_churn_score", checks.invalid_scores, "rpt_churn_risk")
+_report("t08_cohort_retention", checks.invalid_retention, "rpt_cohort_retention")
+_report("t09_unit_economics", checks.invalid_economics, "rpt_unit_economics")
+_register("t10_suite", lambda w: checks.run_suite(w.table))
