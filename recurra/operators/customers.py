@@ -11,32 +11,20 @@ from recurra.functions.numbers import count_where, mean, money, pct, rnd, sum_wh
 from recurra.settings import Settings
 
 
-def current_subscription(subscriptions: DataFrame) -> DataFrame:
-    """Each customer's most recently created subscription.
+def subscription_rollup(subscriptions: DataFrame) -> DataFrame:
+    """Latest subscription and history of each customer, in one pass.
 
-    An aggregate over whole rows rather than a ranked window: partial results combine
-    before the shuffle, so a customer with very many subscriptions stays spread out.
+    The latest row is the greatest by (created_at, subscription_id). An aggregate, unlike
+    a ranked window, combines before the shuffle, so a customer with very many
+    subscriptions stays spread out. ``subscription_id`` is unique (checked by T1), so a
+    plain count is the distinct count.
     """
     row = F.struct(
         "created_at", "subscription_id", "plan_id", "status", "billing_cycle", "mrr", "start_date",
         "subscription_length_days",
     )
-    latest = subscriptions.groupBy("customer_id").agg(F.max(row).alias("s"))
-    return latest.select(
-        "customer_id",
-        F.col("s.subscription_id").alias("current_subscription_id"),
-        F.col("s.plan_id").alias("current_plan_id"),
-        F.col("s.status").alias("current_status"),
-        F.col("s.billing_cycle").alias("current_billing_cycle"),
-        F.col("s.mrr").alias("current_mrr"),
-        F.col("s.start_date").alias("current_subscription_start"),
-        F.col("s.subscription_length_days").alias("current_subscription_tenure_days"),
-    )
-
-
-def subscription_history(subscriptions: DataFrame) -> DataFrame:
-    """D17. ``subscription_id`` is unique (checked by T1), so a plain count is the distinct count."""
     return subscriptions.groupBy("customer_id").agg(
+        F.max(row).alias("latest"),
         F.count("subscription_id").alias("total_subscriptions"),
         F.min("start_date").alias("first_subscription_date"),
         F.max("start_date").alias("latest_subscription_date"),
@@ -44,6 +32,32 @@ def subscription_history(subscriptions: DataFrame) -> DataFrame:
     )
 
 
+_CURRENT = {
+    "current_subscription_id": "subscription_id",
+    "current_plan_id": "plan_id",
+    "current_status": "status",
+    "current_billing_cycle": "billing_cycle",
+    "current_mrr": "mrr",
+    "current_subscription_start": "start_date",
+    "current_subscription_tenure_days": "subscription_length_days",
+}
+_HISTORY = ["total_subscriptions", "first_subscription_date", "latest_subscription_date", "churn_count"]
+
+
+def _current_columns() -> list:
+    return [F.col(f"latest.{source}").alias(name) for name, source in _CURRENT.items()]
+
+
+def current_subscription(subscriptions: DataFrame) -> DataFrame:
+    """Each customer's most recently created subscription."""
+    return subscription_rollup(subscriptions).select("customer_id", *_current_columns())
+
+
+def subscription_history(subscriptions: DataFrame) -> DataFrame:
+    """D17."""
+    return subscription_rollup(subscriptions).select("customer_id", *_HISTORY)
+
+
 def event_metrics(events: DataFrame) -> DataFrame:
     """D18."""
     kind, on = F.col("event_category"), F.col("event_date")
@@ -82,12 +96,11 @@ def dim_customers(
     plans: DataFrame,
     settings: Settings,
 ) -> DataFrame:
-    """One row per customer; four aggregates by customer_id, then left joins on that key."""
+    """One row per customer; three aggregates by customer_id, then left joins on that key."""
     today = settings.as_of
     wide = customers
     for side in (
-        current_subscription(subscriptions),
-        subscription_history(subscriptions),
+        subscription_rollup(subscriptions).select("customer_id", *_current_columns(), *_HISTORY),
         event_metrics(events),
         payment_metrics(payments),
     ):

@@ -54,6 +54,7 @@ class Warehouse:
         self.settings = settings or Settings()
         self._plans, self._channels = plans, channels
         self._kept: dict[str, DataFrame] = {}
+        self._composed: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._kept:
@@ -66,9 +67,10 @@ class Warehouse:
         return self._kept[name]
 
     def lazy(self, name: str) -> DataFrame:
-        if name.startswith("raw_"):
-            return self.table(name)
-        return self._compose(name, self.lazy)
+        if name not in self._composed:
+            shared = name.startswith("raw_") or name in LAYERS["seeds"]
+            self._composed[name] = self.table(name) if shared else self._compose(name, self.lazy)
+        return self._composed[name]
 
     def _compose(self, name: str, t: Callable[[str], DataFrame]) -> DataFrame:
         s = self.settings

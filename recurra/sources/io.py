@@ -103,16 +103,16 @@ def export_marts(tables: dict[str, DataFrame], folder: str) -> list[str]:
 
 def plain_types(df: DataFrame) -> DataFrame:
     """Exchange form: decimals as double, counts as bigint, dates and timestamps as ISO text."""
-    out = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+    def form(f: T.StructField) -> str:
+        name = f"`{f.name}`"
         if isinstance(f.dataType, T.DecimalType):
-            c = c.cast("double")
-        elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            c = c.cast("bigint")
-        elif isinstance(f.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
-        elif isinstance(f.dataType, T.TimestampType):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-        out.append(c.alias(f.name))
-    return df.select(*out)
+            return f"cast({name} as double) as {name}"
+        if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
+            return f"cast({name} as bigint) as {name}"
+        if isinstance(f.dataType, T.DateType):
+            return f"cast({name} as string) as {name}"
+        if isinstance(f.dataType, T.TimestampType):
+            return f"date_format({name}, 'yyyy-MM-dd HH:mm:ss') as {name}"
+        return name
+
+    return df.selectExpr(*[form(f) for f in df.schema.fields])
