@@ -52,7 +52,7 @@ def warehouse(spark: SparkSession, path: str) -> Warehouse:
     key = (spark.sparkContext.applicationId, path)
     if key not in _open:
         folder = f"{scratch(spark)}/recurra-{hashlib.sha1(path.encode()).hexdigest()[:12]}"
-        _open[key] = Warehouse(spark, Testbed(spark, path, SETTINGS).entity, SETTINGS, folder=folder)
+        _open[key] = Warehouse(spark, Testbed(spark, path, SETTINGS, folder).entity, SETTINGS, folder=folder)
     return _open[key]
 
 

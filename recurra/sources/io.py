@@ -24,12 +24,16 @@ def read_seed(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def write_mart(df: DataFrame, path: str, mode: str = "overwrite", month_of: str | None = None) -> None:
-    """S3: write a mart as parquet, by month folder when ``month_of`` names a date column."""
+    """S3: write a mart as parquet, by month folder when ``month_of`` names a date column.
+
+    Rows are rebalanced by month first: few tasks write each folder, and adaptive
+    execution cuts a heavy month into several files and joins light ones.
+    """
     if month_of is None:
         df.write.mode(mode).parquet(path)
         return
     keyed = df.withColumn("month_key_part", month_key(F.col(month_of)))
-    keyed.write.mode(mode).partitionBy("month_key_part").parquet(path)
+    keyed.hint("rebalance", F.col("month_key_part")).write.mode(mode).partitionBy("month_key_part").parquet(path)
 
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame:

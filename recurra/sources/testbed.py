@@ -38,12 +38,18 @@ def _stamp(ts: Column) -> Column:
 
 
 class Testbed:
-    """Reads the given tables under ``path`` and maps them to the five raw entities."""
+    """Reads the given tables under ``path`` and maps them to the five raw entities.
+
+    Three entities share one ordered timeline; with a ``folder`` it is written there once.
+    """
 
     __test__ = False
 
-    def __init__(self, spark: SparkSession, path: str, settings: Settings | None = None):
-        self.spark, self.path, self.settings = spark, path, settings or Settings()
+    def __init__(
+        self, spark: SparkSession, path: str, settings: Settings | None = None, folder: str | None = None
+    ):
+        self.spark, self.path, self.settings, self.folder = spark, path, settings or Settings(), folder
+        self._kept: DataFrame | None = None
 
     def _table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}.parquet")
@@ -91,7 +97,13 @@ class Testbed:
         )
 
     def _timeline(self) -> DataFrame:
-        return number_subscriptions(self.plan_states(), "custkey", self.settings)
+        if self._kept is None:
+            df = number_subscriptions(self.plan_states(), "custkey", self.settings)
+            if self.folder is not None:
+                df.write.mode("overwrite").parquet(f"{self.folder}/timeline")
+                df = self.spark.read.parquet(f"{self.folder}/timeline")
+            self._kept = df
+        return self._kept
 
     def _subscription_id(self) -> Column:
         return F.when(

@@ -63,8 +63,12 @@ def test_calendar_labels(spark):
 
 
 def test_safe_parsing(spark):
-    got = values(spark, "x string", [("not-a-date",), ("2024-02-29",), ("2023-02-29",), (None,)], dates.parse_date(F.col("x")))
-    assert got == [None, D(2024, 2, 29), None, None]
+    texts = ["not-a-date", "2024-02-29", "2023-02-29", "2024-2-9", "2024-02-09 x", "2024", "", None]
+    got = values(spark, "x string", [(t,) for t in texts], dates.parse_date(F.col("x")))
+    assert got == [None, D(2024, 2, 29), None, D(2024, 2, 9), None, None, None, None]
+    texts = ["2024-01-31 10:20:30", "2024-01-31", "2024-01-31T10:20:30", "2024-01-31 24:00:00", "2024-1-1 1:2:3", "2024-01-31 10:20:30Z"]
+    got = values(spark, "x string", [(t,) for t in texts], dates.parse_timestamp(F.col("x")))
+    assert got == [dt.datetime(2024, 1, 31, 10, 20, 30), None, None, None, dt.datetime(2024, 1, 1, 1, 2, 3), None]
 
 
 def test_event_categories(spark):
