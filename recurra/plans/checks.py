@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recurra.functions import rules
-from recurra.functions.numbers import count_where, rnd
+from recurra.functions.numbers import rnd
 
 STATUSES = ["active", "churned"]
 # Columns that must be unique, filled, or hold one of a list of values, per table.
@@ -142,35 +142,29 @@ def table_summary(df: DataFrame, table: str) -> DataFrame:
     Where a key must be unique, rows shrink to one per key first, keeping how many of
     them break each other check, so uniqueness costs no second read.
     """
-    nulls = required(table)
-    allowed = ACCEPTED.get(table, {})
-    flags = {f"not_null|{c}": F.col(c).isNull() for c in nulls}
-    flags |= {f"accepted_values|{c}": ~F.col(c).isin(v) for c, v in allowed.items()}
-    counted = [count_where(cond).alias(name) for name, cond in flags.items()]
+    def listed(values: list[str]) -> str:
+        return ", ".join(f"'{v}'" for v in values)
+
+    checks = [("not_null", c, f"{c} IS NULL") for c in required(table)]
+    checks += [("accepted_values", c, f"{c} NOT IN ({listed(v)})") for c, v in ACCEPTED.get(table, {}).items()]
+    found = [F.expr(f"count_if({test}) AS v{i}") for i, (_, _, test) in enumerate(checks)]
     if table in UNIQUE:
         key = UNIQUE[table]
-        name = f"unique|{key}"
-        per_key = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"), *counted)
-        summed = per_key.agg(
-            count_where(F.col("_key").isNotNull() & (F.col("_n") > 1)).alias(name),
-            *[F.sum(F.col(f"`{c}`")).alias(c) for c in flags],
-        )
-        names = [name, *flags]
+        per_key = df.groupBy(F.expr(f"{key} AS _key")).agg(F.expr("count(*) AS _n"), *found)
+        sums = [F.expr(f"coalesce(sum(v{i}), 0) AS v{i}") for i in range(len(checks))]
+        totals = per_key.agg(*sums, F.expr(f"count_if(_key IS NOT NULL AND _n > 1) AS v{len(checks)}"))
+        checks = [*checks, ("unique", key, "")]
     else:
-        summed, names = df.agg(*counted), list(flags)
-    rows = [
-        F.struct(
-            F.lit(n.split("|")[0]).alias("check"), F.lit(n.split("|")[1]).alias("column"),
-            F.coalesce(F.col(f"`{n}`"), F.lit(0)).cast("bigint").alias("failures"),
-        )
-        for n in names
-    ]
-    return summed.select(F.lit(table).alias("table"), F.inline(F.array(*rows)))
+        totals = df.agg(*found)
+    rows = ", ".join(
+        f"named_struct('check', '{kind}', 'column', '{c}', 'failures', v{i})" for i, (kind, c, _) in enumerate(checks)
+    )
+    return totals.selectExpr(f"'{table}' AS table", f"inline(array({rows}))")
 
 
 def _counted(violations: DataFrame, check: str, table: str, column: str) -> DataFrame:
-    return violations.agg(F.count("*").alias("failures")).select(
-        F.lit(table).alias("table"), F.lit(check).alias("check"), F.lit(column).alias("column"), "failures"
+    return violations.selectExpr("count(*) AS failures").selectExpr(
+        f"'{table}' AS table", f"'{check}' AS check", f"'{column}' AS column", "failures"
     )
 
 
