@@ -202,6 +202,9 @@ q("s03_month_partitions", f"SELECT {ym('event_date')} AS month_key, count(*) AS
 q("s04_sql_view", f"SELECT {out('month_key:s; ending_mrr=ending:m; active_customers=active:n')} FROM fk WHERE active > 0")
 q("s05_mart_extracts", f"""SELECT {out('''month_date=m:d; month_key:s; active_customers=active:n; new_customers=n_new:n; churned_customers=n_churn:n; ending_mrr=ending:m; new_mrr:m; expansion_mrr=up_mrr:m;
 contraction_mrr=down_mrr:m; churned_mrr=lost_mrr:m; net_new_mrr=net_new:m; nrr_pct=nrr:m; quick_ratio=qr:m; arpc:m''')} FROM fk""")
+q("s05_extract_rows", " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS \"rows\", count({k}) AS keys FROM {v}" for t, v, k in [
+    ("fct_mrr", "fm", "m"), ("dim_customers", "dc", "customer_id"), ("dim_subscriptions", "ds", "subscription_id"),
+    ("rpt_unit_economics", "ue", "channel"), ("rpt_churn_risk", "risk", "customer_id"), ("rpt_cohort_retention", "ret", "p")]))
 q("s06_coerce_columns", f"SELECT {out('payment_id:s; amount:m; payment_date:d; status:s')} FROM pay")
 q("s07_export_bundle", " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS \"rows\" FROM {v}" for t, v in [
     ("fct_mrr", "fm"), ("fct_mrr_filled", "fmf"), ("fct_subscription_events", "ev"), ("dim_customers", "dc"), ("dim_subscriptions", "ds"),

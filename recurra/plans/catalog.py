@@ -393,6 +393,24 @@ def _(w: Warehouse) -> DataFrame:
     return read_mart_extract(w.spark, paths[0], "fct_mrr")
 
 
+@query("s05_extract_rows")
+def _(w: Warehouse) -> DataFrame:
+    """Rows and filled keys of all six extracts after export and typed import."""
+    keys = {
+        "fct_mrr": "month_date", "dim_customers": "customer_id", "dim_subscriptions": "subscription_id",
+        "rpt_unit_economics": "acquisition_channel", "rpt_churn_risk": "customer_id",
+        "rpt_cohort_retention": "months_since_signup",
+    }
+    extracts = {name: to_extract(w.table(name), name) for name in keys}
+    paths = dict(zip(keys, export_marts(extracts, f"{w.folder}/all_extracts")))
+    counts = [
+        read_mart_extract(w.spark, paths[name], name).selectExpr(f"count({key}) AS keys", "count(*) AS rows")
+        .selectExpr(f"'{name}' AS table", "rows", "keys")
+        for name, key in keys.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query("s06_coerce_columns")
 def _(w: Warehouse) -> DataFrame:
     """Raw payments typed by what their cells hold."""

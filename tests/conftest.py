@@ -16,6 +16,8 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "4")
+        # Tiny inputs: compiling each stage would take longer than running it.
+        .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
