@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from recurra.functions import rules
 from recurra.functions.dates import month_key, quarter_key
 from recurra.functions.numbers import count_where, dbl, money, rnd
+from recurra.operators.timeline import spread_join
+from recurra.settings import Settings
 
 
 def subscription_event_metrics(events: DataFrame) -> DataFrame:
@@ -23,7 +25,7 @@ def subscription_event_metrics(events: DataFrame) -> DataFrame:
 
 
 def dim_subscriptions(
-    subscriptions: DataFrame, customers: DataFrame, events: DataFrame, plans: DataFrame
+    subscriptions: DataFrame, customers: DataFrame, events: DataFrame, plans: DataFrame, settings: Settings
 ) -> DataFrame:
     """One row per subscription."""
     who = customers.select("customer_id", "company_name", "industry", "company_size", "country")
@@ -35,8 +37,8 @@ def dim_subscriptions(
         F.col("max_users").alias("plan_max_users"),
     )
     wide = (
-        subscriptions.join(subscription_event_metrics(events), "subscription_id", "left")
-        .join(who, "customer_id", "left")
+        spread_join(subscriptions, who, "customer_id", ["created_at", "subscription_id"], settings)
+        .join(subscription_event_metrics(events), "subscription_id", "left")
         .join(plan, "plan_id", "left")
     )
     cycle, status, days = F.col("billing_cycle"), F.col("status"), F.col("subscription_length_days")

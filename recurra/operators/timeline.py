@@ -109,6 +109,14 @@ def lookup_by_key(
     return fact.join(spread, [key, PART], how)
 
 
+def spread_join(
+    fact: DataFrame, one_per_key: DataFrame, key: str, order: list[str], settings: Settings, how: str = "left"
+) -> DataFrame:
+    """Join a one-row-per-key table to a fact in which one key may hold much of the rows."""
+    hot = find_hot(fact, key, order, settings)
+    return lookup_by_key(add_part(fact, hot), one_per_key, key, hot, how).drop(PART)
+
+
 _MERGE = {"count": F.sum, "sum": F.sum, "max": F.max, "min": F.min}
 _LOCAL = {"count": F.count, "sum": F.sum, "max": F.max, "min": F.min}
 

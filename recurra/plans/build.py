@@ -107,7 +107,7 @@ class Warehouse:
             )
         if name == "dim_subscriptions":
             return subscriptions.dim_subscriptions(
-                stg("subscriptions"), stg("customers"), stg("subscription_events"), plans
+                stg("subscriptions"), stg("customers"), stg("subscription_events"), plans, s
             )
         if name == "rpt_cohort_retention":
             return retention.cohort_retention(t("int_mrr_movements"), stg("customers"), s)

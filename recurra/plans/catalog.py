@@ -313,7 +313,7 @@ _register(
     "v18_star_view",
     lambda w: datasets.star_view(
         w.table("fct_subscription_events"), w.table("dim_customers"), w.table("dim_subscriptions"),
-        datasets.calendar(_bounds(w)),
+        datasets.calendar(_bounds(w)), w.settings,
     ),
 )
 

@@ -13,7 +13,9 @@ from recurra.functions.dates import month_key, month_start, quarter_key, week_st
 from recurra.functions.numbers import (
     count_where, dbl, mean, money, money_label, pct, ratio, rnd, trend_arrow,
 )
+from recurra.operators.timeline import spread_join
 from recurra.plans.kpi import economics_kpis, revenue_kpis
+from recurra.settings import Settings
 
 
 def _labels(spark: SparkSession, column: str, values: list[str]) -> DataFrame:
@@ -232,24 +234,18 @@ def calendar(bounds: DataFrame) -> DataFrame:
 
 
 def star_view(
-    events: DataFrame, dim_customers: DataFrame, dim_subscriptions: DataFrame, days: DataFrame
+    events: DataFrame, dim_customers: DataFrame, dim_subscriptions: DataFrame, days: DataFrame, settings: Settings
 ) -> DataFrame:
-    """Events with their customer, subscription and calendar attributes.
-
-    Left joins from many to one; nothing after them needs a key's rows together, so
-    adaptive execution may split the partitions of a heavy customer.
-    """
+    """Events with their customer, subscription and calendar attributes, many to one."""
     customer = dim_customers.select("customer_id", "customer_status", "health_status", "current_plan_tier")
     subscription = dim_subscriptions.select(
         "subscription_id", F.col("status").alias("subscription_status"), "billing_cycle", "is_annual"
     )
     date = days.select(F.col("date").alias("event_date"), F.col("quarter").alias("calendar_quarter"))
-    return (
-        events.select("event_id", "customer_id", "subscription_id", "event_type", "event_date", "mrr_change")
-        .join(customer, "customer_id", "left")
-        .join(subscription, "subscription_id", "left")
-        .join(date, "event_date", "left")
-    )
+    facts = events.select("event_id", "customer_id", "subscription_id", "event_type", "event_date", "mrr_change")
+    order = ["event_date", "event_id"]
+    facts = spread_join(facts, customer, "customer_id", order, settings)
+    return spread_join(facts, subscription, "subscription_id", order, settings).join(date, "event_date", "left")
 
 
 def feature_adoption(dim_subscriptions: DataFrame, plans: DataFrame) -> DataFrame:

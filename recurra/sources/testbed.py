@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurra.operators.plan_history import lifecycle_events, number_subscriptions, subscriptions_of
 from recurra.functions.rules import COMPANY_SIZES
+from recurra.operators.plan_history import lifecycle_events, number_subscriptions, subscriptions_of
+from recurra.operators.timeline import spread_join
 from recurra.settings import Settings
 
 # Fixed values of the mapping: priority -> plan and monthly price; no plan for the rest.
@@ -192,9 +193,9 @@ class Testbed:
         kind = F
         for source, touch in TOUCH_TYPES.items():
             kind = kind.when(F.col("event_type") == source, F.lit(touch))
+        others = events.where(F.col("event_type") != "purchase")
         return (
-            events.where(F.col("event_type") != "purchase")
-            .join(bought, "user_id")
+            spread_join(others, bought, "user_id", ["ts", "event_id"], self.settings, "inner")
             .where(F.col("ts") <= F.col("converted_at"))
             .withColumn("channel", channel)
             .select(

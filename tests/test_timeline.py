@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from recurra.operators import attribution, lifecycle, plan_history, staging
-from recurra.operators.timeline import PART, add_part, find_hot, sequence
+from recurra.operators.timeline import PART, add_part, find_hot, sequence, spread_join
 from recurra.settings import Settings
 from recurra.sources import lookups
 from recurra.sources.testbed import Testbed
@@ -66,6 +66,15 @@ def test_parts_survive_repartitioning(spark):
     assert once == rows(everything(df.repartition(3, "w"), hot), "id", "n", "run_w", "lag_v")
 
 
+def test_spread_join_matches_a_plain_join(spark):
+    df = skewed(spark)
+    names = spark.createDataFrame([("hot", "H"), ("a", "A"), ("z", "Z")], "key string, name string")
+    for how in ("left", "inner"):
+        plain = rows(df.join(names, "key", how), "id", "key", "name")
+        assert rows(spread_join(df, names, "key", ORDER, Settings(hot_key_rows=100), how), "id", "key", "name") == plain
+        assert rows(spread_join(df, names, "key", ORDER, Settings(), how), "id", "key", "name") == plain
+
+
 def test_no_hot_key_means_one_window(spark):
     assert find_hot(skewed(spark, 300), "key", ORDER, Settings()) is None
 
@@ -107,5 +116,5 @@ def test_plan_history_with_split_customers(bed):
 
 def test_every_raw_entity_with_split_customers(spark, bed):
     split = Testbed(spark, SF, Settings(hot_key_rows=2))
-    for name in ("subscription_events", "subscriptions", "payments"):
+    for name in ("subscription_events", "subscriptions", "payments", "marketing_touches"):
         assert rows(bed.entity(name)) == rows(split.entity(name)), name
