@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from llm import packing
+from llm import line_dedup, packing
 from llm.common import table
 
 
@@ -14,7 +15,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op8_line_dedup": op8_line_dedup,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_line_dedup": line_dedup.ORACLE}
