@@ -7,14 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import line_dedup, packing
-from llm.common import table
+from llm import line_dedup, packing, ppm
+from llm.common import fold, table
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("fold", fold(F.col("doc_id"), 7))
+    scored = ppm.score(docs, train="fold <> 2")
+    return scored.select("doc_id", (fold(F.col("doc_id"), 7) == 2).alias("held_out"), *scored.columns[1:])
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -22,6 +28,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op4_lm_scoring": op4_lm_scoring,
     "op8_line_dedup": op8_line_dedup,
 }
 ORACLES: dict[str, str] = {"op8_line_dedup": line_dedup.ORACLE}
