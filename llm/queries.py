@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import line_dedup, packing, ppm
+from llm import language_id, line_dedup, packing, ppm
 from llm.common import fold, table
 
 
@@ -15,6 +15,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = fold(F.col("doc_id"), 4) == 2
+    found = language_id.predict(docs, language_id.fit(docs.where(~held)))
+    return found.select("doc_id", held.alias("held_out"), *found.columns[1:])
+
+
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("fold", fold(F.col("doc_id"), 7))
     scored = ppm.score(docs, train="fold <> 2")
@@ -28,6 +35,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_language_id": op2_language_id,
     "op4_lm_scoring": op4_lm_scoring,
     "op8_line_dedup": op8_line_dedup,
 }
