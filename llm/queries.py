@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import language_id, line_dedup, packing, ppm
+from llm import language_id, line_dedup, packing, ppm, quality
 from llm.common import fold, table
 
 
@@ -22,6 +22,14 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), *found.columns[1:])
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = fold(F.col("doc_id"), 5) == 0
+    positives = quality.trusted(docs.where(~held), table(spark, sf_dir, "labels"))
+    found = quality.predict(docs, quality.fit(docs.where(~held), positives))
+    return found.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("fold", fold(F.col("doc_id"), 7))
     scored = ppm.score(docs, train="fold <> 2")
@@ -36,6 +44,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language_id": op2_language_id,
+    "op3_quality": op3_quality,
     "op4_lm_scoring": op4_lm_scoring,
     "op8_line_dedup": op8_line_dedup,
 }
