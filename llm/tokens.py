@@ -6,8 +6,11 @@ A worker remembers the ids of up to ``MEMO_WORDS`` words of at most ``MEMO_CHARS
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -16,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MEMO_WORDS = 600_000
+MEMO_WORDS = 1_000_000
 MEMO_CHARS = 48
 SLICE_CHARS = 2_000_000
 
@@ -27,6 +30,42 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# The split pattern of the default tokenizer, and the words on which its steps are these simple ones:
+# lower-case, split by the pattern, spell UTF-8 bytes as the byte-level characters, apply the merges.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+def _byte_level() -> dict[int, int]:
+    """Printable Latin-1 bytes stand for themselves, the others for characters from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 0x100 + k for k, b in enumerate(hidden)}
+
+
+class _Memo(dict):
+    """Ids of words; misses are encoded. The older half is forgotten when the younger is full."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        super().__init__({"": b""})
+        self.encode, self.old = encode, {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.old.get(word)
+        if found is None:
+            found = self.encode(word)
+        if len(word) <= MEMO_CHARS:
+            self[word] = found
+        return found
+
+    def trim(self) -> None:
+        if len(self) > MEMO_WORDS // 2:
+            self.old = dict(self)
+            self.clear()
+            self[""] = b""
+
+
 class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
@@ -34,28 +73,31 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[str, bytes] = {"": b""}
-
-    def _fresh(self, words: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(words, found, strict=True)}
+        self.model, self.spelling = self.tokenizer.model, _byte_level()
+        said = json.loads(self.tokenizer.to_str())
+        steps = [(said["normalizer"] or {}).get("normalizers") or [], (said["pre_tokenizer"] or {}).get("pretokenizers") or []]
+        self.simple = [[x["type"] for x in kind] for kind in steps] == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] and (
+            steps[1][0]["pattern"] == {"Regex": _PATTERN} and not steps[1][1]["add_prefix_space"]
+        )
+        self.memo = _Memo(self.word)
+
+    def word(self, word: str) -> bytes:
+        if self.simple and _PLAIN.fullmatch(word) and "<|" not in word:
+            pieces = _SPLIT.findall(word.lower())
+            if not word.isascii():
+                pieces = [p.encode().decode("latin-1").translate(self.spelling) for p in pieces]
+            return array("I", [t.id for p in pieces for t in self.model.tokenize(p)]).tobytes()
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = []
+        out, ids_of = [], self.memo.__getitem__
         for text in texts:
             for space in "\n\t\r\x0b\x0c":
-                text = text.replace(space, " ")
-            split.append(text.split(" "))
-        new = set().union(*split) - self.memo.keys()
-        fresh = self._fresh(list(new)) if new else {}
-        if len(self.memo) + len(fresh) > MEMO_WORDS:
-            self.memo = {"": b""}
-            fresh |= self._fresh(list(set().union(*split) - fresh.keys() - {""}))
-        long = {w: fresh.pop(w) for w in [w for w in fresh if len(w) > MEMO_CHARS]}
-        self.memo |= fresh
-        if not long:
-            return [b"".join(map(self.memo.__getitem__, words)) for words in split]
-        return [b"".join([long[w] if w in long else self.memo[w] for w in words]) for words in split]
+                if space in text:
+                    text = text.replace(space, " ")
+            out.append(b"".join(map(ids_of, text.split(" "))))
+            self.memo.trim()
+        return out
 
 
 @lru_cache(maxsize=2)
