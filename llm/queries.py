@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import decontaminate, language_id, line_dedup, packing, ppm, quality
+from llm import decontaminate, language_id, line_dedup, near_dedup, packing, ppm, quality
 from llm.common import fold, table
 
 
@@ -36,6 +36,10 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 7) == 2).alias("held_out"), *scored.columns[1:])
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_quality": op3_quality,
     "op4_lm_scoring": op4_lm_scoring,
+    "op5_near_dedup": op5_near_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_line_dedup": op8_line_dedup,
 }
