@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import decontaminate, language_id, line_dedup, near_dedup, packing, ppm, quality
+from llm import decontaminate, language_id, line_dedup, near_dedup, packing, ppm, quality, token_counts, token_output
 from llm.common import fold, table
 
 
@@ -40,6 +40,10 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -49,13 +53,19 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.pack_best_fit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language_id": op2_language_id,
     "op3_quality": op3_quality,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_near_dedup": op5_near_dedup,
+    "op6_token_counts": op6_token_counts,
     "op7_decontamination": op7_decontamination,
     "op8_line_dedup": op8_line_dedup,
+    "op10_token_output": op10_token_output,
 }
 ORACLES: dict[str, str] = {"op8_line_dedup": line_dedup.ORACLE}

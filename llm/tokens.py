@@ -12,6 +12,7 @@ import zlib
 from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -44,17 +45,17 @@ def _byte_level() -> dict[int, int]:
     return {b: b for b in shown} | {b: 0x100 + k for k, b in enumerate(hidden)}
 
 
-class _Memo(dict):
-    """Ids of words; misses are encoded. The older half is forgotten when the younger is full."""
+class WordMemo(dict):
+    """Values of words; misses are computed. The older half is forgotten when the younger is full."""
 
-    def __init__(self, encode: Callable[[str], bytes]):
-        super().__init__({"": b""})
-        self.encode, self.old = encode, {}
+    def __init__(self, compute: Callable[[str], Any], empty: Any):
+        super().__init__({"": empty})
+        self.compute, self.empty, self.old = compute, empty, {}
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, word: str) -> Any:
         found = self.old.get(word)
         if found is None:
-            found = self.encode(word)
+            found = self.compute(word)
         if len(word) <= MEMO_CHARS:
             self[word] = found
         return found
@@ -63,7 +64,15 @@ class _Memo(dict):
         if len(self) > MEMO_WORDS // 2:
             self.old = dict(self)
             self.clear()
-            self[""] = b""
+            self[""] = self.empty
+
+
+def words_of(text: str) -> list[str]:
+    """Words between the six ASCII white-space characters; some are empty."""
+    for space in "\n\t\r\x0b\x0c":
+        if space in text:
+            text = text.replace(space, " ")
+    return text.split(" ")
 
 
 class WordEncoder:
@@ -79,7 +88,7 @@ class WordEncoder:
         self.simple = [[x["type"] for x in kind] for kind in steps] == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] and (
             steps[1][0]["pattern"] == {"Regex": _PATTERN} and not steps[1][1]["add_prefix_space"]
         )
-        self.memo = _Memo(self.word)
+        self.memo = WordMemo(self.word, b"")
 
     def word(self, word: str) -> bytes:
         if self.simple and _PLAIN.fullmatch(word) and "<|" not in word:
@@ -92,10 +101,7 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         out, ids_of = [], self.memo.__getitem__
         for text in texts:
-            for space in "\n\t\r\x0b\x0c":
-                if space in text:
-                    text = text.replace(space, " ")
-            out.append(b"".join(map(ids_of, text.split(" "))))
+            out.append(b"".join(map(ids_of, words_of(text))))
             self.memo.trim()
         return out
 
