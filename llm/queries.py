@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import decontaminate, language_id, line_dedup, near_dedup, packing, ppm, quality, token_counts, token_output
+from llm import decontaminate, language_id, line_dedup, near_dedup, neighbours, packing, ppm, quality, token_counts, token_output
 from llm.common import fold, table
 
 
@@ -53,6 +53,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.top_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.pack_best_fit(table(spark, sf_dir, "documents"))
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_decontamination": op7_decontamination,
     "op8_line_dedup": op8_line_dedup,
+    "op9_neighbours": op9_neighbours,
     "op10_token_output": op10_token_output,
 }
 ORACLES: dict[str, str] = {"op8_line_dedup": line_dedup.ORACLE}
