@@ -18,7 +18,9 @@ often in training; only the id and text columns are read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -85,7 +87,7 @@ class _Tally:
         self.counts = np.bincount(place, np.concatenate([self.counts, weights]), len(self.values)).astype(np.int64)
 
 
-def _batches(group: pa.Table, step: int = 1_000_000) -> Iterator[tuple[pa.Table, list[list[bytes]]]]:
+def _batches(group: pa.Table, step: int = 2_000_000) -> Iterator[tuple[pa.Table, list[list[bytes]]]]:
     """Rows of a chunk in batches of about ``step`` bytes, with their words."""
     at, sizes = 0, np.cumsum([len(x) for x in group.column("text").cast(pa.binary()).to_pylist()])
     while at < group.num_rows:
@@ -95,6 +97,38 @@ def _batches(group: pa.Table, step: int = 1_000_000) -> Iterator[tuple[pa.Table,
         at = end
 
 
+class _Table:
+    """Values by key: one slot per hash, and a sorted list of the few keys whose slot another key has."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(10, int(4 * len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits)
+        slot = self._slot(keys)
+        self.keys[slot], self.values[slot] = keys, values
+        lost = np.flatnonzero(self.keys[slot] != keys)
+        lost = lost[np.argsort(keys[lost])]
+        self.more, self.more_values = keys[lost], values[lost]
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """Values of keys that all are in the table."""
+        slot = self._slot(keys)
+        out = self.values[slot]
+        miss = np.flatnonzero(self.keys[slot] != keys)
+        out[miss] = self.more_values[np.searchsorted(self.more, keys[miss])]
+        return out
+
+
+class _Counts(dict):
+    """Training counts; 0 for a token that training has not."""
+
+    def __missing__(self, token: bytes) -> float:
+        return 0.0
+
+
 def _stream(words: list[bytes]) -> bytes:
     return b" ".join(words) + b" " if words else b""
 
@@ -103,22 +137,24 @@ def tallies(chunks: DataFrame, order: int) -> DataFrame:
     """(chunk, gram, token, n): each distinct gram (token null) and each distinct token (gram null) of a chunk."""
 
     def count(group: pa.Table) -> pa.Table:
-        grams, tokens = _Tally(), {}
+        grams, learnt, other = _Tally(), Counter(), set()
         for rows, words in _batches(group):
             taught = rows.column("train").to_numpy(zero_copy_only=False).astype(bool)
+            new = []
             for learn in (True, False):
                 mine = [w for w, t in zip(words, taught, strict=True) if t == learn]
                 found, n = np.unique(grams_of([_stream(w) for w in mine], order)[0], return_counts=True)
-                grams.add(found, n * learn)
+                new.append((found, n * learn))
                 for w in mine:
-                    for x in w:
-                        tokens[x] = tokens.get(x, 0) + learn
-        g, t = len(grams.values), len(tokens)
+                    learnt.update(w) if learn else other.update(w)
+            grams.add(*map(np.concatenate, zip(*new, strict=True)))
+        rest = [w for w in other if w not in learnt]
+        g, t = len(grams.values), len(learnt) + len(rest)
         return pa.table({
             "chunk": pa.array(np.full(g + t, group.column("chunk")[0].as_py(), np.int32)),
             "gram": pa.concat_arrays([pa.array(grams.values), pa.nulls(t, pa.int64())]),
-            "token": pa.concat_arrays([pa.nulls(g, pa.binary()), pa.array(list(tokens), pa.binary())]),
-            "n": pa.array(np.concatenate([grams.counts, np.fromiter(tokens.values(), np.int64, t)])),
+            "token": pa.concat_arrays([pa.nulls(g, pa.binary()), pa.array([*learnt, *rest], pa.binary())]),
+            "n": pa.array(np.concatenate([grams.counts, np.fromiter(learnt.values(), np.int64, len(learnt)), np.zeros(len(rest), np.int64)])),
         })
 
     return chunks.groupBy("chunk").applyInArrow(count, "chunk int, gram long, token binary, n long")
@@ -201,21 +237,19 @@ def score(
     def apply(texts: pa.Table, model: pa.Table) -> pa.Table:
         is_gram = model.column("gram").is_valid()
         g = model.filter(is_gram)
-        codes, cost = g.column("gram").to_numpy(), g.column("value").to_numpy()
-        rank = np.argsort(codes)
-        codes, cost = codes[rank], cost[rank]
+        cost = _Table(g.column("gram").to_numpy(), g.column("value").to_numpy())
         w = model.filter(pc.invert(is_gram))
-        count = dict(zip(w.column("token").to_pylist(), w.column("value").to_pylist(), strict=True))
+        count = _Counts(zip(w.column("token").to_pylist(), w.column("value").to_pylist(), strict=True))
         out: dict[str, list] = {x: [] for x in ("doc_id", "n_tokens", "n_known", "base_score", "score")}
         floor = -np.log10(n_train + 1) - np.log10(v + 1)
         end = np.log10(ends + 1)
         for rows, words in _batches(texts):
             found, sizes = grams_of([_stream(x) for x in words], order)
-            total = np.add.reduceat(cost[np.searchsorted(codes, found)], np.cumsum(sizes) - sizes)
+            total = np.add.reduceat(cost.of(found), np.cumsum(sizes) - sizes)
             out["score"].append(-total)
             out["doc_id"].append(rows.column("doc_id").combine_chunks())
             tokens_n = np.array([len(x) for x in words], np.int64)
-            seen = np.fromiter((count.get(t, 0.0) for x in words for t in x), np.float64, int(tokens_n.sum()))
+            seen = np.fromiter(map(count.__getitem__, chain.from_iterable(words)), np.float64, int(tokens_n.sum()))
             doc = np.repeat(np.arange(len(words)), tokens_n)
             gain = np.bincount(doc, np.log10(seen + 1), len(words))
             out["n_tokens"].append(tokens_n + 1)
