@@ -7,9 +7,11 @@ Centroids are found by best-first search in an in-memory graph of their neighbou
 centroid is within a ratio of its nearest centroid's distance; that ratio is set on the sample so that the measured
 recall reaches ``recall``. Inner product becomes distance by the usual extra coordinate, sqrt(longest norm^2 - norm^2).
 
-A list is dealt into blocks of bounded size by a hash of the vector id, so a list with a third of all rows is many
-tasks' work; each block answers each of its queries with at most ``k`` rows, merged per query after combining. Scores
-are sums of products in double precision in the order of the components, the same for equal vectors wherever they lie.
+Neighbouring lists form ``SHARDS`` shards; a shard is dealt into blocks of bounded size by a hash of the vector id, and
+so are its queries, so a list with a third of all rows is many tasks' work. Each block answers each of its queries with
+at most ``k`` rows from the lists that the query visits, merged per query after combining. Scores are sums of products
+in double precision in the order of the components, the same for equal vectors wherever they lie; a matrix product only
+sorts out vectors that cannot be among the ``k``.
 
 Defined cases: vectors that are null, all zero, or hold a null or non-finite component take no part, as query or
 candidate, nor do those of another length than most; fewer candidates than ``k``: all of them; an empty table gives no
@@ -28,7 +30,8 @@ from pyspark.sql import functions as F
 
 from llm.common import stored
 
-BLOCK = 8192
+SHARDS = 16
+BLOCK = 32_768
 QUERY_BLOCK = 512
 
 
@@ -125,13 +128,35 @@ def augmented(x: np.ndarray, longest: float) -> np.ndarray:
 
 
 def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Inner products in double precision, added in the order of the components."""
-    out = np.zeros((len(q), len(x)))
-    for d in range(q.shape[1]):
-        out += q[:, d : d + 1] * x[None, :, d]
+    """Inner products of rows in double precision, added in the order of the components."""
+    out = np.zeros(np.broadcast_shapes(q.shape[:-1], x.shape[:-1]))
+    for d in range(q.shape[-1]):
+        out += q[..., d] * x[..., d]
     return out
 
 
+def best_of(asks: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, id, score) of the ``k`` nearest other ids of each query; an id counts by its nearest vector."""
+    spare = len(ids) - len(np.unique(ids))
+    rough = q @ x.T
+    rough[asks[:, None] == ids[None, :]] = -np.inf
+    if len(ids) > k + spare:
+        least = np.partition(rough, -(k + spare), axis=1)[:, -(k + spare), None]
+        margin = 1e-11 * np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(x, axis=1).max()
+        row, col = np.nonzero(np.isfinite(rough) & (rough >= least - margin))
+    else:
+        row, col = np.nonzero(np.isfinite(rough))
+    score, found = products(q[row], x[col]), ids[col]
+    order = np.lexsort((found, -score, row))
+    row, found, score = row[order], found[order], score[order]
+    if spare:
+        _, first = np.unique(np.stack([row, found]), axis=1, return_index=True)
+        keep = np.sort(first)
+        row, found, score = row[keep], found[keep], score[keep]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    return asks[row[place < k]], found[place < k], score[place < k]
+
+
 def fit(rows: DataFrame, k: int, sample: int, lists: int, copies: int, overlap: float, recall: float) -> dict | None:
     """Index parameters from a bounded sample: width of the vectors, longest norm, centroids, visiting ratio."""
     shape = rows.groupBy(F.size("v").alias("d")).agg(
@@ -191,7 +216,7 @@ def top_neighbours(
     model = fit(rows, k, sample, lists, copies, overlap, recall)
     if model is None:
         return vectors.sparkSession.createDataFrame([], schema)
-    rows = rows.where(F.size("v") == model["d"])
+    rows, lists_ = rows.where(F.size("v") == model["d"]), len(model["centres"])
 
     def vectors_of(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
         v = batch.column("v")
@@ -225,37 +250,40 @@ def top_neighbours(
     schema_listed = "list int, vec_id long, v array<double>"
     posted = stored(rows.mapInArrow(assign, schema_listed), "op9-lists")
     asked = stored(rows.where(is_query).mapInArrow(visit, schema_listed), "op9-visits")
-    # A list and its queries become blocks of about BLOCK rows each. One row per list is broadcast, ``sample`` / 16 at most.
-    sizes = posted.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    visits = asked.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("turns"))
-    plan = F.broadcast(stored(sizes.join(visits, "list"), "op9-plan"))
-    spread = lambda n: F.pmod(F.xxhash64("vec_id"), n).cast("int")
-    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    dealt = posted.join(plan, "list").select("list", spread(F.col("blocks")).alias("block"), all_of("turns").alias("turn"), "vec_id", "v")
-    asked = asked.join(plan, "list").select("list", all_of("blocks").alias("block"), spread(F.col("turns")).alias("turn"), "vec_id", "v")
+    # A shard and its queries become blocks of about BLOCK rows each; SHARDS rows at most are broadcast.
+    shard = F.floor(F.col("list") * min(SHARDS, lists_) / lists_).cast("int").alias("shard")
+    posted, asked = posted.select(shard, "*"), asked.select(shard, "*")
+    sizes = posted.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    visits = asked.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("turns"))
+    plan = F.broadcast(stored(sizes.join(visits, "shard"), "op9-plan"))
+    spread = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int").alias(n)
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias(n)
+    dealt = posted.join(plan, "shard").select("shard", spread("blocks"), all_of("turns"), "list", "vec_id", "v")
+    asked = asked.join(plan, "shard").select("shard", all_of("blocks"), spread("turns"), "list", "vec_id", "v")
 
     def answer(candidates: pa.Table, queries: pa.Table) -> pa.Table:
         out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         if candidates.num_rows and queries.num_rows:
-            ids, x = candidates.column("vec_id").to_numpy(), vectors_of(candidates)
-            order = np.argsort(ids, kind="stable")
-            ids, first = np.unique(ids[order], return_index=True)
-            x, asks, q = x[order], queries.column("vec_id").to_numpy(), vectors_of(queries)
-            for at in range(0, len(asks), QUERY_BLOCK):
-                ask = asks[at : at + QUERY_BLOCK, None]
-                # Rows lie in order of id; an id counts by its nearest vector, and the stable sort leaves ties to smaller ids.
-                score = np.maximum.reduceat(products(q[at : at + QUERY_BLOCK], x), first, axis=1)
-                score[ask == ids[None, :]] = -np.inf
-                best = np.argsort(-score, axis=1, kind="stable")[:, :k]
-                value = np.take_along_axis(score, best, 1)
-                good = np.isfinite(value)
-                out.append((np.broadcast_to(ask, good.shape)[good], ids[best][good], value[good]))
+            at, ids, x = candidates.column("list").to_numpy(), candidates.column("vec_id").to_numpy(), vectors_of(candidates)
+            visit_at, asks, q = queries.column("list").to_numpy(), queries.column("vec_id").to_numpy(), vectors_of(queries)
+            for c in np.unique(visit_at):
+                mine, ours = at == c, np.flatnonzero(visit_at == c)
+                if mine.any():
+                    for part in range(0, len(ours), QUERY_BLOCK):
+                        some = ours[part : part + QUERY_BLOCK]
+                        out.append(best_of(asks[some], q[some], ids[mine], x[mine], k))
         query, found, value = (np.concatenate(c) for c in zip(*out, strict=True))
-        return pa.table({"query_id": query, "vec_id": found, "score": value})
-
-    hits = dealt.groupBy("list", "block", "turn").cogroup(asked.groupBy("list", "block", "turn")).applyInArrow(
-        answer, "query_id long, vec_id long, score double"
-    )
+        # A vector in several lists comes once; then the k best of each query.
+        order = np.lexsort((found, -value, query))
+        query, found, value = query[order], found[order], value[order]
+        _, first = np.unique(np.stack([query, found]), axis=1, return_index=True)
+        keep = np.sort(first)
+        query, found, value = query[keep], found[keep], value[keep]
+        top = np.arange(len(query)) - np.searchsorted(query, query) < k
+        return pa.table({"query_id": query[top], "vec_id": found[top], "score": value[top]})
+
+    keys = ["shard", "blocks", "turns"]
+    hits = dealt.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(answer, "query_id long, vec_id long, score double")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(ranked))
     return best.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
