@@ -7,9 +7,13 @@ value, so two bags agree on a register with the probability of their weighted Ja
 order of time and a process stops as soon as it is later than every register of its document.
 
 ``BANDS`` bands of ``ROWS`` registers propose candidates: a pair at 0.8 is missed with probability 3e-6. Texts with the
-same words are one class first. In a bucket every class is compared with the bucket's first; what remains in other
-components than the bucket's largest is then compared with all of the bucket, so no proposed link is lost and linked
-groups are never expanded into pairs. The exact check is the multiset overlap of the shingles of whole texts.
+same words are one class first. In a bucket every class is compared with the bucket's first, and links join components.
+Classes in buckets that still hold several components are then compared exactly by their rarest shingles (prefix and
+positional filter of set-similarity joins): two bags at 0.8 share a shingle so early in the order of rarity that the
+rest of both still reaches the overlap. Shingles of passages that many texts share come last in that order. Pairs found
+so, across components only and the largest component of a shingle against the rest, are checked. So linked groups are
+never expanded into pairs, nor are texts that only share a passage. The exact check is the multiset overlap of the
+shingles of whole texts.
 
 Defined cases: null text is empty text; texts without a word are alike only if equal; an empty table gives no row;
 repeated rows are repeated in the result; of rows
@@ -144,6 +148,54 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
+def rare_shingles(texts: DataFrame, least: float) -> DataFrame:
+    """(value, doc, root, size, place): of each text (doc, text, root) its rarest shingles, as many as another text of at
+    least ``least`` its size may need to share; ``place`` counts from 1, ``size`` is the number of all. The n-th
+    occurrence of a shingle is a value of its own. Values that only one text has come first and are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, part in slices(batches):
+            words, counts = word_hashes(part)
+            values = []
+            for own in np.split(words, np.cumsum(counts)[:-1]):
+                found, times = bag(own)
+                nth = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+                values.append(mixed(np.repeat(found, times) + nth.astype(np.uint64) * _GOLD).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("doc"), rows.column("root"), pa.array([len(v) for v in values], pa.int32()), pa.array(values, pa.list_(pa.int64()))],
+                ["doc", "root", "size", "values"],
+            )
+
+    listed = texts.select("doc", "root", "text").mapInArrow(run, "doc long, root long, size int, values array<long>")
+    values = stored(listed.select("doc", "root", "size", F.explode("values").alias("value")), "op5-values")
+    shared = values.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
+    common = values.join(shared, "value").groupBy("doc", "root", "size").agg(
+        F.sort_array(F.collect_list(F.struct("n", "value"))).alias("common")
+    )
+    alone = F.col("size") - F.size("common")
+    last = F.col("size") - F.ceil(least * F.col("size") - 1e-9) + 1
+    early = common.withColumn("alone", alone).select(
+        "doc", "root", "size", "alone", F.posexplode(F.slice("common", F.lit(1), F.greatest(last - alone, F.lit(0)).cast("int"))).alias("at", "c")
+    )
+    return early.select("c.value", "doc", "root", "size", (F.col("alone") + F.col("at") + 1).alias("place"))
+
+
+def cross_pairs(early: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of different roots that share a value early enough to reach ``least``."""
+    parts = early.groupBy("value", "root").agg(F.count("*").alias("n")).groupBy("value").agg(
+        F.count("*").alias("parts"), F.max_by("root", F.struct("n", "root")).alias("major")
+    ).where("parts > 1")
+    mixed_ = stored(early.join(parts.select("value", "major"), "value"), "op5-mixed")
+    rest = mixed_.where("root <> major").select("value", *[F.col(c).alias(f"x_{c}") for c in ("doc", "root", "size", "place")])
+    # Against the largest component, and among the rest once. What lies behind both places must still hold the overlap.
+    overlap = F.ceil(least / (1 + least) * (F.col("size") + F.col("x_size")) - 1e-9)
+    behind = F.least(F.col("size") - F.col("place"), F.col("x_size") - F.col("x_place")) + 1
+    pairs = rest.join(mixed_, "value").where(
+        F.expr("x_root <> root AND (root = major OR x_doc < doc)") & (behind >= overlap)
+    )
+    return pairs.select(F.least("x_doc", "doc").alias("a"), F.greatest("x_doc", "doc").alias("b")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(doc, root) of all ends of ``edges`` (a, b). Each round every node joins its least neighbour by a hash that
     changes with the round, and edges are contracted; so chains of any shape shrink by a constant factor a round."""
@@ -175,7 +227,7 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
     prints = stored(fingerprints(docs, id_col, text_col), "op5-prints")
     classes = prints.groupBy("same").agg(F.min("doc_id").alias("class_id"), F.min("bands").alias("bands"))
     bands = classes.select(F.col("class_id").alias("doc"), F.explode("bands").alias("bucket"))
-    leads = bands.groupBy("bucket").agg(F.min("doc").alias("lead"), F.count("*").alias("size")).where("size > 1")
+    leads = bands.groupBy("bucket").agg(F.min("doc").alias("lead"), F.count("*").alias("size")).where("size > 1").select("bucket", "lead")
     members = stored(bands.join(leads, "bucket").select("bucket", "doc", "lead"), "op5-members")
     whole = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     texts = stored(whole.join(members.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"]), "op5-texts")
@@ -183,21 +235,10 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
     stars = members.where("doc <> lead").select(F.col("lead").alias("a"), F.col("doc").alias("b")).distinct()
     links = stored(verified(stars, texts, least), "op5-links")
     roots = components(links)
-    labelled = stored(
-        members.join(roots, "doc", "left").select("bucket", "doc", "lead", F.coalesce("root", "doc").alias("root")), "op5-labelled"
-    )
-    split = labelled.groupBy("bucket", "root").agg(F.count("*").alias("n")).groupBy("bucket").agg(
-        F.count("*").alias("parts"), F.max_by("root", F.struct("n", "root")).alias("major")
-    ).where("parts > 1")
-    open_ = labelled.join(split.select("bucket", "major"), "bucket")
-    rest = open_.where("root <> major").select("bucket", F.col("doc").alias("x"), F.col("root").alias("x_root"))
-    # Against the largest component, and among the rest once; the pairs with the bucket's first are known already.
-    more = (
-        rest.join(open_, "bucket")
-        .where("x_root <> root AND (root = major OR x < doc) AND x <> lead AND doc <> lead")
-        .select(F.least("x", "doc").alias("a"), F.greatest("x", "doc").alias("b")).distinct()
-    )
-    found = verified(more, texts, least)
+    labelled = members.join(roots, "doc", "left").select("bucket", "doc", F.coalesce("root", "doc").alias("root"))
+    mixed_ = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    unsure = stored(labelled.join(mixed_, "bucket").groupBy("doc").agg(F.min("root").alias("root")), "op5-unsure")
+    found = verified(stored(cross_pairs(rare_shingles(texts.join(unsure, "doc"), least), least), "op5-pairs"), texts, least)
     roots = components(links.union(found))
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"))
     known = prints.select("doc_id", "same").join(classes.select("same", "class_id"), "same").join(
