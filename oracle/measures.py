@@ -52,7 +52,8 @@ def scope(source: str, keys: str, inside: str) -> str:
 FROM {source} JOIN (SELECT {k}max(m) AS lm FROM {source} WHERE {inside} {g}) l {using} GROUP BY {k}lm"""
 
 
-q("k01_k23_scope_measures", f"SELECT {out('last_month=lm:d; ' + measures())} FROM ({scope('fm', '', chr(109) + ' BETWEEN DATE ' + repr('1999-01-01') + ' AND DATE ' + repr('1999-12-01'))})")
+_year = "m BETWEEN DATE '1999-01-01' AND DATE '1999-12-01'"
+q("k01_k23_scope_measures", f"SELECT {out('last_month=lm:d; ' + measures())} FROM ({scope('fm', '', _year)})")
 
 
 def slices(source: str, keys: str) -> str:
@@ -62,9 +63,9 @@ def slices(source: str, keys: str) -> str:
 
 
 VIEWS["sl_chan"] = slices("mvf", "acquisition_channel")
-q("v15_revenue_by_channel", f"""SELECT {out('acquisition_channel:s; month_date=m:d; ' + measures())} FROM (
-SELECT a.acquisition_channel, a.m, a.ending AS mrr, a.active_mrr AS act_mrr, a.new_mrr AS nw, a.up_mrr AS up, a.down_mrr AS dn, a.lost_mrr AS lo, a.active AS act,
-  a.n_new, a.n_churn, p.ending AS b, p.active AS b_act FROM sl_chan a LEFT JOIN sl_chan p ON a.m = p.m + INTERVAL 1 MONTH AND a.acquisition_channel = p.acquisition_channel)""")
+VIEWS["kmc"] = """SELECT a.acquisition_channel, a.m, a.ending AS mrr, a.active_mrr AS act_mrr, a.new_mrr AS nw, a.up_mrr AS up, a.down_mrr AS dn, a.lost_mrr AS lo, a.active AS act,
+  a.n_new, a.n_churn, p.ending AS b, p.active AS b_act FROM sl_chan a LEFT JOIN sl_chan p ON a.m = p.m + INTERVAL 1 MONTH AND a.acquisition_channel = p.acquisition_channel"""
+q("v15_revenue_by_channel", f"SELECT {out('acquisition_channel:s; month_date=m:d; ' + measures())} FROM kmc")
 VIEWS["sl_ts"] = slices("mv", "current_plan_tier, company_size")
 q("v15_revenue_by_tier_and_size", f"SELECT {out('current_plan_tier:s; company_size:s; last_month=lm:d; ' + measures())} FROM ({scope('sl_ts', 'current_plan_tier, company_size', 'true')})")
 
@@ -73,19 +74,22 @@ q("k24_k25_customer_measures", f"SELECT {out(_cust)} FROM dc")
 q("k47_customers_by_industry", f"SELECT {out('industry:s; ' + _cust)} FROM dc GROUP BY industry")
 
 
-def econ(source: str) -> str:
+def econ(source: str, by: str = "") -> str:
     spec = "; ".join(f"{k}={r6(f'avg({v})')}:m" for k, v in [("cac", "cac"), ("realized_ltv", "ltv"), ("predicted_ltv", "pltv"),
                      ("ltv_to_cac", "ltv_cac"), ("cac_payback_months", "payback")])
-    return f"""SELECT {out(spec + f'''; acquisition_roi={r6('avg(roi) / 100')}:m; total_acquisition_spend={r6('sum(spend)')}:m; revenue_per_spend={r6(ratio('sum(revenue)', 'sum(spend)'))}:m;
+    return f"""SELECT {by and by + ', '}{out(spec + f'''; acquisition_roi={r6('avg(roi) / 100')}:m; total_acquisition_spend={r6('sum(spend)')}:m; revenue_per_spend={r6(ratio('sum(revenue)', 'sum(spend)'))}:m;
 ltv_cac_status=CASE WHEN avg(ltv_cac) >= 3 THEN 'Healthy' WHEN avg(ltv_cac) >= 1 THEN 'Marginal' ELSE 'Unprofitable' END:s;
-payback_status=CASE WHEN avg(payback) <= 12 THEN 'Excellent' WHEN avg(payback) <= 18 THEN 'Good' ELSE 'Concerning' END:s''')} FROM {source}"""
+payback_status=CASE WHEN avg(payback) <= 12 THEN 'Excellent' WHEN avg(payback) <= 18 THEN 'Good' ELSE 'Concerning' END:s''')} FROM {source} {by and 'GROUP BY ALL'}"""
 
 
 q("k26_k33_unit_economics", econ("ue0"))
+q("k26_k33_by_category", econ("ue0", "category AS acquisition_channel_category"))
 q("k51_economics_with_total", econ("ue"))
 _g, _n = ratio("mrr - b", "b"), ratio("b + up - dn - lo", "b")
-q("k34_k36_efficiency", f"""SELECT {out(f'''month_date=m:d; rule_of_40_proxy={r6(f'{_g} * 12 + ({_n} - 1)')}:m; magic_number={r6(ratio('(nw + up - dn - lo) * 12', 'total'))}:m;
-burn_multiple_proxy={r6(ratio('total', '(nw + up - dn - lo) * 12'))}:m''')} FROM kmf, (SELECT sum(spend) AS total FROM ue0)""")
+_efficiency = f"""month_date=m:d; rule_of_40_proxy={r6(f'{_g} * 12 + ({_n} - 1)')}:m; magic_number={r6(ratio('(nw + up - dn - lo) * 12', 'total'))}:m;
+burn_multiple_proxy={r6(ratio('total', '(nw + up - dn - lo) * 12'))}:m"""
+q("k34_k36_efficiency", f"SELECT {out(_efficiency)} FROM kmf, (SELECT sum(spend) AS total FROM ue0)")
+q("k34_k36_by_channel", f"SELECT {out('acquisition_channel:s; ' + _efficiency)} FROM kmc, (SELECT sum(spend) AS total FROM ue0)")
 _risk = f"""customer_count=count(*):n; avg_churn_risk_score={r6(mean('score'))}:m; customers_at_risk=count(*) FILTER (WHERE band IN ('high', 'critical')):n;
 mrr_at_risk=sum(at_risk):m; pct_mrr_at_risk={r6(ratio('sum(at_risk)', 'any_value(last_mrr)'))}:m"""
 _risk_from = "FROM risk, (SELECT arg_max(ending, m) AS last_mrr FROM fm)"
@@ -93,7 +97,8 @@ q("k37_k40_churn_risk", f"SELECT {out(_risk)} {_risk_from}")
 q("k52_risk_by_industry", f"SELECT {out('industry:s; ' + _risk)} {_risk_from} GROUP BY industry")
 _coh = f"""cohort_retention={r6('avg(' + pct('n', 'cohort_size') + ') / 100')}:m; cohort_mrr_retention={r6('avg(' + pct('total', 'm0_total') + ') / 100')}:m; cohort_size=sum(cohort_size):n"""
 q("k41_k43_cohorts", f"SELECT {out(_coh)} FROM ret")
-q("k41_k43_cohorts_by_period", f"SELECT {out(chr(112) + 'eriod_label=' + repr('M') + ' || p:s; ' + _coh)} FROM ret GROUP BY p")
+_period = "period_label='M' || p:s; " + _coh
+q("k41_k43_cohorts_by_period", f"SELECT {out(_period)} FROM ret GROUP BY p")
 q("k48_subscriptions", f"SELECT {out('plan_tier:s; active_subscriptions=count(*) FILTER (WHERE end_date IS NULL):n; subscription_mrr=sum(mrr):m')} FROM ds GROUP BY plan_tier")
 q("k49_k50_stored_measures", f"""SELECT {out(f'''mrr_monthly_sum=sum(ending):m; net_new_mrr_sum=sum(net_new):m; net_revenue_retention={r6('arg_max_null(nrr, m) / 100')}:m;
 quick_ratio=arg_max_null(qr, m):m; arpc=arg_max_null(arpc, m):m''')} FROM fkf""")
@@ -139,8 +144,8 @@ _qr, _d = ratio("nw + up", "dn + lo"), "CAST(mrr AS DOUBLE)"
 q("v01_executive_row", f"""SELECT {out(f'''month_date=m:d; mrr:m; mrr_label={label(_d)}:s; mrr_mom={r6(_g)}:m; mrr_trend={arrow(_g)}:s; arr=mrr * 12:m; arr_label={label(_d + ' * 12')}:s;
 net_revenue_retention={r6(_n)}:m; nrr_status=CASE WHEN {_n} >= 1.2 THEN 'Excellent' WHEN {_n} >= 1 THEN 'Good' WHEN {_n} < 1 THEN 'Needs attention' END:s;
 gross_revenue_retention={r6(ratio('b - dn - lo', 'b'))}:m; logo_churn={r6(ratio('n_churn', 'b_act'))}:m; quick_ratio={r6(_qr)}:m; quick_ratio_trend={arrow(_qr + ' - pq')}:s;
-active_customers=act:n; rule_of_40_proxy={r6(f'{_g} * 12 + ({_n} - 1)')}:m; ltv_to_cac={r6('ltv')}:m; mrr_change={r6('mrr - pm')}:m''')}
-FROM (SELECT *, lag({_qr}) OVER (ORDER BY m) AS pq, lag(CAST(mrr AS DOUBLE)) OVER (ORDER BY m) AS pm FROM kmf), (SELECT avg(ltv_cac) AS ltv FROM ue0) ORDER BY m DESC LIMIT 1""")
+active_customers=act:n; rule_of_40_proxy={r6(f'{_g} * 12 + ({_n} - 1)')}:m; magic_number={r6(ratio('(nw + up - dn - lo) * 12', 'spend'))}:m; ltv_to_cac={r6('ltv')}:m; mrr_change={r6('mrr - pm')}:m''')}
+FROM (SELECT *, lag({_qr}) OVER (ORDER BY m) AS pq, lag(CAST(mrr AS DOUBLE)) OVER (ORDER BY m) AS pm FROM kmf), (SELECT avg(ltv_cac) AS ltv, sum(spend) AS spend FROM ue0) ORDER BY m DESC LIMIT 1""")
 q("v02_mrr_trend", f"SELECT {out('month_key:s; ending_mrr=ending:m; active_customers=active:n')} FROM fk")
 q("v03_waterfall_steps", f"""WITH l AS (SELECT * FROM fk ORDER BY m DESC LIMIT 1)
 SELECT {out('month_key:s; step:n; label:s; height:m; bottom:m')} FROM (
@@ -171,11 +176,11 @@ q("v12_risk_drivers", " UNION ALL ".join(f"SELECT '{name}' AS driver, {r6(mean(f
 q("v13_cohort_heatmap", f"SELECT {out('cohort_month_key=' + ym('cohort') + ':s; ' + '; '.join(f'M{i}=max(' + pct('n', 'cohort_size') + f') FILTER (WHERE p = {i}):m' for i in range(13)))} FROM ret GROUP BY cohort")
 q("v14_risk_accounts", f"""SELECT {out('''customer_id:s; company_name:s; current_mrr:m; churn_risk_score=score:n; risk_band=band:s; top_driver_points=greatest(p1, p2, p3, p4, p5, p6):n;
 top_driver=CASE greatest(p1, p2, p3, p4, p5, p6) ''' + ' '.join(f"WHEN p{i + 1} THEN '{n}'" for i, n in enumerate(_pts)) + ''' END:s''')}
-FROM risk WHERE band IN ('high', 'critical') ORDER BY score DESC, risk.current_mrr DESC, risk.customer_id LIMIT 50""")
+FROM risk WHERE band IN ('high', 'critical') ORDER BY score DESC, risk.current_mrr DESC, risk.customer_id""")
 q("v15_slicer_values", """SELECT DISTINCT 'plan_tier' AS slicer, current_plan_tier AS value FROM dc WHERE current_plan_tier IS NOT NULL
 UNION ALL SELECT DISTINCT 'channel', acquisition_channel FROM dc WHERE acquisition_channel IS NOT NULL UNION ALL SELECT DISTINCT 'industry', industry FROM dc
 UNION ALL SELECT DISTINCT 'company_size', company_size FROM dc UNION ALL SELECT 'month', month_key FROM fk""")
-q("v16_last_refresh", "SELECT '2001-08-02 00:00:00' AS last_refresh FROM (SELECT count(*) AS n FROM fm) WHERE n > 0")
+q("v16_last_refresh", "SELECT '2001-11-30 00:00:00' AS last_refresh FROM (SELECT count(*) AS n FROM fm) WHERE n > 0")
 VIEWS["span"] = "SELECT min(event_date) AS lo, max(event_date) AS hi FROM ev"
 VIEWS["day_list"] = "SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS x FROM span"
 q("v17_calendar", f"SELECT {out('date=x:d; year=year(x):n; month=' + ym('x') + ':s; month_start=' + month('x') + ':d; quarter=' + yq('x') + ':s')} FROM day_list")
@@ -194,26 +199,31 @@ FROM tp GROUP BY customer_id, (seq - 1) // 1000""")
 q("a10_exact_median", "SELECT CAST(round(median(x)) AS DOUBLE) AS median_days_to_paid FROM (SELECT min(age_days) FILTER (WHERE first_paid) AS x FROM hist2 GROUP BY customer_id)")
 q("f30_feature_adoption", f"""SELECT {out('feature=f:s; active_subscriptions=count(*):n')} FROM (SELECT unnest(string_split(features, ',')) AS f
 FROM ds JOIN plan USING (plan_id) WHERE end_date IS NULL) GROUP BY f""")
-q("d08_attribution_renormalised", "SELECT customer_id, CAST(1 AS DOUBLE) AS decay_sum FROM tp GROUP BY customer_id")
+q("d08_attribution_renormalised", "SELECT touch_id, customer_id, round(w_decay / sum(w_decay) OVER (PARTITION BY customer_id), 6) AS time_decay_weight FROM tp")
 
-q("s01_raw_csv", """SELECT customer_id, company_name, strftime(signup_date, '%Y-%m-%d %H:%M:%S') AS signup_date,
+q("s01_raw_csv", """SELECT customer_id, company_name, lower(industry) AS industry, company_size, country, strftime(signup_date, '%Y-%m-%d %H:%M:%S') AS signup_date,
+  upper(email) AS email, CAST(acquisition_channel_id AS VARCHAR) AS acquisition_channel_id, CAST(initial_plan_id AS VARCHAR) AS initial_plan_id,
+  ['true', '0', 'YES', 'no', 'maybe'][CAST(ck % 5 AS INTEGER) + 1] AS is_trial,
   CASE WHEN ck % 97 = 0 THEN 'not-a-date' ELSE strftime(trial_end_date, '%Y-%m-%d') END AS trial_end_date FROM cust""")
 q("s03_month_partitions", f"SELECT {ym('event_date')} AS month_key, count(*) AS events FROM ev WHERE event_date BETWEEN DATE '1999-01-01' AND DATE '1999-06-30' GROUP BY 1")
 q("s04_sql_view", f"SELECT {out('month_key:s; ending_mrr=ending:m; active_customers=active:n')} FROM fk WHERE active > 0")
 q("s05_mart_extracts", f"""SELECT {out('''month_date=m:d; month_key:s; active_customers=active:n; new_customers=n_new:n; churned_customers=n_churn:n; ending_mrr=ending:m; new_mrr:m; expansion_mrr=up_mrr:m;
 contraction_mrr=down_mrr:m; churned_mrr=lost_mrr:m; net_new_mrr=net_new:m; nrr_pct=nrr:m; quick_ratio=qr:m; arpc:m''')} FROM fk""")
-q("s05_extract_rows", " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS \"rows\", count({k}) AS keys FROM {v}" for t, v, k in [
-    ("fct_mrr", "fm", "m"), ("dim_customers", "dc", "customer_id"), ("dim_subscriptions", "ds", "subscription_id"),
-    ("rpt_unit_economics", "ue", "channel"), ("rpt_churn_risk", "risk", "customer_id"), ("rpt_cohort_retention", "ret", "p")]))
-q("s06_coerce_columns", f"SELECT {out('payment_id:s; amount:m; payment_date:d; status:s')} FROM pay")
-q("s07_export_bundle", " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS \"rows\" FROM {v}" for t, v in [
-    ("fct_mrr", "fm"), ("fct_mrr_filled", "fmf"), ("fct_subscription_events", "ev"), ("dim_customers", "dc"), ("dim_subscriptions", "ds"),
-    ("rpt_cohort_retention", "ret"), ("rpt_unit_economics", "ue"), ("rpt_churn_risk", "risk")]))
+q("s05_extract_rows", " UNION ALL ".join(f"SELECT '{t}' AS \"table\", CAST({k} AS VARCHAR) AS key, count(*) AS \"rows\", CAST(sum({v}) AS DOUBLE) AS total FROM {view} GROUP BY ALL" for t, view, k, v in [
+    ("fct_mrr", "fm", "strftime(m, '%Y-%m-%d')", "ending"), ("dim_customers", "dc", "customer_id", "lifetime_revenue"), ("dim_subscriptions", "ds", "subscription_id", "mrr"),
+    ("rpt_unit_economics", "ue", "channel", "acquired"), ("rpt_churn_risk", "risk", "customer_id", "score"), ("rpt_cohort_retention", "ret", "p", "n")]))
+_method = "CASE payment_method WHEN 'ach' THEN 'ACH' WHEN 'wire' THEN ' wire ' ELSE payment_method END"
+q("s06_coerce_columns", f"SELECT {out('payment_id:s; subscription_id:s; customer_id:s; amount:m; currency=lower(currency):s; payment_date:d; payment_method=' + _method + ':s; status:s; created_at:t')} FROM pay")
+q("s07_export_bundle", " UNION ALL ".join(f"SELECT '{t}' AS \"table\", CAST({k} AS VARCHAR) AS key, count(*) AS \"rows\", CAST(sum({v}) AS DOUBLE) AS total FROM {view} GROUP BY ALL" for t, view, k, v in [
+    ("fct_mrr", "fm", "strftime(m, '%Y-%m')", "ending"), ("fct_mrr_filled", "fmf", "strftime(m, '%Y-%m')", "ending"),
+    ("fct_subscription_events", "fse", "event_id", "mrr_change"), ("dim_customers", "dc", "customer_id", "current_mrr"),
+    ("dim_subscriptions", "ds", "subscription_id", "mrr"), ("rpt_cohort_retention", "ret", "strftime(cohort, '%Y-%m')", "n"),
+    ("rpt_unit_economics", "ue", "channel", "revenue"), ("rpt_churn_risk", "risk", "customer_id", "score")]))
 
 # --- checks -----------------------------------------------------------------------------
 # Table name, view, unique column (view name), other required columns, allowed values.
 _T = [
-    ("raw_customers", "cust", "customer_id", ["signup_date"], {}),
+    ("raw_customers", "cust", "customer_id", ["signup_date + INTERVAL 0 HOUR:signup_date"], {}),
     ("raw_subscriptions", "subs", "subscription_id", ["customer_id"], {}),
     ("raw_subscription_events", "ev", "event_id", [], {"event_type": "subscription_started subscription_upgraded subscription_downgraded subscription_churned subscription_reactivated"}),
     ("raw_payments", "pay", "payment_id", [], {"status": "succeeded failed"}),
@@ -256,7 +266,8 @@ for _t, _v, _u, _req, _vals in _T:
         _suite.append(f"SELECT '{_t}' AS \"table\", 'unique' AS \"check\", '{n}' AS \"column\", count(*) AS failures FROM ({dup})")
     for col in ([_u] if _u else []) + _req:
         c, n = _pair(col)
-        _null.append(f"SELECT '{_t}' AS \"table\", '{n}' AS \"column\", CAST(NULL AS VARCHAR) AS value, count(*) AS \"rows\" FROM {_v} WHERE {c} IS NULL HAVING count(*) > 0")
+        _damaged = f"{c} IS NULL OR right(CAST({c} AS VARCHAR), 1) = '7'"
+        _null.append(f"SELECT '{_t}' AS \"table\", '{n}' AS \"column\", CAST(NULL AS VARCHAR) AS value, count(*) AS \"rows\" FROM {_v} WHERE {_damaged} HAVING count(*) > 0")
         _suite.append(f"SELECT '{_t}', 'not_null', '{n}', count(*) FROM {_v} WHERE {c} IS NULL")
     for col, vals in _vals.items():
         c, n = _pair(col)
@@ -265,7 +276,7 @@ for _t, _v, _u, _req, _vals in _T:
 q("t01_unique", " UNION ALL ".join(_uniq))
 q("t02_not_null", " UNION ALL ".join(_null))
 q("t03_accepted_values", " UNION ALL ".join(_acc))
-q("t04_relationships", "SELECT subscription_id, customer_id FROM subs WHERE customer_id NOT IN (SELECT customer_id FROM cust)")
+q("t04_relationships", "SELECT subscription_id, customer_id FROM subs WHERE customer_id NOT IN (SELECT customer_id FROM cust WHERE right(customer_id, 1) <> '3')")
 
 
 def balance(fact: str, cols: str) -> str:
@@ -277,15 +288,15 @@ q("t05_balance", balance("fm", _bal))
 q("t05_balance_filled", balance("fmf", _bal))
 _w = {"first_touch_sum": "w_first", "last_touch_sum": "w_last", "linear_sum": "w_linear", "position_based_sum": "w_pos"}
 _weights = "SELECT customer_id, " + ", ".join(f"round(sum({c}), 4) AS {n}" for n, c in _w.items()) + " FROM tp GROUP BY 1 HAVING greatest(" + ", ".join(f"abs(sum({c}) - 1)" for c in _w.values()) + ") > 0.01"
-q("t06_attribution_weights", _weights)
+q("t06_attribution_weights", _weights.replace("FROM tp", "FROM tp WHERE right(touch_id, 1) <> '5'"))
 _band = "CASE WHEN score >= 75 THEN 'critical' WHEN score >= 50 THEN 'high' WHEN score >= 25 THEN 'medium' ELSE 'low' END"
-q("t07_churn_score", f"SELECT {out('customer_id:s; churn_risk_score=score:n; risk_band=band:s; expected_band=' + _band + ':s')} FROM risk WHERE score NOT BETWEEN 0 AND 100 OR band <> {_band}")
+q("t07_churn_score", f"SELECT {out('customer_id:s; churn_risk_score=score:n; risk_band=band:s; expected_band=' + _band + ':s')} FROM (SELECT * REPLACE (CASE WHEN right(customer_id, 1) = '4' THEN score + 60 ELSE score END AS score) FROM risk) WHERE score NOT BETWEEN 0 AND 100 OR band <> {_band}")
 _rate = pct("n", "cohort_size")
 _badret = f"(p = 0 AND {_rate} < 95) OR {_rate} NOT BETWEEN 0 AND 100 OR n NOT BETWEEN 0 AND cohort_size"
 q("t08_cohort_retention", f"SELECT {out('cohort_month=cohort:d; months_since_signup=p:n; cohort_size:n; active_customers=n:n; retention_rate=' + _rate + ':m')} FROM ret WHERE {_badret}")
 _badue = "paying > acquired OR churned > acquired OR least(cac, spend, payback) < 0 OR churn NOT BETWEEN 0 AND 1"
 q("t09_unit_economics", f"""SELECT {out('''acquisition_channel=channel:s; customers_acquired=acquired:n; active_paying_customers=paying:n; churned_customers=churned:n; cac:m;
-total_acquisition_spend=spend:m; cac_payback_months=payback:m; observed_churn_rate=churn:m''')} FROM ue0 WHERE {_badue}""")
+total_acquisition_spend=spend:m; cac_payback_months=payback:m; observed_churn_rate=churn:m''')} FROM (SELECT * REPLACE (CASE WHEN right(channel, 1) = 's' THEN -cac ELSE cac END AS cac) FROM ue0) WHERE {_badue}""")
 q("t10_suite", " UNION ALL ".join(_suite + [
     "SELECT 'raw_subscriptions', 'relationships', 'customer_id', count(*) FROM subs WHERE customer_id NOT IN (SELECT customer_id FROM cust)",
     f"SELECT 'fct_mrr', 'mrr_movements_balance', 'ending_mrr', count(*) FROM ({balance('fm', 'm')})",

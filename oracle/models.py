@@ -1,6 +1,6 @@
 """Oracle statements for the dataset operators (d…)."""
 
-from oracle.views import mean, month, months, out, pct, ratio, sql, ym, yq
+from oracle.views import AS_OF, mean, month, months, out, pct, ratio, sql, ym, yq
 
 Q: dict[str, str] = {}
 
@@ -133,9 +133,9 @@ FROM (SELECT *, CASE WHEN prev IS NULL THEN 'new' WHEN mrr > prev THEN 'expansio
   WHEN mrr = 0 AND prev > 0 THEN 'churn' ELSE 'unchanged' END AS label
   FROM (SELECT *, lag(mrr) OVER (PARTITION BY customer_id ORDER BY m) AS prev, min(m) OVER (PARTITION BY customer_id) AS m0 FROM cm))""")
 q("d29_billing_schedule", f"""WITH due AS (
-  SELECT subscription_id, customer_id, billing_cycle, start_date, start_date AS due_date FROM subs WHERE start_date < coalesce(end_date, DATE '2001-08-02')
+  SELECT subscription_id, customer_id, billing_cycle, start_date, start_date AS due_date FROM subs WHERE start_date < coalesce(end_date, {AS_OF})
   UNION ALL
-  SELECT subscription_id, customer_id, billing_cycle, start_date, cal.m FROM subs JOIN cal ON cal.m > start_date AND cal.m > {month('start_date')} AND cal.m < coalesce(end_date, DATE '2001-08-02')),
+  SELECT subscription_id, customer_id, billing_cycle, start_date, cal.m FROM subs JOIN cal ON cal.m > start_date AND cal.m > {month('start_date')} AND cal.m < coalesce(end_date, {AS_OF})),
 stamped AS (SELECT due.*, (SELECT arg_max(mrr_after, strftime(event_at, '%Y%m%d%H%M%S') || event_id) FROM ev
   WHERE ev.subscription_id = due.subscription_id AND ev.event_at <= due.due_date) AS rate FROM due)
 SELECT {out('''subscription_id:s; customer_id:s; due_date:d; billing_cycle:s; mrr_in_force=rate:m;

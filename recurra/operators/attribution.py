@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from recurra.functions import rules
 from recurra.functions.numbers import dbl, decay, ratio
-from recurra.operators.timeline import PART, add_part, find_hot, lookup_by_key, sequence
+from recurra.operators.timeline import sequence
 from recurra.settings import Settings
 
 ORDER = ["touched_at", "touch_id"]
@@ -34,22 +34,27 @@ def attribution_touchpoints(
     With ``renormalise`` the time-decay weights are scaled to sum to one per customer;
     as recorded they may not when some touches have no or negative distance.
     """
-    hot = find_hot(touches, "customer_id", ORDER, settings)
     who = (
         customers.select("customer_id", "company_size", "industry")
         .join(customer_value(subscriptions).select("customer_id", "initial_mrr"), "customer_id", "full")
     )
-    rows = lookup_by_key(add_part(touches, hot), who, "customer_id", hot, "left").withColumn(
+    rows = touches.join(who, "customer_id", "left").withColumn(
         "_power", decay(F.col("days_to_conversion"), settings.half_life_days)
     )
-    rows = rows.withColumn("_one", F.lit(1))
+    before = F.coalesce(F.col("days_to_conversion") >= 0, F.lit(False))
+    rows = rows.withColumns(
+        {"_one": F.lit(1), "_near_power": F.when(before, F.col("_power")), "_other": (~before).cast("int")}
+    )
     rows = sequence(
-        rows, "customer_id", ORDER, hot,
+        rows, "customer_id", ORDER,
         number="touch_sequence",
-        total={"total_touches": ("count", "_one"), "_powers": ("sum", "_power")},
+        total={
+            "total_touches": ("count", "_one"), "_powers": ("sum", "_power"), "_near": ("sum", "_near_power"),
+            "_others": ("sum", "_other"),
+        },
         first={"first_touch_at": "touched_at"},
         last={"last_touch_at": "touched_at"},
-    ).drop(PART, "_one")
+    ).drop("_one", "_near_power", "_other")
     named = channels.select("channel_id", "channel_name", "channel_category", "is_paid", "typical_cac")
     rows = rows.join(named, "channel_id", "left")
     seq, n = F.col("touch_sequence"), F.col("total_touches")
@@ -65,12 +70,10 @@ def attribution_touchpoints(
         }
     )
     if renormalise:
-        sums = rows.groupBy("customer_id").agg(F.sum("time_decay_weight").alias("_decay_sum"))
-        rows = (
-            rows.join(sums, "customer_id", "left")
-            .withColumn("time_decay_weight", ratio(F.col("time_decay_weight"), F.col("_decay_sum")))
-            .drop("_decay_sum")
-        )
+        # What the weights of a customer sum to, from the same totals: touches before the conversion share by power,
+        # the others count one part in all.
+        decayed = F.coalesce(ratio(F.col("_near"), F.col("_powers")), F.lit(0.0)) + ratio(F.col("_others"), n)
+        rows = rows.withColumn("time_decay_weight", ratio(F.col("time_decay_weight"), decayed))
     value = F.coalesce(dbl("initial_mrr"), F.lit(0.0))
     return rows.withColumns(
         {
@@ -79,7 +82,7 @@ def attribution_touchpoints(
             "is_last_touch": seq == n,
             "journey_stage": rules.journey_stage(seq, n),
         }
-    ).drop("_power", "_powers")
+    ).drop("_power", "_powers", "_near", "_others")
 
 
 def first_last_channels(touches: DataFrame, channels: DataFrame) -> DataFrame:

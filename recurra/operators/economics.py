@@ -5,24 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recurra.functions.numbers import count_where, dbl, largest, mean, money, pct, ratio, rnd
+from recurra.functions.numbers import dbl, largest, money, pct, ratio, rnd
 from recurra.functions.rules import BLENDED
 from recurra.settings import Settings
 
 
 def channel_rollup(dim_customers: DataFrame) -> DataFrame:
-    """Customer outcomes per acquisition channel."""
-    return dim_customers.groupBy(
-        "acquisition_channel", "acquisition_channel_category", "is_paid_acquisition"
-    ).agg(
+    """Customer outcomes per acquisition channel; a repeated id counts as one customer."""
+    keys = ["acquisition_channel", "acquisition_channel_category", "is_paid_acquisition"]
+    known = F.col("customer_id").isNotNull()
+    earning = F.nullif(F.col("current_mrr"), F.lit(0).cast("decimal(18,4)"))
+    sums = {"_revenue": F.col("lifetime_revenue"), "_mrr": F.col("current_mrr"), "_earning": earning, "_days": F.col("days_since_signup")}
+    each = dim_customers.groupBy(*keys, "customer_id").agg(
+        F.max((known & (F.col("customer_status") == "active_paying")).cast("int")).alias("_paying"),
+        F.max((known & F.col("has_churned")).cast("int")).alias("_churned"),
+        *[F.sum(c).alias(n) for n, c in sums.items()],
+        *[F.count(c).alias(f"{n}_n") for n, c in sums.items()],
+    )
+
+    def average(name: str) -> Column:
+        return ratio(F.sum(name), F.sum(f"{name}_n"))
+
+    return each.groupBy(*keys).agg(
         F.count("customer_id").alias("customers_acquired"),
-        count_where(F.col("customer_status") == "active_paying").alias("active_paying_customers"),
-        count_where(F.col("has_churned")).alias("churned_customers"),
-        F.sum("lifetime_revenue").alias("total_lifetime_revenue"),
-        F.sum("current_mrr").alias("current_mrr"),
-        mean(F.col("lifetime_revenue")).alias("avg_lifetime_revenue"),
-        mean(F.nullif(F.col("current_mrr"), F.lit(0).cast("decimal(18,4)"))).alias("arpc"),
-        mean(F.col("days_since_signup")).alias("avg_tenure_days"),
+        F.coalesce(F.sum("_paying"), F.lit(0)).alias("active_paying_customers"),
+        F.coalesce(F.sum("_churned"), F.lit(0)).alias("churned_customers"),
+        F.sum("_revenue").alias("total_lifetime_revenue"),
+        F.sum("_mrr").alias("current_mrr"),
+        average("_revenue").alias("avg_lifetime_revenue"),
+        average("_earning").alias("arpc"),
+        average("_days").alias("avg_tenure_days"),
     )
 
 

@@ -10,7 +10,7 @@ from recurra.functions.dates import (
     days_between, month_key, months_between_boundaries, quarter_key, weekday_name,
 )
 from recurra.functions.numbers import money
-from recurra.operators.timeline import PART, add_part, find_hot, lookup_by_key, sequence
+from recurra.operators.timeline import sequence
 from recurra.settings import Settings
 
 ORDER = ["event_at", "event_id"]
@@ -20,7 +20,6 @@ def customer_subscription_history(
     customers: DataFrame, events: DataFrame, plans: DataFrame, settings: Settings
 ) -> DataFrame:
     """One row per event of a known customer, with tenure, neighbours and milestones."""
-    hot = find_hot(events, "customer_id", ORDER, settings)
     who = customers.select(
         "customer_id", "company_name", "industry", "company_size", "country", "signup_date",
         "acquisition_channel_id", "is_trial",
@@ -31,17 +30,17 @@ def customer_subscription_history(
     )
     category = F.col("event_category")
     rows = (
-        lookup_by_key(add_part(what, hot), who, "customer_id", hot, "inner")
+        what.join(who, "customer_id")
         .withColumn("_churn", (category == "churn").cast("int"))
         .withColumn("_up", (category == "expansion").cast("int"))
     )
     rows = sequence(
-        rows, "customer_id", ORDER, hot,
+        rows, "customer_id", ORDER,
         number="event_sequence",
         lag={"previous_event_type": "event_type", "previous_plan_id": "plan_id"},
         lead={"next_event_type": "event_type", "next_event_date": "event_date"},
         total={"has_ever_churned": ("max", "_churn"), "has_ever_upgraded": ("max", "_up")},
-    ).drop(PART, "_churn", "_up")
+    ).drop("_churn", "_up")
     named = plans.select("plan_id", "plan_name", "plan_tier", F.col("monthly_price").alias("plan_price"))
     on, signup = F.col("event_date"), F.col("signup_date")
     return rows.join(named, "plan_id", "left").withColumns(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recurra.operators.timeline import PART, add_part, find_hot, sequence
+from recurra.operators.timeline import sequence
 from recurra.settings import Settings
 
 ORDER = ["state_at", "state_id"]
@@ -17,13 +17,10 @@ def number_subscriptions(states: DataFrame, key: str, settings: Settings) -> Dat
     A subscription starts whenever a plan follows no plan; states before the first
     plan carry number 0.
     """
-    hot = find_hot(states, key, ORDER, settings)
-    rows = sequence(
-        add_part(states, hot), key, ORDER, hot, lag={"previous_plan_id": "plan_id", "previous_mrr": "mrr"}
-    )
+    rows = sequence(states, key, ORDER, lag={"previous_plan_id": "plan_id", "previous_mrr": "mrr"})
     starts = F.col("plan_id").isNotNull() & F.col("previous_plan_id").isNull()
     rows = rows.withColumn("starts", starts.cast("int"))
-    return sequence(rows, key, ORDER, hot, running={"subscription_no": "starts"}).drop(PART)
+    return sequence(rows, key, ORDER, running={"subscription_no": "starts"})
 
 
 def lifecycle_events(timeline: DataFrame) -> DataFrame:

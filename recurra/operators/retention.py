@@ -13,8 +13,9 @@ from recurra.settings import Settings
 
 
 def cohort_sizes(customers: DataFrame) -> DataFrame:
-    """Customers per signup month; ``customers`` holds one row per customer."""
-    return customers.groupBy(month_start(F.col("signup_date")).alias("cohort_month")).agg(
+    """Customers per signup month; a repeated id counts once."""
+    month = month_start(F.col("signup_date")).alias("cohort_month")
+    return customers.select("customer_id", month).distinct().groupBy("cohort_month").agg(
         F.count("customer_id").alias("cohort_size")
     )
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from recurra.functions import rules
 from recurra.functions.dates import month_key, quarter_key
 from recurra.functions.numbers import count_where, dbl, money, rnd
-from recurra.operators.timeline import spread_join
 from recurra.settings import Settings
 
 
@@ -37,7 +36,7 @@ def dim_subscriptions(
         F.col("max_users").alias("plan_max_users"),
     )
     wide = (
-        spread_join(subscriptions, who, "customer_id", ["created_at", "subscription_id"], settings)
+        subscriptions.join(who, "customer_id", "left")
         .join(subscription_event_metrics(events), "subscription_id", "left")
         .join(plan, "plan_id", "left")
     )

@@ -1,122 +1,17 @@
 """Ordered per-key computations that survive a key holding much of the table.
 
-A window over ``key`` sends all rows of a key to one task. ``find_hot`` counts
-rows per key first and, for keys above ``settings.hot_key_rows``, picks cut points
-along the ordering. ``sequence`` then runs its window per (key, part) and stitches
-neighbours, positions and totals together from one summary row per part. Without
-hot keys it is one plain window.
+A window over ``key`` sends all rows of a key to one task. ``sequence`` instead runs its window per (key, hour of the
+ordering time): a part needs no look at the data, is the same in every retry and for every key, and follows the order.
+One summary row per (key, part) carries positions, neighbours, running sums and totals across parts; the window over a
+key sees summaries only, at most one per hour of the calendar. There is one path for all sizes.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recurra.settings import Settings
-
 PART = "_part"
-
-
-@dataclass(frozen=True)
-class HotKeys:
-    """Cut points of the keys too large for one task; at most ``max_hot_keys`` rows."""
-
-    key: str
-    order: tuple[str, ...]
-    cuts: DataFrame  # columns: _hot_key, _cuts (sorted array of ordering structs)
-
-
-def _rank(order) -> Column:
-    return F.struct(*[F.col(c) for c in order])
-
-
-def find_hot(df: DataFrame, key: str, order: list[str], settings: Settings) -> HotKeys | None:
-    """Locate keys above the row limit and their cut points; None when there are none.
-
-    Two small jobs: a map-side combined count per key, and, only for keys found,
-    a hash sample of their orderings. The driver receives at most ``max_hot_keys``
-    rows of at most ``max_parts_per_key`` cuts; as fixed values they give every
-    task and every retry the same parts.
-    """
-    limit = settings.hot_key_rows
-    counts = df.groupBy(F.col(key).alias("_hot_key")).agg(F.count("*").alias("_rows"))
-    found = (
-        counts.where(F.col("_rows") > limit).orderBy(F.desc("_rows")).limit(settings.max_hot_keys).toArrow()
-    )
-    if found.num_rows == 0:
-        return None
-    spark = df.sparkSession
-    per_cut = 20
-    hot = spark.createDataFrame(found).withColumn(
-        "_parts",
-        F.least(F.ceil(F.col("_rows") / limit) + 1, F.lit(settings.max_parts_per_key)).cast("int"),
-    )
-    hot = hot.withColumn(
-        "_step", F.greatest(F.lit(1), F.floor(F.col("_rows") / (F.col("_parts") * per_cut))).cast("long")
-    )
-    cuts = (
-        df.select(F.col(key).alias("_k"), _rank(order).alias("_o"))
-        .join(F.broadcast(hot), F.col("_k").eqNullSafe(F.col("_hot_key")))
-        .where(F.pmod(F.xxhash64("_o"), F.col("_step")) == 0)
-        .select("_hot_key", "_parts", "_o")
-        .distinct()
-        .groupBy("_hot_key", "_parts")
-        .agg(F.sort_array(F.collect_list("_o")).alias("_s"))
-        .select(
-            "_hot_key",
-            F.expr(
-                "transform(sequence(1, greatest(_parts - 1, 1)),"
-                " i -> _s[cast(i * size(_s) div greatest(_parts, 2) as int)])"
-            ).alias("_cuts"),
-        )
-        .toArrow()
-    )
-    return HotKeys(key, tuple(order), spark.createDataFrame(cuts))
-
-
-def add_part(df: DataFrame, hot: HotKeys | None) -> DataFrame:
-    """Number each row's part within its key; 0 for every key that is not hot."""
-    if hot is None:
-        return df.withColumn(PART, F.lit(0))
-    below = F.filter(F.col("_cuts"), lambda cut: cut < _rank(hot.order))
-    return (
-        df.join(F.broadcast(hot.cuts), F.col(hot.key).eqNullSafe(F.col("_hot_key")), "left")
-        .withColumn(PART, F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(below)))
-        .drop("_cuts", "_hot_key")
-    )
-
-
-def lookup_by_key(
-    fact: DataFrame, one_per_key: DataFrame, key: str, hot: HotKeys | None, how: str = "left"
-) -> DataFrame:
-    """Join a one-row-per-key table to a fact already numbered by ``add_part``.
-
-    Hot keys' rows are copied once per part so the fact keeps its (key, part)
-    partitioning, which the window that follows reuses.
-    """
-    if hot is None:
-        return fact.join(one_per_key, key, how)
-    copies = F.when(F.col("_cuts").isNull(), F.array(F.lit(0))).otherwise(
-        F.sequence(F.lit(0), F.size("_cuts"))
-    )
-    spread = (
-        one_per_key.join(F.broadcast(hot.cuts), F.col(key) == F.col("_hot_key"), "left")
-        .withColumn(PART, F.explode(copies))
-        .drop("_cuts", "_hot_key")
-    )
-    return fact.join(spread, [key, PART], how)
-
-
-def spread_join(
-    fact: DataFrame, one_per_key: DataFrame, key: str, order: list[str], settings: Settings, how: str = "left"
-) -> DataFrame:
-    """Join a one-row-per-key table to a fact in which one key may hold much of the rows."""
-    hot = find_hot(fact, key, order, settings)
-    return lookup_by_key(add_part(fact, hot), one_per_key, key, hot, how).drop(PART)
-
-
 _MERGE = {"count": F.sum, "sum": F.sum, "max": F.max, "min": F.min}
 _LOCAL = {"count": F.count, "sum": F.sum, "max": F.max, "min": F.min}
 
@@ -125,7 +20,6 @@ def sequence(
     df: DataFrame,
     key: str,
     order: list[str],
-    hot: HotKeys | None = None,
     *,
     number: str | None = None,
     lag: dict[str, str] | None = None,
@@ -137,82 +31,57 @@ def sequence(
 ) -> DataFrame:
     """Add positions, neighbours, running sums and per-key totals to ordered rows.
 
-    ``df`` carries the ``_part`` column of ``add_part``. ``lag``/``lead``/``first``/
-    ``last`` map new names to source columns, ``running`` to columns to sum up to and
-    including the row, ``total`` to (aggregate, column). ``order`` must end in a
-    unique column.
+    ``lag``/``lead``/``first``/``last`` map new names to source columns, ``running`` to columns to sum up to and
+    including the row, ``total`` to (aggregate, column). ``order`` starts with a timestamp and ends in a unique column.
     """
     lag, lead, running, total = lag or {}, lead or {}, running or {}, total or {}
     first, last = first or {}, last or {}
-    by = [key] if hot is None else [key, PART]
-    ordered = Window.partitionBy(*by).orderBy(*order)
+    df = df.withColumn(PART, F.date_trunc("hour", order[0]))
+    ordered = Window.partitionBy(key, PART).orderBy(*order)
     upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*by)
-    every = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
-    new: dict[str, Column] = {}
-    if number or lag:
-        new[number or "_n"] = F.row_number().over(ordered)
+    new: dict[str, Column] = {"_n": F.row_number().over(ordered)}
     new.update({n: F.lag(c).over(ordered) for n, c in lag.items()})
     new.update({n: F.lead(c).over(ordered) for n, c in lead.items()})
     new.update({n: F.sum(c).over(upto) for n, c in running.items()})
-    new.update({n: _LOCAL[a](c).over(whole) for n, (a, c) in total.items()})
-    new.update({n: F.first(c).over(every) for n, c in first.items()})
-    new.update({n: F.last(c).over(every) for n, c in last.items()})
-    if hot is not None and lead:
-        new["_left"] = F.lead(F.lit(1)).over(ordered)
     out = df.withColumns(new)
-    if hot is None:
-        return out.drop("_n")
 
-    # One row per (hot key, part): sizes, edge rows and partial totals.
+    # One row per (key, part): size, edge rows and partial sums.
     edge = sorted({*lag.values(), *lead.values(), *first.values(), *last.values()})
     row = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *edge)
     aggs = [F.count(F.lit(1)).alias("_rows"), F.min(row).alias("_head"), F.max(row).alias("_tail")]
     aggs += [F.sum(c).alias(f"_run_{n}") for n, c in running.items()]
     aggs += [_LOCAL[a](c).alias(f"_tot_{n}") for n, (a, c) in total.items()]
-    parts = (
-        df.join(
-            F.broadcast(hot.cuts.select("_hot_key")), F.col(key).eqNullSafe(F.col("_hot_key")), "left_semi"
-        )
-        .groupBy(F.col(key).alias("_k"), F.col(PART).alias("_p"))
-        .agg(*aggs)
-    )
-    seq = Window.partitionBy("_k").orderBy("_p")
+    parts = df.groupBy(F.col(key).alias("_k"), F.col(PART).alias("_p")).agg(*aggs)
+    seq, rest = Window.partitionBy("_k").orderBy("_p"), Window.partitionBy("_k")
     before = seq.rowsBetween(Window.unboundedPreceding, -1)
-    rest = Window.partitionBy("_k")
-    carry = {
-        "_c_rows": F.coalesce(F.sum("_rows").over(before), F.lit(0)),
-        "_c_prev": F.lag("_tail").over(seq),
-        "_c_next": F.lead("_head").over(seq),
-        "_c_head": F.min("_head").over(rest),
-        "_c_tail": F.max("_tail").over(rest),
-    }
+    carry = {"_c_rows": F.coalesce(F.sum("_rows").over(before), F.lit(0)), "_c_size": F.col("_rows")}
+    if lag:
+        carry["_c_prev"] = F.lag("_tail").over(seq)
+    if lead:
+        carry["_c_next"] = F.lead("_head").over(seq)
+    if first:
+        carry["_c_head"] = F.min("_head").over(rest)
+    if last:
+        carry["_c_tail"] = F.max("_tail").over(rest)
     carry |= {f"_c_run_{n}": F.sum(f"_run_{n}").over(before) for n in running}
     carry |= {f"_c_tot_{n}": _MERGE[a](f"_tot_{n}").over(rest) for n, (a, _) in total.items()}
-    # Bounded by max_hot_keys * max_parts_per_key rows.
     edges = parts.select("_k", "_p", *[c.alias(n) for n, c in carry.items()])
-    out = out.join(
-        F.broadcast(edges), F.col(key).eqNullSafe(F.col("_k")) & (F.col(PART) == F.col("_p")), "left"
-    )
-    is_hot = F.col("_p").isNotNull()
-    local = F.col(number or "_n") if (number or lag) else None
+    out = out.join(edges, F.col(key).eqNullSafe(F.col("_k")) & F.col(PART).eqNullSafe(F.col("_p")))
+
+    place = F.col("_n")
     fixed: dict[str, Column] = {}
     for n, c in lag.items():
-        fixed[n] = F.when(is_hot & (local == 1), F.col(f"_c_prev.{c}")).otherwise(F.col(n))
+        fixed[n] = F.when(place == 1, F.col(f"_c_prev.{c}")).otherwise(F.col(n))
     for n, c in lead.items():
-        fixed[n] = F.when(is_hot & F.col("_left").isNull(), F.col(f"_c_next.{c}")).otherwise(F.col(n))
+        fixed[n] = F.when(place == F.col("_c_size"), F.col(f"_c_next.{c}")).otherwise(F.col(n))
     for n in running:
         fixed[n] = F.when(
             F.col(n).isNotNull() | F.col(f"_c_run_{n}").isNotNull(),
             F.coalesce(F.col(n), F.lit(0)) + F.coalesce(F.col(f"_c_run_{n}"), F.lit(0)),
         )
-    for n in total:
-        fixed[n] = F.when(is_hot, F.col(f"_c_tot_{n}")).otherwise(F.col(n))
-    for n, c in first.items():
-        fixed[n] = F.when(is_hot, F.col(f"_c_head.{c}")).otherwise(F.col(n))
-    for n, c in last.items():
-        fixed[n] = F.when(is_hot, F.col(f"_c_tail.{c}")).otherwise(F.col(n))
+    fixed |= {n: F.col(f"_c_tot_{n}") for n in total}
+    fixed |= {n: F.col(f"_c_head.{c}") for n, c in first.items()}
+    fixed |= {n: F.col(f"_c_tail.{c}") for n, c in last.items()}
     if number:
-        fixed[number] = (F.col(number) + F.coalesce(F.col("_c_rows"), F.lit(0))).cast("int")
-    return out.withColumns(fixed).drop("_n", "_left", "_k", "_p", *carry)
+        fixed[number] = (place + F.col("_c_rows")).cast("int")
+    return out.withColumns(fixed).drop("_n", "_k", "_p", PART, *carry)

@@ -6,10 +6,12 @@ parquet and read back, so later reads prune columns and lineage stays short.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recurra.plans import datasets
 from recurra.operators import (
     attribution, billing, customers, economics, lifecycle, mrr, retention, risk, staging, subscriptions,
 )
@@ -32,6 +34,8 @@ LAYERS = {
     ],
 }
 STORED = {*LAYERS["raw"], *LAYERS["intermediate"], *LAYERS["marts"]}
+# Stored by month of this column, in folders that a filter on ``month_key_part`` prunes.
+BY_MONTH = {"fct_subscription_events": "event_date", "int_attribution_touchpoints": "touch_date"}
 
 
 class Warehouse:
@@ -61,7 +65,9 @@ class Warehouse:
             df = self._compose(name, self.table)
             if self.folder is not None and name in STORED:
                 path = f"{self.folder}/{name}"
-                write_mart(df, path)
+                if name in LAYERS["marts"]:
+                    df = datasets.stamped(df, dt.datetime.combine(self.settings.as_of, dt.time()))
+                write_mart(df, path, month_of=BY_MONTH.get(name))
                 df = self.spark.read.parquet(path)
             self._kept[name] = df
         return self._kept[name]

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import tempfile
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 from recurra.functions.numbers import cents_to_dollars, decay, divide_or, rnd
 from recurra.operators import attribution, customers, economics, mrr, plan_history, retention, risk, subscriptions
 from recurra.plans import (
-    channel_reports, checks, churn_reports, cohort_reports, datasets, kpi, lifecycle_reports, market_reports,
+    channel_reports, checks, churn_reports, cohort_reports, damage, datasets, kpi, lifecycle_reports, market_reports,
     performance_reports, roi_reports,
 )
 from recurra.plans.build import LAYERS, Warehouse
@@ -40,14 +41,21 @@ _open: dict[tuple[str, str], Warehouse] = {}
 
 
 def scratch(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder; a temporary one only where none is set."""
+    """The session's shared checkpoint folder. Only a local session may go without: its one process shares any folder."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        sc.setCheckpointDir(folder)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     return sc.getCheckpointDir()
 
 
+def fresh(w: Warehouse, label: str) -> str:
+    """A new folder for each call, so that a DataFrame of an earlier call keeps its files."""
+    return f"{w.folder}/{label}-{uuid.uuid4().hex}"
+
+
 def warehouse(spark: SparkSession, path: str) -> Warehouse:
     key = (spark.sparkContext.applicationId, path)
     if key not in _open:
@@ -226,6 +234,22 @@ _report(
     "k34_k36_efficiency",
     lambda f, e: _kpi_rounded(kpi.efficiency_kpis(kpi.revenue_kpis(f), e)), "fct_mrr_filled", "rpt_unit_economics",
 )
+_report(
+    "k26_k33_by_category", lambda e: _kpi_rounded(kpi.economics_kpis(e, by=["acquisition_channel_category"])),
+    "rpt_unit_economics",
+)
+
+
+def _by_channel(w: Warehouse) -> DataFrame:
+    by = ["acquisition_channel"]
+    return kpi.revenue_kpis(kpi.monthly_by(w.table("int_spine_filled_mrr"), w.table("dim_customers"), by), by)
+
+
+@query("k34_k36_by_channel")
+def _(w: Warehouse) -> DataFrame:
+    return _kpi_rounded(kpi.efficiency_kpis(_by_channel(w), w.table("rpt_unit_economics"), ["acquisition_channel"]))
+
+
 _report("k37_k40_churn_risk", lambda r, f: _kpi_rounded(kpi.risk_kpis(r, f)), "rpt_churn_risk", "fct_mrr")
 _report("k41_k43_cohorts", lambda r: _kpi_rounded(kpi.cohort_kpis(r)), "rpt_cohort_retention")
 _report("k41_k43_cohorts_by_period", lambda r: _kpi_rounded(kpi.cohort_kpis(r, ["period_label"])), "rpt_cohort_retention")
@@ -236,11 +260,7 @@ _report("k51_economics_with_total", lambda e: _kpi_rounded(kpi.economics_kpis(e,
 _report("k52_risk_by_industry", lambda r, f: _kpi_rounded(kpi.risk_kpis(r, f, ["industry"])), "rpt_churn_risk", "fct_mrr")
 
 
-@query("v15_revenue_by_channel")
-def _(w: Warehouse) -> DataFrame:
-    by = ["acquisition_channel"]
-    monthly = kpi.monthly_by(w.table("int_spine_filled_mrr"), w.table("dim_customers"), by)
-    return _kpi_rounded(kpi.revenue_kpis(monthly, by))
+_register("v15_revenue_by_channel", lambda w: _kpi_rounded(_by_channel(w)))
 
 
 @query("v15_revenue_by_tier_and_size")
@@ -298,10 +318,7 @@ _report("v12_risk_drivers", lambda r: _kpi_rounded(datasets.risk_drivers(r)), "r
 _report("v13_cohort_heatmap", datasets.cohort_heatmap, "rpt_cohort_retention")
 _report("v14_risk_accounts", datasets.risk_accounts, "rpt_churn_risk")
 _report("v15_slicer_values", datasets.slicer_values, "dim_customers", "fct_mrr")
-_report(
-    "v16_last_refresh",
-    lambda f: datasets.last_refresh(datasets.stamped(f, dt.datetime.combine(SETTINGS.as_of, dt.time()))), "fct_mrr",
-)
+_report("v16_last_refresh", datasets.last_refresh, "fct_mrr")
 
 
 def _bounds(w: Warehouse) -> DataFrame:
@@ -313,7 +330,7 @@ _register(
     "v18_star_view",
     lambda w: datasets.star_view(
         w.table("fct_subscription_events"), w.table("dim_customers"), w.table("dim_subscriptions"),
-        datasets.calendar(_bounds(w)), w.settings,
+        datasets.calendar(_bounds(w)),
     ),
 )
 
@@ -356,8 +373,7 @@ def _(w: Warehouse) -> DataFrame:
         w.lazy("stg_marketing_touches"), w.lazy("marketing_channels"), w.lazy("stg_customers"),
         w.lazy("stg_subscriptions"), w.settings, renormalise=True,
     )
-    sums = points.groupBy("customer_id").agg(F.sum("time_decay_weight").alias("decay_sum"))
-    return _rounded(sums, ["decay_sum"])
+    return _rounded(points.select("touch_id", "customer_id", "time_decay_weight"), ["time_decay_weight"])
 
 
 # --- sources and sinks --------------------------------------------------------------------
@@ -366,15 +382,15 @@ def _(w: Warehouse) -> DataFrame:
 @query("s01_raw_csv")
 def _(w: Warehouse) -> DataFrame:
     """Raw customers written as headed CSV and read back as text."""
-    path = f"{w.folder}/csv/customers"
+    path = fresh(w, "csv-customers")
     w.table("raw_customers").write.mode("overwrite").option("header", True).csv(path, quoteAll=False)
-    return read_raw(w.spark, path, "customers").select("customer_id", "company_name", "signup_date", "trial_end_date")
+    return read_raw(w.spark, path, "customers")
 
 
 @query("s03_month_partitions")
 def _(w: Warehouse) -> DataFrame:
     """Events stored by month; a month filter reads only its folders."""
-    path = f"{w.folder}/by_month/fct_subscription_events"
+    path = fresh(w, "by-month-events")
     write_mart(w.table("fct_subscription_events"), path, month_of="event_date")
     stored = w.spark.read.parquet(path).where(F.col("month_key_part").between("1999-01", "1999-06"))
     return stored.groupBy(F.col("month_key_part").cast("string").alias("month_key")).agg(F.count("*").alias("events"))
@@ -389,62 +405,84 @@ def _(w: Warehouse) -> DataFrame:
 @query("s05_mart_extracts")
 def _(w: Warehouse) -> DataFrame:
     """The monthly fact exported in extract form and imported with declared types."""
-    paths = export_marts({"fct_mrr": to_extract(w.table("fct_mrr"), "fct_mrr")}, f"{w.folder}/extracts")
+    paths = export_marts({"fct_mrr": to_extract(w.table("fct_mrr"), "fct_mrr")}, fresh(w, "extracts"))
     return read_mart_extract(w.spark, paths[0], "fct_mrr")
 
 
+def _by_key(df: DataFrame, table: str, key: str, value: str) -> DataFrame:
+    """Rows and the sum of one measure per key of a table read back."""
+    return df.groupBy(F.col(key).cast("string").alias("key")).agg(
+        F.count("*").alias("rows"), F.sum(value).cast("double").alias("total")
+    ).select(F.lit(table).alias("table"), "key", "rows", "total")
+
+
 @query("s05_extract_rows")
 def _(w: Warehouse) -> DataFrame:
-    """Rows and filled keys of all six extracts after export and typed import."""
-    keys = {
-        "fct_mrr": "month_date", "dim_customers": "customer_id", "dim_subscriptions": "subscription_id",
-        "rpt_unit_economics": "acquisition_channel", "rpt_churn_risk": "customer_id",
-        "rpt_cohort_retention": "months_since_signup",
+    """Keys and a measure of all six extracts after export and typed import."""
+    checked = {
+        "fct_mrr": ("month_date", "ending_mrr"), "dim_customers": ("customer_id", "lifetime_revenue"),
+        "dim_subscriptions": ("subscription_id", "mrr"), "rpt_unit_economics": ("acquisition_channel", "customers_acquired"),
+        "rpt_churn_risk": ("customer_id", "churn_risk_score"), "rpt_cohort_retention": ("months_since_signup", "active_customers"),
     }
-    extracts = {name: to_extract(w.table(name), name) for name in keys}
-    paths = dict(zip(keys, export_marts(extracts, f"{w.folder}/all_extracts")))
-    counts = [
-        read_mart_extract(w.spark, paths[name], name).selectExpr(f"count({key}) AS keys", "count(*) AS rows")
-        .selectExpr(f"'{name}' AS table", "rows", "keys")
-        for name, key in keys.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    extracts = {name: to_extract(w.table(name), name) for name in checked}
+    paths = dict(zip(checked, export_marts(extracts, fresh(w, "all-extracts")), strict=True))
+    return reduce(
+        DataFrame.unionByName,
+        [_by_key(read_mart_extract(w.spark, paths[n], n), n, key, value) for n, (key, value) in checked.items()],
+    )
 
 
 @query("s06_coerce_columns")
 def _(w: Warehouse) -> DataFrame:
     """Raw payments typed by what their cells hold."""
-    return coerce_columns(w.table("raw_payments").select("payment_id", "amount", "payment_date", "status"))
+    return coerce_columns(w.table("raw_payments"))
 
 
 @query("s07_export_bundle")
 def _(w: Warehouse) -> DataFrame:
-    """Rows per exported table, counted from the written files."""
-    names = LAYERS["marts"]
-    flat = {n: plain_types(w.table(n)) for n in names}
-    paths = export_marts(flat, f"{w.folder}/bundle")
-    counts = [
-        w.spark.read.csv(p, header=True, schema=flat[n].schema).agg(F.count("*").alias("rows")).select(F.lit(n).alias("table"), "rows")
-        for n, p in zip(names, paths)
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    """Keys and a measure per exported table, read from the written files."""
+    checked = {
+        "fct_mrr": ("month_key", "ending_mrr"), "fct_mrr_filled": ("month_key", "ending_mrr"),
+        "fct_subscription_events": ("event_id", "mrr_change"), "dim_customers": ("customer_id", "current_mrr"),
+        "dim_subscriptions": ("subscription_id", "mrr"), "rpt_cohort_retention": ("cohort_month_key", "active_customers"),
+        "rpt_unit_economics": ("acquisition_channel", "total_lifetime_revenue"), "rpt_churn_risk": ("customer_id", "churn_risk_score"),
+    }
+    flat = {n: plain_types(w.table(n)) for n in LAYERS["marts"]}
+    paths = dict(zip(flat, export_marts(flat, fresh(w, "bundle")), strict=True))
+    return reduce(
+        DataFrame.unionByName,
+        [_by_key(w.spark.read.csv(paths[n], header=True, schema=flat[n].schema), n, key, value) for n, (key, value) in checked.items()],
+    )
 
 
 # --- checks -------------------------------------------------------------------------------
 
 _register("t01_unique", lambda w: checks.violations(w.table, "unique"))
-_register("t02_not_null", lambda w: checks.violations(w.table, "not_null"))
+_register(
+    "t02_not_null",
+    lambda w: checks.violations(lambda n: damage.without_values(w.table(n), checks.required(n)), "not_null"),
+)
 _register("t03_accepted_values", lambda w: checks.violations(w.table, "accepted_values"))
 _register(
     "t04_relationships",
-    lambda w: checks.orphans(w.table("raw_subscriptions"), "customer_id", w.table("raw_customers"), "customer_id").select(
-        "subscription_id", "customer_id"
-    ),
+    lambda w: checks.orphans(
+        w.table("raw_subscriptions"), "customer_id", damage.without_rows(w.table("raw_customers"), "customer_id", "3"),
+        "customer_id",
+    ).select("subscription_id", "customer_id"),
 )
 _report("t05_balance", checks.unbalanced_months, "fct_mrr")
 _report("t05_balance_filled", checks.unbalanced_months, "fct_mrr_filled")
-_report("t06_attribution_weights", checks.unbalanced_weights, "int_attribution_touchpoints")
-_report("t07_churn_score", checks.invalid_scores, "rpt_churn_risk")
+_report(
+    "t06_attribution_weights", lambda t: checks.unbalanced_weights(damage.without_rows(t, "touch_id", "5")),
+    "int_attribution_touchpoints",
+)
+_report(
+    "t07_churn_score",
+    lambda r: checks.invalid_scores(damage.shifted(r, "churn_risk_score", 60, "customer_id", "4")), "rpt_churn_risk",
+)
 _report("t08_cohort_retention", checks.invalid_retention, "rpt_cohort_retention")
-_report("t09_unit_economics", checks.invalid_economics, "rpt_unit_economics")
+_report(
+    "t09_unit_economics",
+    lambda e: checks.invalid_economics(damage.negated(e, "cac", "acquisition_channel", "s")), "rpt_unit_economics",
+)
 _register("t10_suite", lambda w: checks.run_suite(w.table))

@@ -66,9 +66,10 @@ def unexpected(df: DataFrame, column: str, values: list[str]) -> DataFrame:
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """T4: child rows whose non-NULL key has no parent."""
-    keys = parent.select(F.col(parent_column).alias(column)).distinct()
-    return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
+    """T4: child rows whose non-NULL key has no parent. Keys meet parents once each; rows meet only keys without one."""
+    known = parent.select(F.col(parent_column).alias(column)).distinct()
+    lost = child.where(F.col(column).isNotNull()).select(column).distinct().join(known, column, "left_anti")
+    return child.join(lost, column, "left_semi")
 
 
 def unbalanced_months(fct_mrr: DataFrame, tolerance: float = 0.01) -> DataFrame:

@@ -1,0 +1,27 @@
+"""Deliberately damaged copies, for checks that sound data can never break."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def without_values(df: DataFrame, columns: list[str], ending: str = "7") -> DataFrame:
+    """Values of the given columns that end in ``ending`` become NULL."""
+    lost = {c: F.when(~F.col(c).cast("string").endswith(ending), F.col(c)) for c in columns}
+    return df.withColumns(lost) if lost else df
+
+
+def without_rows(df: DataFrame, column: str, ending: str) -> DataFrame:
+    """Rows whose ``column`` ends in ``ending`` are missing."""
+    return df.where(~F.col(column).cast("string").endswith(ending))
+
+
+def shifted(df: DataFrame, column: str, by: int, where: str, ending: str) -> DataFrame:
+    """``column`` is too large by ``by`` in rows whose ``where`` ends in ``ending``."""
+    return df.withColumn(column, F.when(F.col(where).endswith(ending), F.col(column) + by).otherwise(F.col(column)))
+
+
+def negated(df: DataFrame, column: str, where: str, ending: str) -> DataFrame:
+    """``column`` has the wrong sign in rows whose ``where`` ends in ``ending``."""
+    return df.withColumn(column, F.when(F.col(where).endswith(ending), -F.col(column)).otherwise(F.col(column)))

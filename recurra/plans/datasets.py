@@ -13,9 +13,7 @@ from recurra.functions.dates import month_key, month_start, quarter_key, week_st
 from recurra.functions.numbers import (
     count_where, dbl, mean, money, money_label, pct, ratio, rnd, trend_arrow,
 )
-from recurra.operators.timeline import spread_join
 from recurra.plans.kpi import economics_kpis, revenue_kpis
-from recurra.settings import Settings
 
 
 def _labels(spark: SparkSession, column: str, values: list[str]) -> DataFrame:
@@ -25,7 +23,8 @@ def _labels(spark: SparkSession, column: str, values: list[str]) -> DataFrame:
 def executive_row(fct_mrr: DataFrame, economics: DataFrame) -> DataFrame:
     """V1: the latest month's headline KPIs with changes since the month before."""
     w = Window.orderBy("month_date")
-    ltv = economics_kpis(economics).select("ltv_to_cac").scalar()
+    costs = economics_kpis(economics)
+    ltv, spend = costs.select("ltv_to_cac").scalar(), costs.select("total_acquisition_spend").scalar()
     rows = revenue_kpis(fct_mrr).withColumns(
         {"previous_quick_ratio": F.lag("quick_ratio").over(w), "previous_mrr": F.lag("mrr").over(w)}
     )
@@ -36,7 +35,8 @@ def executive_row(fct_mrr: DataFrame, economics: DataFrame) -> DataFrame:
         "arr", money_label(F.col("arr")).alias("arr_label"),
         "net_revenue_retention", "nrr_status", "gross_revenue_retention", "logo_churn", "quick_ratio",
         trend_arrow(F.col("quick_ratio") - F.col("previous_quick_ratio")).alias("quick_ratio_trend"),
-        "active_customers", "rule_of_40_proxy", ltv.alias("ltv_to_cac"),
+        "active_customers", "rule_of_40_proxy", ratio(F.col("net_new_mrr") * 12, spend).alias("magic_number"),
+        ltv.alias("ltv_to_cac"),
         (F.col("mrr") - F.col("previous_mrr")).alias("mrr_change"),
     )
 
@@ -175,8 +175,8 @@ def cohort_heatmap(retention: DataFrame, periods: int = 12) -> DataFrame:
     return retention.groupBy("cohort_month_key").pivot("period_label", labels).agg(F.first("retention_rate"))
 
 
-def risk_accounts(risk: DataFrame, top: int = 50) -> DataFrame:
-    """The riskiest accounts with the component that weighs most."""
+def risk_accounts(risk: DataFrame) -> DataFrame:
+    """High and critical accounts by score, with the component that weighs most."""
     points = [
         F.struct(F.col(p).cast("int").alias("points"), F.lit(-i).alias("rank"), F.lit(p).alias("driver"))
         for i, p in enumerate(rules.RISK_POINTS)
@@ -189,7 +189,6 @@ def risk_accounts(risk: DataFrame, top: int = 50) -> DataFrame:
             strongest["driver"].alias("top_driver"), strongest["points"].alias("top_driver_points"),
         )
         .orderBy(F.desc("churn_risk_score"), F.desc("current_mrr"), "customer_id")
-        .limit(top)
     )
 
 
@@ -234,7 +233,7 @@ def calendar(bounds: DataFrame) -> DataFrame:
 
 
 def star_view(
-    events: DataFrame, dim_customers: DataFrame, dim_subscriptions: DataFrame, days: DataFrame, settings: Settings
+    events: DataFrame, dim_customers: DataFrame, dim_subscriptions: DataFrame, days: DataFrame
 ) -> DataFrame:
     """Events with their customer, subscription and calendar attributes, many to one."""
     customer = dim_customers.select("customer_id", "customer_status", "health_status", "current_plan_tier")
@@ -243,9 +242,8 @@ def star_view(
     )
     date = days.select(F.col("date").alias("event_date"), F.col("quarter").alias("calendar_quarter"))
     facts = events.select("event_id", "customer_id", "subscription_id", "event_type", "event_date", "mrr_change")
-    order = ["event_date", "event_id"]
-    facts = spread_join(facts, customer, "customer_id", order, settings)
-    return spread_join(facts, subscription, "subscription_id", order, settings).join(date, "event_date", "left")
+    facts = facts.join(customer, "customer_id", "left")
+    return facts.join(subscription, "subscription_id", "left").join(date, "event_date", "left")
 
 
 def feature_adoption(dim_subscriptions: DataFrame, plans: DataFrame) -> DataFrame:

@@ -119,20 +119,24 @@ def scope_kpis(
 
 
 def customer_kpis(dim_customers: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Customers, paying customers, total MRR and average revenue."""
-    return dim_customers.groupBy(*(by or [])).agg(
+    """Customers, paying customers, total MRR and average revenue. A repeated id counts once."""
+    paying = (F.col("customer_status") == "active_paying").cast("int")
+    each = dim_customers.groupBy(*(by or []), "customer_id").agg(
+        F.max(paying).alias("_paying"), F.sum("current_mrr").alias("_mrr"), F.count("current_mrr").alias("_rows")
+    )
+    return each.groupBy(*(by or [])).agg(
         F.count("customer_id").alias("total_customers"),
-        count_where(F.col("customer_status") == "active_paying").alias("paying_customers"),
-        F.sum("current_mrr").alias("total_mrr"),
-        mean(F.col("current_mrr")).alias("arpu"),
+        F.coalesce(F.sum(F.when(F.col("customer_id").isNotNull(), F.col("_paying"))), F.lit(0)).alias("paying_customers"),
+        F.sum("_mrr").alias("total_mrr"),
+        ratio(F.sum("_mrr"), F.sum("_rows")).alias("arpu"),
     )
 
 
-def economics_kpis(economics: DataFrame, include_total: bool = False) -> DataFrame:
-    """K26-K33, K45, K46; with ``include_total`` the K51 variant that averages the blended row in."""
+def economics_kpis(economics: DataFrame, include_total: bool = False, by: list[str] | None = None) -> DataFrame:
+    """K26-K33, K45, K46, per slice; with ``include_total`` the K51 variant that averages the blended row in."""
     rows = economics if include_total else economics.where(F.col("acquisition_channel") != rules.BLENDED)
     spend = F.sum("total_acquisition_spend")
-    out = rows.agg(
+    out = rows.groupBy(*(by or [])).agg(
         F.avg("cac").alias("cac"),
         F.avg("realized_ltv").alias("realized_ltv"),
         F.avg("predicted_ltv").alias("predicted_ltv"),
@@ -150,12 +154,12 @@ def economics_kpis(economics: DataFrame, include_total: bool = False) -> DataFra
     )
 
 
-def efficiency_kpis(revenue: DataFrame, economics: DataFrame) -> DataFrame:
-    """K34-K36 per month: rule of 40, magic number and burn multiple."""
+def efficiency_kpis(revenue: DataFrame, economics: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """K34-K36 per month and slice: rule of 40, magic number and burn multiple against the whole spend."""
     spend = economics_kpis(economics).select("total_acquisition_spend").scalar()
     net_new_arr = F.col("net_new_mrr") * 12
     return revenue.select(
-        "month_date", "rule_of_40_proxy",
+        *(by or []), "month_date", "rule_of_40_proxy",
         ratio(net_new_arr, spend).alias("magic_number"),
         ratio(spend, net_new_arr).alias("burn_multiple_proxy"),
     )
@@ -189,10 +193,10 @@ def subscription_kpis(dim_subscriptions: DataFrame, by: list[str] | None = None)
     )
 
 
-def stored_kpis(fct_mrr: DataFrame) -> DataFrame:
-    """Sums of stored columns and the last month's stored ratios."""
+def stored_kpis(fct_mrr: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """K49, K50, per slice: sums of stored columns and the last month's stored ratios."""
     at = F.col("month_date")
-    return fct_mrr.agg(
+    return fct_mrr.groupBy(*(by or [])).agg(
         F.sum("ending_mrr").alias("mrr_monthly_sum"),
         F.sum("net_new_mrr").alias("net_new_mrr_sum"),
         (F.max_by("net_revenue_retention_pct", at) / 100.0).alias("net_revenue_retention"),

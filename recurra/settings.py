@@ -11,19 +11,13 @@ class Settings:
     """Run parameters; operators never read the wall clock.
 
     ``as_of`` stands for "today" in every tenure, recency and staleness rule.
-    ``hot_key_rows`` is the number of rows one customer may bring to a single
-    window task before its timeline is cut into parts (see ``operators.timeline``).
-    ``max_hot_keys`` bounds the list of such customers kept on the driver.
     """
 
-    as_of: dt.date = dt.date(2001, 8, 2)
+    as_of: dt.date = dt.date(2001, 11, 30)
     half_life_days: float = 7.0
     max_cohort_months: int = 24
     gross_margin: float = 0.80
     min_churn_rate: float = 0.01
-    hot_key_rows: int = 2_000_000
-    max_hot_keys: int = 1_000
-    max_parts_per_key: int = 512
     strict_casts: bool = True
 
     def but(self, **changes) -> "Settings":

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from recurra.functions.rules import COMPANY_SIZES
 from recurra.operators.plan_history import lifecycle_events, number_subscriptions, subscriptions_of
-from recurra.operators.timeline import spread_join
 from recurra.settings import Settings
 
 # Fixed values of the mapping: priority -> plan and monthly price; no plan for the rest.
@@ -79,7 +78,7 @@ class Testbed:
         )
 
     def plan_states(self) -> DataFrame:
-        """One row per order on or after its customer's signup: the plan held from then on."""
+        """One row per order: the plan held from then on. Orders before the signup are events with negative tenure."""
         priority = F.col("o_orderpriority")
         plan, price = F, F
         for name, (plan_id, monthly) in PLAN_BY_PRIORITY.items():
@@ -87,7 +86,6 @@ class Testbed:
             price = price.when(priority == name, F.lit(monthly))
         return (
             self._table("orders")
-            .where(F.to_date("o_orderdate") >= _signup(F.col("o_custkey")))
             .select(
                 F.col("o_custkey").alias("custkey"),
                 F.col("o_orderkey").alias("state_id"),
@@ -145,16 +143,10 @@ class Testbed:
         )
 
     def payments(self) -> DataFrame:
-        # Line items shrink to one row per (order, line) before they meet the orders.
-        lines = (
-            self._table("lineitem")
-            .where(F.to_date("l_shipdate") <= F.lit(self.settings.as_of))
-            .groupBy("l_orderkey", "l_linenumber")
-            .agg(
-                F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("amount"),
-                F.min("l_shipdate").cast("timestamp").alias("paid_at"),
-                F.max("l_returnflag").alias("flag"),
-            )
+        # One payment per line item; an (order, line) number that occurs twice is a duplicate payment id.
+        lines = self._table("lineitem").select(
+            "l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
+            F.col("l_shipdate").cast("timestamp").alias("paid_at"), F.col("l_returnflag").alias("flag"),
         )
         orders = self._timeline().select("custkey", "state_id", self._subscription_id().alias("subscription_id"))
         method = F.element_at(
@@ -181,13 +173,7 @@ class Testbed:
             "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type",
             F.get_json_object("props", "$.k").cast("int").alias("k"),
         )
-        known = self._table("customer").select(F.col("c_custkey").alias("user_id"))
-        bought = (
-            events.where(F.col("event_type") == "purchase")
-            .groupBy("user_id")
-            .agg(F.max("ts").alias("converted_at"))
-            .join(known, "user_id", "left_semi")
-        )
+        bought = events.where(F.col("event_type") == "purchase").groupBy("user_id").agg(F.max("ts").alias("converted_at"))
         k = F.col("k")
         channel = F.when(k < 40, 1).when(k < 60, 4).when(k < 75, 5).otherwise(k % 10 + 1)
         kind = F
@@ -195,8 +181,7 @@ class Testbed:
             kind = kind.when(F.col("event_type") == source, F.lit(touch))
         others = events.where(F.col("event_type") != "purchase")
         return (
-            spread_join(others, bought, "user_id", ["ts", "event_id"], self.settings, "inner")
-            .where(F.col("ts") <= F.col("converted_at"))
+            others.join(bought, "user_id", "left")
             .withColumn("channel", channel)
             .select(
                 _padded("touch_", F.col("event_id")).alias("touch_id"),

@@ -225,3 +225,34 @@ def test_interval_join_equals_brute_force(spark):
 def test_empty_groups_keep_their_row(spark):
     got = rows(churn_reports.churned_versus_retained(dim(spark, [dict(customer_id="c")])), "segment", "customers")
     assert got == [("Churned", 0), ("Retained", 0)]
+
+
+def test_a_repeated_customer_counts_once(spark):
+    """Distinct customers, whatever the number of rows per id."""
+    from recurra.operators import economics, retention
+    from recurra.plans import kpi
+
+    columns = (
+        "customer_id string, acquisition_channel string, acquisition_channel_category string, is_paid_acquisition boolean,"
+        " customer_status string, has_churned boolean, lifetime_revenue decimal(18,2), current_mrr decimal(18,4),"
+        " days_since_signup int, signup_date date"
+    )
+    one = ("c1", "ads", "paid", True, "active_paying", True, 10, 5, 30, dt.date(2024, 1, 5))
+    two = ("c2", "ads", "paid", True, "churned", False, 4, 0, 10, dt.date(2024, 1, 9))
+    df = spark.createDataFrame([one, one, two], columns.replace("decimal(18,2)", "int").replace("decimal(18,4)", "int"))
+    df = df.withColumns({"lifetime_revenue": F.col("lifetime_revenue").cast("decimal(18,2)"), "current_mrr": F.col("current_mrr").cast("decimal(18,4)")})
+    roll = economics.channel_rollup(df).first()
+    assert (roll["customers_acquired"], roll["active_paying_customers"], roll["churned_customers"]) == (2, 1, 1)
+    assert retention.cohort_sizes(df).first()["cohort_size"] == 2
+    total = kpi.customer_kpis(df).first()
+    assert (total["total_customers"], total["paying_customers"]) == (2, 1)
+
+
+def test_a_month_filter_reads_only_its_folders(spark, tmp_path):
+    from recurra.sources.io import write_mart
+
+    df = spark.createDataFrame([(i, dt.date(2024, 1 + i % 6, 3)) for i in range(60)], "id int, on date")
+    write_mart(df, str(tmp_path / "m"), month_of="on")
+    stored = spark.read.parquet(str(tmp_path / "m")).where("month_key_part = '2024-02'")
+    assert "PartitionFilters: [isnotnull(month_key_part" in stored._jdf.queryExecution().toString()
+    assert stored.count() == 10

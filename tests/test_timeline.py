@@ -1,16 +1,16 @@
-"""Split timelines give the same rows as one window per key, however skewed the key."""
+"""Timelines in parts give the same rows as one window per key, however skewed the key."""
 
 import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
-from recurra.operators import attribution, lifecycle, plan_history, staging
-from recurra.operators.timeline import PART, add_part, find_hot, sequence, spread_join
+from recurra.operators import plan_history
+from recurra.operators.timeline import sequence
 from recurra.settings import Settings
-from recurra.sources import lookups
 from recurra.sources.testbed import Testbed
 
 SF = "/root/testdata/sf0.001"
@@ -30,91 +30,68 @@ def skewed(spark, n=3000, seed=5, same_instant=False):
     return spark.createDataFrame(data, "key string, at timestamp, id string, v int, w long").repartition(7)
 
 
-def everything(df, hot):
+def in_parts(df):
     return sequence(
-        add_part(df, hot), "key", ORDER, hot,
+        df, "key", ORDER,
         number="n", lag={"lag_v": "v", "lag_at": "at"}, lead={"lead_v": "v", "lead_id": "id"},
         running={"run_w": "w", "run_v": "v"},
         total={"count_w": ("count", "w"), "sum_w": ("sum", "w"), "max_v": ("max", "v"), "min_at": ("min", "at")},
         first={"first_id": "id"}, last={"last_id": "id"},
-    ).drop(PART)
+    )
 
 
-@pytest.mark.parametrize("same_instant", [False, True])
-@pytest.mark.parametrize("limit", [40, 150, 700])
-def test_parts_match_plain_windows(spark, limit, same_instant):
-    df = skewed(spark, same_instant=same_instant).cache()
-    hot = find_hot(df, "key", ORDER, Settings(hot_key_rows=limit))
-    assert hot is not None
-    plain, split = everything(df, None), everything(df, hot)
-    assert plain.columns == split.columns
-    assert rows(plain) == rows(split)
-
-
-def test_hot_key_is_spread(spark):
-    df = skewed(spark).cache()
-    hot = find_hot(df, "key", ORDER, Settings(hot_key_rows=100))
-    sizes = add_part(df, hot).where("key = 'hot'").groupBy(PART).count().collect()
-    assert len(sizes) >= 8
-    assert max(r["count"] for r in sizes) < 400
+def in_one(df):
+    w, whole = Window.partitionBy("key").orderBy(*ORDER), Window.partitionBy("key")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return df.select(
+        "*", F.lag("v").over(w).alias("lag_v"), F.lag("at").over(w).alias("lag_at"), F.lead("v").over(w).alias("lead_v"),
+        F.lead("id").over(w).alias("lead_id"), F.sum("w").over(upto).alias("run_w"), F.sum("v").over(upto).alias("run_v"),
+        F.count("w").over(whole).alias("count_w"), F.sum("w").over(whole).alias("sum_w"), F.max("v").over(whole).alias("max_v"),
+        F.min("at").over(whole).alias("min_at"), F.first("id").over(every).alias("first_id"),
+        F.last("id").over(every).alias("last_id"), F.row_number().over(w).alias("n"),
+    )
 
 
-def test_parts_survive_repartitioning(spark):
-    df = skewed(spark)
-    hot = find_hot(df, "key", ORDER, Settings(hot_key_rows=100))
-    once = rows(everything(df, hot), "id", "n", "run_w", "lag_v")
-    assert once == rows(everything(df.repartition(3, "w"), hot), "id", "n", "run_w", "lag_v")
-
-
-def test_spread_join_matches_a_plain_join(spark):
+@pytest.mark.parametrize("codegen", ["true", "false"])
+@pytest.mark.parametrize("same_instant", [False, True])
+def test_parts_match_plain_windows(spark, same_instant, codegen):
+    was = spark.conf.get("spark.sql.codegen.wholeStage")
+    spark.conf.set("spark.sql.codegen.wholeStage", codegen)
+    try:
+        df = skewed(spark, same_instant=same_instant).cache()
+        plain = in_one(df)
+        assert rows(plain) == rows(in_parts(df).select(*plain.columns))
+    finally:
+        spark.conf.set("spark.sql.codegen.wholeStage", was)
+
+
+def test_a_query_starts_no_job_while_it_is_built(spark):
+    tracker = spark.sparkContext.statusTracker()
     df = skewed(spark)
-    names = spark.createDataFrame([("hot", "H"), ("a", "A"), ("z", "Z")], "key string, name string")
-    for how in ("left", "inner"):
-        plain = rows(df.join(names, "key", how), "id", "key", "name")
-        assert rows(spread_join(df, names, "key", ORDER, Settings(hot_key_rows=100), how), "id", "key", "name") == plain
-        assert rows(spread_join(df, names, "key", ORDER, Settings(), how), "id", "key", "name") == plain
-
-
-def test_no_hot_key_means_one_window(spark):
-    assert find_hot(skewed(spark, 300), "key", ORDER, Settings()) is None
-
-
-def test_the_list_of_hot_keys_is_bounded(spark):
-    hot = find_hot(skewed(spark), "key", ORDER, Settings(hot_key_rows=10, max_hot_keys=2))
-    assert hot.cuts.count() == 2
-
-
-@pytest.fixture(scope="module")
-def bed(spark):
-    return Testbed(spark, SF)
-
-
-def test_history_and_attribution_with_split_customers(spark, bed):
-    plain, split = Settings(), Settings(hot_key_rows=3)
-    raw = {n: bed.entity(n).cache() for n in ("customers", "subscriptions", "subscription_events", "marketing_touches")}
-    stg = {n: getattr(staging, f"stg_{n}")(df, plain) for n, df in raw.items()}
-    plans, channels = lookups.plan_tiers(spark), lookups.marketing_channels(spark)
-
-    def history(s):
-        return rows(lifecycle.customer_subscription_history(stg["customers"], stg["subscription_events"], plans, s).drop("_x"))
-
-    assert history(plain) == history(split)
+    before = tracker.getJobIdsForGroup()
+    in_parts(df)
+    assert tracker.getJobIdsForGroup() == before
 
-    def credit(s):
-        df = attribution.attribution_touchpoints(stg["marketing_touches"], channels, stg["customers"], stg["subscriptions"], s)
-        return rows(df.select(*[F.round(c, 9).alias(c) if t == "double" else c for c, t in df.dtypes]))
 
-    assert credit(plain) == credit(split)
+def test_no_window_takes_a_whole_key(spark):
+    """Windows over a key alone see one summary row per hour; rows are dealt by (key, part)."""
+    plan = in_parts(skewed(spark))._jdf.queryExecution().toString()
+    assert "hashpartitioning(key" in plan and "_part" in plan and "BroadcastHashJoin" not in plan.split("== Physical Plan ==")[0]
 
 
-def test_plan_history_with_split_customers(bed):
-    states = bed.plan_states().cache()
-    plain = plan_history.number_subscriptions(states, "custkey", Settings())
-    split = plan_history.number_subscriptions(states, "custkey", Settings(hot_key_rows=2))
-    assert rows(plan_history.lifecycle_events(plain)) == rows(plan_history.lifecycle_events(split))
+def test_all_given_rows_are_used(spark):
+    bed = Testbed(spark, SF)
+    read = lambda t: spark.read.parquet(f"{SF}/{t}.parquet")
+    assert bed.plan_states().count() == read("orders").count()
+    assert bed.payments().count() == read("lineitem").count()
+    assert bed.marketing_touches().count() == read("events").where("event_type <> 'purchase'").count()
 
 
-def test_every_raw_entity_with_split_customers(spark, bed):
-    split = Testbed(spark, SF, Settings(hot_key_rows=2))
-    for name in ("subscription_events", "subscriptions", "payments", "marketing_touches"):
-        assert rows(bed.entity(name)) == rows(split.entity(name)), name
+def test_plan_history_numbers_subscriptions(spark):
+    states = Testbed(spark, SF).plan_states().cache()
+    numbered = plan_history.number_subscriptions(states, "custkey", Settings())
+    w = Window.partitionBy("custkey").orderBy("state_at", "state_id")
+    starts = F.col("plan_id").isNotNull() & F.lag("plan_id").over(w).isNull()
+    plain = states.withColumn("s", starts.cast("int")).withColumn("subscription_no", F.sum("s").over(w))
+    assert rows(numbered, "state_id", "subscription_no") == rows(plain, "state_id", "subscription_no")
