@@ -4,14 +4,30 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that their workers can import it from anywhere."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped.add(app)
+        path = Path(tempfile.mkdtemp(prefix="llm-")) / "llm.zip"
+        with zipfile.ZipFile(path, "w") as out:
+            for source in sorted(Path(__file__).parent.glob("*.py")):
+                out.write(source, f"llm/{source.name}")
+        spark.sparkContext.addPyFile(str(path))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
