@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from llm.tokens import slices
 
-TRIPLES = 1024
+TRIPLES = 512
 STATS = 14
 
 
@@ -63,7 +63,7 @@ def features(texts: list[str]) -> np.ndarray:
         raw = text.encode("utf-8", "surrogatepass")
         kind = _CLASS[np.frombuffer(raw, np.uint8)]
         if len(kind) > 2:
-            code = (kind[:-2] * np.uint32(0x9E3779B1) + kind[1:-1] * np.uint32(0x85EBCA77) + kind[2:] * np.uint32(0xC2B2AE3D)) >> np.uint32(22)
+            code = (kind[:-2] * np.uint32(0x9E3779B1) + kind[1:-1] * np.uint32(0x85EBCA77) + kind[2:] * np.uint32(0xC2B2AE3D)) >> np.uint32(23)
             out[i, :TRIPLES] = np.sqrt(np.bincount(code, minlength=TRIPLES) / len(code))
         out[i, TRIPLES:] = _stats(text, raw, np.bincount(kind, minlength=256))
     return out
@@ -81,7 +81,7 @@ def _sample(texts: DataFrame, bound: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array([x.tobytes() for x in found], pa.binary())], ["doc_id", "x"])
 
     rows = chosen.mapInArrow(run, "doc_id long, x binary").orderBy("doc_id", "x").toArrow()
-    return np.frombuffer(b"".join(rows.column("x").to_pylist()), np.float32).reshape(-1, TRIPLES + STATS).astype(np.float64)
+    return np.frombuffer(b"".join(rows.column("x").to_pylist()), np.float32).reshape(-1, TRIPLES + STATS)
 
 
 def _softplus(x: np.ndarray) -> np.ndarray:
@@ -94,13 +94,13 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def minimise(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 300, rate: float = 0.03, decay: float = 1e-3) -> np.ndarray:
     """Weights (bias last) by Adam on the non-negative risk; where its second part is negative, that part is raised."""
-    p, u = (np.column_stack([x, np.ones(len(x))]) for x in (p, u))
+    p, u = (np.column_stack([x, np.ones(len(x), x.dtype)]) for x in (p, u))
     w, m, v = np.zeros(p.shape[1]), np.zeros(p.shape[1]), np.zeros(p.shape[1])
     for t in range(1, steps + 1):
-        gp, gu = p @ w, u @ w
+        gp, gu = p @ w.astype(p.dtype), u @ w.astype(u.dtype)
         negative = _softplus(gu).mean() - prior * _softplus(gp).mean()
-        down = u.T @ _sigmoid(gu) / len(u) - prior * (p.T @ _sigmoid(gp)) / len(p)
-        up = -prior * (p.T @ _sigmoid(-gp)) / len(p)
+        down = _sigmoid(gu) @ u / len(u) - prior * (_sigmoid(gp) @ p) / len(p)
+        up = -prior * (_sigmoid(-gp) @ p) / len(p)
         grad = (up + down if negative >= 0 else -down) + decay * np.append(w[:-1], 0)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
