@@ -44,16 +44,16 @@ def test_memo_forgets_without_harm(tokenizer, given, monkeypatch):
 
 
 def check_pieces(pieces, docs, tokenizer, window):
-    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    want = {r["doc_id"]: expected(tokenizer, r["text"]) for r in docs.collect()}
     copies = Counter(r["doc_id"] for r in docs.collect())
     covered = Counter()
     for p in pieces:
-        ids = expected(tokenizer, texts[p["doc_id"]])
+        ids = want[p["doc_id"]]
         assert p["doc_tokens"] == len(ids)
         part = ids[p["start"] : p["start"] + p["length"]]
         assert p["ids_crc32"] == zlib.crc32(np.array(part, "<u4").tobytes())
         covered[p["doc_id"]] += p["length"]
-    assert covered == {d: n * len(expected(tokenizer, texts[d])) for d, n in copies.items()}
+    assert covered == {d: n * len(want[d]) for d, n in copies.items()}
     rows = {}
     for p in pieces:
         rows.setdefault(p["sequence_id"], []).append((p["offset"], p["length"]))
