@@ -111,7 +111,7 @@ def test_automaton_is_greedy_longest_match():
 
 def test_token_counts(odd_docs, given):
     pieces = set(token_counts.vocabulary(token_counts.default_vocabulary()))
-    for docs in (odd_docs, given.limit(60)):
+    for docs in (odd_docs, given.limit(15)):
         texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
         found = token_counts.count_tokens(docs).collect()
         assert len(found) == docs.count()
