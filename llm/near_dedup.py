@@ -37,6 +37,7 @@ from llm.words import mixed, word_hashes
 SHINGLE = 5
 BANDS, ROWS = 42, 6
 REGISTERS = BANDS * ROWS
+NEARBY = 16
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -149,9 +150,9 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
 
 def rare_shingles(texts: DataFrame, least: float) -> DataFrame:
-    """(value, doc, root, size, place): of each text (doc, text, root) its rarest shingles, as many as another text of at
-    least ``least`` its size may need to share; ``place`` counts from 1, ``size`` is the number of all. The n-th
-    occurrence of a shingle is a value of its own. Values that only one text has come first and are left out."""
+    """(value, doc, root, size, place, before): of each text (doc, text, root) its rarest shingles, as many as another text of at
+    least ``least`` its size may need to share; ``place`` counts from 1, ``size`` is the number of all, ``before``
+    holds up to NEARBY values of the text just before this one. The n-th occurrence of a shingle is a value of its own. Values that only one text has come first and are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, part in slices(batches):
@@ -174,10 +175,12 @@ def rare_shingles(texts: DataFrame, least: float) -> DataFrame:
     )
     alone = F.col("size") - F.size("common")
     last = F.col("size") - F.ceil(least * F.col("size") - 1e-9) + 1
-    early = common.withColumn("alone", alone).select(
-        "doc", "root", "size", "alone", F.posexplode(F.slice("common", F.lit(1), F.greatest(last - alone, F.lit(0)).cast("int"))).alias("at", "c")
+    kept = F.slice("common", F.lit(1), F.greatest(last - alone, F.lit(0)).cast("int"))
+    early = common.select("doc", "root", "size", alone.alias("alone"), F.transform(kept, lambda c: c["value"]).alias("kept")).select(
+        "doc", "root", "size", "alone", "kept", F.posexplode("kept").alias("at", "value")
     )
-    return early.select("c.value", "doc", "root", "size", (F.col("alone") + F.col("at") + 1).alias("place"))
+    before = F.slice("kept", F.greatest(F.col("at") - NEARBY, F.lit(0)) + 1, F.least(F.col("at"), F.lit(NEARBY)))
+    return early.select("value", "doc", "root", "size", (F.col("alone") + F.col("at") + 1).alias("place"), before.alias("before"))
 
 
 def cross_pairs(early: DataFrame, least: float) -> DataFrame:
@@ -186,12 +189,14 @@ def cross_pairs(early: DataFrame, least: float) -> DataFrame:
         F.count("*").alias("parts"), F.max_by("root", F.struct("n", "root")).alias("major")
     ).where("parts > 1")
     mixed_ = stored(early.join(parts.select("value", "major"), "value"), "op5-mixed")
-    rest = mixed_.where("root <> major").select("value", *[F.col(c).alias(f"x_{c}") for c in ("doc", "root", "size", "place")])
+    rest = mixed_.where("root <> major").select("value", *[F.col(c).alias(f"x_{c}") for c in ("doc", "root", "size", "place", "before")])
     # Against the largest component, and among the rest once. What lies behind both places must still hold the overlap.
     overlap = F.ceil(least / (1 + least) * (F.col("size") + F.col("x_size")) - 1e-9)
     behind = F.least(F.col("size") - F.col("place"), F.col("x_size") - F.col("x_place")) + 1
     pairs = rest.join(mixed_, "value").where(
         F.expr("x_root <> root AND (root = major OR x_doc < doc)") & (behind >= overlap)
+        # Not where both just had another value in common: the first common value always stays.
+        & ~F.arrays_overlap("before", "x_before")
     )
     return pairs.select(F.least("x_doc", "doc").alias("a"), F.greatest("x_doc", "doc").alias("b")).distinct()
 
