@@ -10,13 +10,17 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _own: dict[str, str] = {}
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, so that their workers can import it from anywhere."""
+    """Send this package to the executors once per application, so that their workers can import it from anywhere, and
+    keep batches of texts small: the default of 10,000 rows a batch takes tens of MB in each task, on both sides."""
     app = spark.sparkContext.applicationId
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, "1000")
     if app not in _shipped:
         _shipped.add(app)
         path = Path(tempfile.mkdtemp(prefix="llm-")) / "llm.zip"

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 800_000
 MEMO_CHARS = 48
 SLICE_CHARS = 2_000_000
 
