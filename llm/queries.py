@@ -58,7 +58,7 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_output.pack_best_fit(table(spark, sf_dir, "documents"))
+    return token_output.token_output(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -5,8 +5,8 @@ only, so the plan is made exactly, for the whole input, from the histogram of le
 the longest length down, as many pieces as there are rows with the least room that fits take their place together; a
 segment tree over the room left finds that room. The plan is a list of runs (length, first rank, first row, offset), and
 a piece finds its place by its rank among the pieces of its length. Ranks come from two passes: running counts within
-tasks, and sums per (task, length). Nothing but the histogram and the plan passes through the driver; the plan's size
-follows ``window``, not the data.
+tasks, and sums per (task, length). Nothing but the histogram and the plan passes through the driver, whose size
+follows ``window``, not the data, and, where ids are kept, those sums: a row per task of the first pass and length. The id matrices are built where a file's sequences meet, in order, and stored.
 
 Defined cases: null or empty text is the end token alone; an empty table gives no rows; repeated rows are packed as often
 as they occur; only the id and text columns are read.
@@ -14,6 +14,7 @@ as they occur; only the id and text columns are read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,9 +23,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import stored
+from llm.common import shared_folder, stored
 from llm.tokens import crc_of, default_tokenizer, encoder, slices
 
+#: Padded ids as unsigned 32-bit bytes, cumulative segment lengths, positions that start again at each segment; of each
+#: segment its document, the first token of the document that it holds, the crc of its ids, the tokens of the document.
+MATRIX = (
+    "sequence_id long, ids binary, segment_ends array<long>, positions array<int>,"
+    " doc_ids array<long>, starts array<long>, ids_crc32 array<long>, doc_tokens array<long>"
+)
 PIECE = "part int, doc_id long, start long, length int, ids_crc32 long, doc_tokens long, rank long"
 
 
@@ -126,16 +133,25 @@ def pack_best_fit(
     id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False,
 ) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset), one row per piece; ``with_ids`` adds ids."""
+    return _placed(docs, window, eos, tokenizer, id_col, text_col, with_ids)[0]
+
+
+def _placed(
+    docs: DataFrame, window: int, eos: int, tokenizer: str | None, id_col: str, text_col: str, with_ids: bool,
+) -> tuple[DataFrame, int]:
+    """The pieces with their places, and the number of sequences."""
     pieces = stored(_pieces(docs, tokenizer or default_tokenizer(), eos, window, id_col, text_col, with_ids), "op10-pieces")
     per_part = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     histogram = {r["length"]: r["n"] for r in per_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    plan, _ = best_fit_decreasing(histogram, window)
+    plan, sequences = best_fit_decreasing(histogram, window)
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = per_part.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    ranked = pieces.join(base, ["part", "length"]).withColumn("rank", F.col("rank") + F.col("base")).drop("part", "base")
+    # Ids stay where they are: a second shuffle of them would cost more than a row per task and length on every executor.
+    ranked = pieces.join(F.broadcast(base) if with_ids else base, ["part", "length"]).withColumn("rank", F.col("rank") + F.col("base")).drop("part", "base")
     begin = np.searchsorted(plan[:, 0], np.arange(window + 2))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder.cache_clear()  # all texts are encoded, so the worker need not remember words while rows are built
         for rows in batches:
             length, rank = rows.column("length").to_numpy(), rows.column("rank").to_numpy()
             run = np.zeros(len(length), np.int64)
@@ -149,34 +165,76 @@ def pack_best_fit(
 
     names = ["length", "doc_id", "start", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
     schema = ", ".join(f"{n} {'binary' if n == 'ids' else 'long'}" for n in [*names, "sequence_id", "offset"])
-    return ranked.select(*names[:5], "rank", *names[5:]).mapInArrow(place, schema)
+    return ranked.select(*names[:5], "rank", *names[5:]).mapInArrow(place, schema), sequences
 
 
 def matrices(pieces: DataFrame, window: int = 2048, pad: int = 0) -> DataFrame:
-    """(sequence_id, ids, segment_ends, positions) from pieces with ids: padded ids as unsigned 32-bit bytes, cumulative
-    segment lengths, and positions that start again at each segment. A row has at most ``window`` pieces."""
-    ordered = F.sort_array(F.collect_list(F.struct("offset", "length", "ids")))
-    grouped = pieces.groupBy("sequence_id").agg(ordered.alias("parts"))
+    """``MATRIX`` rows from pieces with ids. A row has at most ``window`` pieces."""
+    return pieces.repartition("sequence_id").sortWithinPartitions("sequence_id", "offset").mapInArrow(_builder(window, pad), MATRIX)
+
+
+def _builder(window: int, pad: int):
+    """Sequences from pieces in order of sequence and offset; the last sequence of a batch waits for the next one."""
+
+    def build(rows: pa.Table) -> pa.RecordBatch:
+        sequence, length, offset = (rows.column(c).to_numpy() for c in ("sequence_id", "length", "offset"))
+        first = np.flatnonzero(np.diff(sequence, prepend=sequence[0] - 1))
+        bounds = np.append(first, len(sequence)).astype(np.int32)
+        nth = np.repeat(np.arange(len(first)), np.diff(bounds))
+        tokens = np.append(0, np.cumsum(length))
+        positions = np.arange(tokens[-1]) - np.repeat(tokens[:-1], length)
+        ids = np.full((len(first), window), pad, "<u4")
+        ids.ravel()[positions + np.repeat(nth * window + offset, length)] = np.frombuffer(b"".join(rows.column("ids").to_pylist()), "<u4")
+        size = pa.py_buffer((np.arange(len(first) + 1) * 4 * window).astype(np.int32))
+        columns = [pa.array(sequence[first]), pa.Array.from_buffers(pa.binary(), len(first), [None, size, pa.py_buffer(ids)])]
+        columns += [
+            pa.ListArray.from_arrays(pa.array(bounds), pa.array((offset + length).astype(np.int64))),
+            pa.ListArray.from_arrays(pa.array(tokens[bounds].astype(np.int32)), pa.array(positions.astype(np.int32))),
+        ]
+        for name in ("doc_id", "start", "ids_crc32", "doc_tokens"):
+            columns.append(pa.ListArray.from_arrays(pa.array(bounds), rows.column(name).combine_chunks()))
+        return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in MATRIX.split(", ")])
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            ids, ends, positions = [], [], []
-            for parts in rows.column("parts").to_pylist():
-                body = b"".join(p["ids"] for p in parts)
-                ids.append(body + np.full(window - len(body) // 4, pad, "<u4").tobytes())
-                ends.append([p["offset"] + p["length"] for p in parts])
-                positions.append([k for p in parts for k in range(p["length"])])
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("sequence_id"), pa.array(ids, pa.binary()), pa.array(ends, pa.list_(pa.int64())), pa.array(positions, pa.list_(pa.int32()))],
-                ["sequence_id", "ids", "segment_ends", "positions"],
-            )
-
-    return grouped.mapInArrow(build, "sequence_id long, ids binary, segment_ends array<long>, positions array<int>")
-
-
-def write_matrices(pieces: DataFrame, path: str, rows_per_file: int = 65_536, window: int = 2048, pad: int = 0) -> None:
-    """Write ``matrices`` as parquet, rows in order of sequence_id within files of about ``rows_per_file`` rows."""
-    rows = matrices(pieces, window, pad)
-    last = pieces.agg(F.max("sequence_id")).first()[0]
-    files = 1 + (last or 0) // rows_per_file
-    rows.repartitionByRange(files, "sequence_id").sortWithinPartitions("sequence_id").write.parquet(path)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sequence = batch.column("sequence_id").to_numpy()
+            cut = int(np.searchsorted(sequence, sequence[-1]))
+            if waiting and (cut or waiting[0].column("sequence_id")[0].as_py() != sequence[-1]):
+                yield build(pa.Table.from_batches([*waiting, batch.slice(0, cut)]))
+                waiting = []
+            elif cut:
+                yield build(pa.Table.from_batches([batch.slice(0, cut)]))
+            waiting.append(batch.slice(cut))
+        if waiting:
+            yield build(pa.Table.from_batches(waiting))
+
+    return run
+
+
+def write_matrices(
+    pieces: DataFrame, path: str, rows_per_file: int = 65_536, window: int = 2048, pad: int = 0, sequences: int | None = None,
+) -> None:
+    """Write ``MATRIX`` rows as parquet, in order of sequence_id within files of ``rows_per_file`` rows; sequences are
+    numbered without gaps, so the number gives the file."""
+    if sequences is None:
+        last = pieces.agg(F.max("sequence_id")).first()[0]
+        sequences = 0 if last is None else last + 1
+    files = max(1, -(-sequences // rows_per_file))
+    dealt = pieces.repartitionById(files, F.floor(F.col("sequence_id") / rows_per_file).cast("int"))
+    rows = dealt.sortWithinPartitions("sequence_id", "offset").mapInArrow(_builder(window, pad), MATRIX)
+    # Rows are long: small row groups keep the buffers of writers and readers small.
+    rows.write.option("compression", "zstd").option("parquet.block.size", 8 << 20).parquet(path)
+
+
+def token_output(
+    docs: DataFrame, window: int = 2048, eos: int = 1, pad: int = 0, tokenizer: str | None = None,
+    id_col: str = "doc_id", text_col: str = "text", rows_per_file: int = 4096,
+) -> DataFrame:
+    """``MATRIX`` rows of all documents, written to a new folder of the shared scratch space and read back."""
+    pieces, sequences = _placed(docs, window, eos, tokenizer, id_col, text_col, True)
+    path = f"{shared_folder(docs.sparkSession)}/op10-matrices-{uuid.uuid4().hex}"
+    write_matrices(pieces, path, rows_per_file, window, pad, sequences)
+    return docs.sparkSession.read.schema(MATRIX).parquet(path)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from llm import packing, token_counts, token_output
+from llm import packing, queries, token_counts, token_output
 from llm.tokens import WordEncoder, default_tokenizer
 
 ODD = [
@@ -170,3 +170,32 @@ def test_matrices_round_trip(spark, given, tokenizer, tmp_path):
         rebuilt.setdefault(p["doc_id"], {})[p["start"]] = ids[p["offset"] : p["offset"] + p["length"]].tolist()
     for doc, parts in rebuilt.items():
         assert [i for _, part in sorted(parts.items()) for i in part] == expected(tokenizer, texts[doc])
+
+
+def check_matrices(rows, want, copies, window):
+    """Every id of every document stands once in the rows, with its segment ends and positions."""
+    covered = Counter()
+    assert sorted(r["sequence_id"] for r in rows) == list(range(len(rows)))
+    for r in rows:
+        ids, starts = np.frombuffer(r["ids"], "<u4"), [0, *r["segment_ends"][:-1]]
+        assert len(ids) == window and len(r["positions"]) == r["segment_ends"][-1] and not ids[r["segment_ends"][-1] :].any()
+        assert r["positions"] == [k for a, b in zip(starts, r["segment_ends"], strict=True) for k in range(b - a)]
+        for k, (a, b) in enumerate(zip(starts, r["segment_ends"], strict=True)):
+            doc, start = r["doc_ids"][k], r["starts"][k]
+            assert ids[a:b].tolist() == want[doc][start : start + b - a]
+            assert r["ids_crc32"][k] == zlib.crc32(ids[a:b].tobytes()) and r["doc_tokens"][k] == len(want[doc])
+            covered[doc] += b - a
+    assert covered == {d: n * len(want[d]) for d, n in copies.items()}
+
+
+def test_token_output_query_gives_the_matrices_of_all_documents(spark, given, tokenizer):
+    rows = queries.op10_token_output(spark, "/root/testdata/sf0.001").collect()
+    check_matrices(rows, {r["doc_id"]: expected(tokenizer, r["text"]) for r in given.collect()}, Counter(r["doc_id"] for r in given.collect()), 2048)
+
+
+def test_token_output_odd_rows(odd_docs, no_docs, tokenizer):
+    want = {r["doc_id"]: expected(tokenizer, r["text"]) for r in odd_docs.collect()}
+    copies = Counter(r["doc_id"] for r in odd_docs.collect())
+    for stored in (token_output.token_output(odd_docs, 64, rows_per_file=50), token_output.matrices(token_output.pack_best_fit(odd_docs, 64, with_ids=True), 64)):
+        check_matrices(stored.collect(), want, copies, 64)
+    assert token_output.token_output(no_docs).count() == 0
