@@ -4,9 +4,13 @@ The CGK random walk turns edit distance into Hamming distance: it reads a word,
 (step, word), and so on; two strings that differ by few edits give outputs that agree in most places. Each repetition
 draws its own walk and samples places of its output; an item and a window that agree on all sampled places are a
 candidate. Windows start (or, in every other repetition, end) at every word and are as long as the item; the sampled
-places are compared one after another, so most windows leave after the first. Candidates are verified by exact edit
-distance (best substring around the window, Sellers' recurrence). Repetitions follow from the target recall for
-passages exactly at the least similarity, measured on mutated random strings.
+places are compared one after another, so most windows leave after the first. Repetitions follow from the target recall
+for passages exactly at the least similarity, measured on mutated random strings of 15 to 59 words.
+
+The walk alone loses longer items and passages whose two end words are changed. So an item is also cut into one segment
+more than ``similarity`` allows edits: an edit touches one segment at most, hence every passage holds one unchanged, and
+each place that spells the first words of a segment is a candidate too. With these no passage is missed, at any length.
+Candidates are verified by exact edit distance (best substring around the window, Sellers' recurrence).
 
 ``similarity`` is 1 - edits / words of the item. Items are a query set: they are sent to the tasks in blocks of
 ``BLOCK`` items, one scan of the documents a block, whatever their number. Defined cases: null or empty texts match
@@ -19,6 +23,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache, reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +35,9 @@ from llm.words import mixed, word_hashes
 
 BLOCK = 20_000
 SEED = 20240229
+SEGMENT_WORDS = 8  # words of a segment that are compared at most
+CANDIDATES = 100_000  # candidates that are verified together, about
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 MATCH = "doc_id long, item_id long, position long, edits int, similarity double"
 
 
@@ -61,8 +69,9 @@ class Index:
     Words of the items are numbered from 1; any other word is 0 and agrees with none. The first place is the first word
     read: of the window in even repetitions, of the reversed window in odd ones."""
 
-    def __init__(self, ids: list[int], items: list[np.ndarray], repetitions: int):
+    def __init__(self, ids: list[int], items: list[np.ndarray], repetitions: int, similarity: float | None = None):
         self.ids, self.items = ids, items
+        self.segments = self._segments(similarity) if similarity is not None else {}
         self.vocabulary = np.unique(np.concatenate([np.zeros(1, np.uint64), *items]))
         self.sizes = np.array([len(w) for w in items], np.int64)
         spelled = [k * len(self.vocabulary) + np.searchsorted(self.vocabulary, w) for k, w in enumerate(items)]
@@ -88,6 +97,43 @@ class Index:
             groups.append((int(b), key[mine], last[mine], c[mine], item[mine]))
         return r % 2, bits, groups
 
+    def _segments(self, similarity: float) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """By the words compared: hashes of segments in order, their items, and where they begin in these."""
+        rows: dict[int, list] = {}
+        for k, words in enumerate(self.items):
+            parts = int(allowed_edits(len(words), similarity)) + 1
+            size = min(len(words) // parts, SEGMENT_WORDS)
+            if size:
+                hashes = spelled_hashes(words, size)
+                rows.setdefault(size, []).extend((hashes[at], k, at) for at in (i * len(words) // parts for i in range(parts)))
+        out = {}
+        for size, found in rows.items():
+            key, item, at = (np.array(x, t) for x, t in zip(zip(*found, strict=True), (np.uint64, np.int64, np.int64), strict=True))
+            order = np.argsort(key, kind="stable")
+            out[size] = key[order], item[order], at[order]
+        return out
+
+    def unchanged(self, words: np.ndarray, numbers: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(item, first word of the window, first word of the segment) where a segment stands unchanged, in parts."""
+        for size, (key, item, offset) in self.segments.items():
+            if len(words) < size:
+                continue
+            known = np.append(0, np.cumsum(numbers > 0))
+            spot = np.flatnonzero(known[size:] - known[:-size] == size)
+            hashes = spelled_hashes(words, size)[spot]
+            lo, hi = np.searchsorted(key, hashes, "left"), np.searchsorted(key, hashes, "right")
+            some = hi > lo
+            spot, lo, times = spot[some], lo[some], (hi - lo)[some]
+            ends = np.cumsum(times)
+            at = 0
+            while at < len(spot):
+                stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CANDIDATES, "right")))
+                n = times[at:stop]
+                here = np.repeat(spot[at:stop], n)
+                entry = np.arange(len(here)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo[at:stop], n)
+                yield item[entry], here - offset[entry], here
+                at = stop
+
     def numbered(self, words: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
         return np.where(self.vocabulary[at] == words, at, 0)
@@ -132,6 +178,18 @@ def _forward(line: np.ndarray, at: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return at
 
 
+def spelled_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of each ``size`` words in a row."""
+    out = words
+    for k in range(1, size):
+        out = out[:-1] * _STEP + words[k:]
+    return out
+
+
+def allowed_edits(sizes, similarity: float) -> np.ndarray:
+    return np.floor((1 - similarity) * np.asarray(sizes) + 1e-9).astype(np.int64)
+
+
 def substring_edits(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     """Least edits between ``item`` and any substring of ``text``, and where that substring ends."""
     row, step = np.zeros(len(text) + 1, np.int64), np.arange(len(text) + 1)
@@ -145,12 +203,23 @@ def substring_edits(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 def search(index: Index, words: np.ndarray, counts: np.ndarray, similarity: float) -> list[tuple[int, int, int, int, float]]:
     """(row, item, position, edits, similarity) of verified passages, the best of each row and item."""
-    numbers = index.numbered(words)
+    numbers, ends = index.numbered(words), np.cumsum(counts)
+    best: dict[tuple[int, int], tuple[int, int]] = {}
     item, place = index.candidates(words, numbers)
-    ends = np.cumsum(counts)
-    row = np.searchsorted(ends, np.clip(place + index.sizes[item] // 2, 0, max(len(words) - 1, 0)), "right")
-    allowed = np.floor((1 - similarity) * index.sizes[item] + 1e-9).astype(np.int64)
-    begin = np.maximum(place - allowed, (ends - counts)[row])
+    middle = np.clip(place + index.sizes[item] // 2, 0, max(len(words) - 1, 0))
+    for item, place, inside in chain([(item, place, middle)], index.unchanged(words, numbers)):
+        found = np.unique(np.stack([item, place, np.searchsorted(ends, inside, "right")]), axis=1)
+        _verify(index, words, numbers, ends - counts, ends, *found, similarity, best)
+    return [(r, k, p, e, 1 - e / int(index.sizes[k])) for (r, k), (e, p) in best.items()]
+
+
+def _verify(
+    index: Index, words: np.ndarray, numbers: np.ndarray, begins: np.ndarray, ends: np.ndarray,
+    item: np.ndarray, place: np.ndarray, row: np.ndarray, similarity: float, best: dict[tuple[int, int], tuple[int, int]],
+) -> None:
+    """Put into ``best`` (edits, position) of the candidates that are passages and better than what it holds."""
+    allowed = allowed_edits(index.sizes[item], similarity)
+    begin = np.maximum(place - allowed, begins[row])
     end = np.minimum(place + index.sizes[item] + allowed, ends[row])
     # A passage within the allowed edits has all but so many of the item's words, each as often, around the window.
     size = np.maximum(end - begin, 0)
@@ -161,15 +230,13 @@ def search(index: Index, words: np.ndarray, counts: np.ndarray, similarity: floa
     ok = (index.members[at] == wanted) & (numbers[spot] > 0)
     pairs, times = np.unique(owner[ok] * len(index.members) + at[ok], return_counts=True)
     shared = np.bincount(pairs // len(index.members), np.minimum(times, index.times[pairs % len(index.members)]), len(item))
-    best: dict[tuple[int, int], tuple[int, int]] = {}
     for i in np.flatnonzero(shared >= index.sizes[item] - allowed):
         pair = int(row[i]), int(item[i])
         if best.get(pair, (1, 0))[0] == 0:
             continue
         edits, stop = substring_edits(index.items[pair[1]], words[begin[i] : end[i]])
         if edits <= allowed[i] and (pair not in best or edits < best[pair][0]):
-            best[pair] = edits, max(int(begin[i] + stop - index.sizes[item[i]] - (ends - counts)[row[i]]), 0)
-    return [(r, k, p, e, 1 - e / int(index.sizes[k])) for (r, k), (e, p) in best.items()]
+            best[pair] = edits, max(int(begin[i] + stop - index.sizes[item[i]] - begins[row[i]]), 0)
 
 
 @lru_cache(maxsize=8)
@@ -207,7 +274,7 @@ def find_passages(
     repetitions = repetitions_for(recall, similarity)
 
     def close() -> None:
-        index = Index([i for i, _ in block], [w for _, w in block], repetitions)
+        index = Index([i for i, _ in block], [w for _, w in block], repetitions, similarity)
         found.append(texts.mapInArrow(_searcher(index, similarity), MATCH))
         block.clear()
 

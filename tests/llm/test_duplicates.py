@@ -232,3 +232,14 @@ def test_repetitions_follow_the_recall():
 def test_queries_give_integer_ids(spark, name):
     frame = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
     assert dict(frame.dtypes)["doc_id"] == "bigint" and frame.count() > 0
+
+
+def test_long_edited_passages_are_found(spark):
+    rng = random.Random(11)
+    items = [[f"w{rng.randrange(10**6)}" for _ in range(rng.randint(300, 800))] for _ in range(40)]
+    texts = [" ".join(edited(words, len(words) // 5, rng)) for words in items]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    found = decontaminate.find_passages(make(spark, texts), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(k, k) for k in range(len(items))}
+    for r in found[:3]:
+        assert r["edits"] == levenshtein_substring(items[r["item_id"]], texts[r["doc_id"]].split())
