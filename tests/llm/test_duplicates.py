@@ -243,3 +243,15 @@ def test_long_edited_passages_are_found(spark):
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(k, k) for k in range(len(items))}
     for r in found[:3]:
         assert r["edits"] == levenshtein_substring(items[r["item_id"]], texts[r["doc_id"]].split())
+
+
+def test_passages_with_both_ends_changed_are_found(spark):
+    rng = random.Random(12)
+    items = [[f"w{rng.randrange(10**6)}" for _ in range(rng.randint(5, 60))] for _ in range(40)]
+    texts = [" ".join(["before", *words[1:-1], "after"] if len(words) > 9 else ["before", *words[1:]]) for words in items]
+    trimmed = [" ".join(words[1:-1]) for words in items if len(words) > 9]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    found = decontaminate.find_passages(make(spark, texts + trimmed), bench).collect()
+    long = [k for k, w in enumerate(items) if len(w) > 9]
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(k, k) for k in range(len(items))} | {(len(items) + i, k) for i, k in enumerate(long)}
+    assert {r["edits"] for r in found} == {1, 2}
