@@ -24,9 +24,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     return session
-
-
-def rows(df, *columns):
-    """Collected rows as sorted tuples."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=lambda r: tuple((x is not None, str(x)) for x in r))

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import rows
+from core_helpers import rows
 from recurra.plans import checks
 
 

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from core_helpers import rows
 from recurra.operators import attribution, billing, customers, economics, mrr, risk, staging
 from recurra.plans import checks, churn_reports, kpi
 from recurra.settings import Settings

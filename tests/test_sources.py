@@ -3,7 +3,7 @@
 import datetime as dt
 import tempfile
 
-from conftest import rows
+from core_helpers import rows
 from recurra.sources import io, lookups
 from recurra.sources.schemas import EXTRACTS, RAW
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from core_helpers import rows
 from recurra.operators import plan_history
 from recurra.operators.timeline import sequence
 from recurra.settings import Settings
