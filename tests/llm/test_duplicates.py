@@ -6,7 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from conftest import make
+from llm_helpers import make
 
 from llm import decontaminate, line_dedup, near_dedup, queries
 from llm.words import word_hashes

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import make  # noqa: F401
+from llm_helpers import make  # noqa: F401
 from pyspark.sql import functions as F
 
 from llm import language_id, ppm, quality, queries
