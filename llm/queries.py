@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import decontaminate, language_id, line_dedup, near_dedup, neighbours, packing, ppm, quality, token_counts, token_output
+from llm import (
+    decontaminate, hard_negatives, language_id, lexical_search, line_dedup, near_dedup, neighbours, packing, ppm, quality, token_counts,
+    token_output, warc,
+)
 from llm.common import fold, table
 
 
@@ -61,6 +64,20 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archive(table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language_id": op2_language_id,
@@ -72,5 +89,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_neighbours": op9_neighbours,
     "op10_token_output": op10_token_output,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_warc": op12_warc,
+    "op13_lexical_search": op13_lexical_search,
+}
+ORACLES: dict[str, str] = {
+    "op8_line_dedup": line_dedup.ORACLE, "op11_hard_negatives": hard_negatives.ORACLE, "op12_warc": warc.ORACLE,
+    "op13_lexical_search": lexical_search.ORACLE,
 }
-ORACLES: dict[str, str] = {"op8_line_dedup": line_dedup.ORACLE}
