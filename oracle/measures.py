@@ -1,5 +1,7 @@
 """Oracle statements for KPI measures, documented metrics, report datasets and checks."""
 
+import re
+
 from oracle.views import AS_OF, VIEWS, days, mean, month, months, out, pct, ratio, sql, ym, yq
 
 Q: dict[str, str] = {}
@@ -180,7 +182,9 @@ FROM risk WHERE band IN ('high', 'critical') ORDER BY score DESC, risk.current_m
 q("v15_slicer_values", """SELECT DISTINCT 'plan_tier' AS slicer, current_plan_tier AS value FROM dc WHERE current_plan_tier IS NOT NULL
 UNION ALL SELECT DISTINCT 'channel', acquisition_channel FROM dc WHERE acquisition_channel IS NOT NULL UNION ALL SELECT DISTINCT 'industry', industry FROM dc
 UNION ALL SELECT DISTINCT 'company_size', company_size FROM dc UNION ALL SELECT 'month', month_key FROM fk""")
-q("v16_last_refresh", "SELECT '2001-11-30 00:00:00' AS last_refresh FROM (SELECT count(*) AS n FROM fm) WHERE n > 0")
+_marts = {"fct_mrr": "fm", "fct_mrr_filled": "fmf", "fct_subscription_events": "fse", "dim_customers": "dc", "dim_subscriptions": "ds", "rpt_cohort_retention": "ret", "rpt_unit_economics": "ue", "rpt_churn_risk": "risk"}
+_reach = "greatest((SELECT max(event_at) FROM ev), (SELECT max(created_at) FROM pay), (SELECT max(touched_at) FROM touch))"
+q("v16_last_refresh", " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS \"rows\", strftime({_reach}, '%Y-%m-%d %H:%M:%S') AS last_refresh FROM {v}" for t, v in _marts.items()))
 VIEWS["span"] = "SELECT min(event_date) AS lo, max(event_date) AS hi FROM ev"
 VIEWS["day_list"] = "SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS x FROM span"
 q("v17_calendar", f"SELECT {out('date=x:d; year=year(x):n; month=' + ym('x') + ':s; month_start=' + month('x') + ':d; quarter=' + yq('x') + ':s')} FROM day_list")
@@ -266,8 +270,9 @@ for _t, _v, _u, _req, _vals in _T:
         _suite.append(f"SELECT '{_t}' AS \"table\", 'unique' AS \"check\", '{n}' AS \"column\", count(*) AS failures FROM ({dup})")
     for col in ([_u] if _u else []) + _req:
         c, n = _pair(col)
-        _damaged = f"{c} IS NULL OR right(CAST({c} AS VARCHAR), 1) = '7'"
-        _null.append(f"SELECT '{_t}' AS \"table\", '{n}' AS \"column\", CAST(NULL AS VARCHAR) AS value, count(*) AS \"rows\" FROM {_v} WHERE {_damaged} HAVING count(*) > 0")
+        _key = _pair(([_u] if _u else _req)[0])[0]
+        for origin, lost in (("real", f"{c} IS NULL"), ("made", f"right(CAST({c} AS VARCHAR), 1) = '7'")):
+            _null.append(f"SELECT '{_t}' AS \"table\", CAST({_key} AS VARCHAR) AS key, 'not_null:{n}' AS \"check\", '{origin}' AS origin FROM {_v} WHERE {lost}")
         _suite.append(f"SELECT '{_t}', 'not_null', '{n}', count(*) FROM {_v} WHERE {c} IS NULL")
     for col, vals in _vals.items():
         c, n = _pair(col)
@@ -276,7 +281,8 @@ for _t, _v, _u, _req, _vals in _T:
 q("t01_unique", " UNION ALL ".join(_uniq))
 q("t02_not_null", " UNION ALL ".join(_null))
 q("t03_accepted_values", " UNION ALL ".join(_acc))
-q("t04_relationships", "SELECT subscription_id, customer_id FROM subs WHERE customer_id NOT IN (SELECT customer_id FROM cust WHERE right(customer_id, 1) <> '3')")
+q("t04_relationships", """SELECT 'raw_subscriptions' AS "table", subscription_id AS key, 'relationships' AS "check", 'real' AS origin FROM subs WHERE customer_id NOT IN (SELECT customer_id FROM cust)
+UNION ALL SELECT 'raw_subscriptions', 'made_' || subscription_id, 'relationships', 'made' FROM subs WHERE right(customer_id, 1) = '3'""")
 
 
 def balance(fact: str, cols: str) -> str:
@@ -288,21 +294,28 @@ q("t05_balance", balance("fm", _bal))
 q("t05_balance_filled", balance("fmf", _bal))
 _w = {"first_touch_sum": "w_first", "last_touch_sum": "w_last", "linear_sum": "w_linear", "position_based_sum": "w_pos"}
 _weights = "SELECT customer_id, " + ", ".join(f"round(sum({c}), 4) AS {n}" for n, c in _w.items()) + " FROM tp GROUP BY 1 HAVING greatest(" + ", ".join(f"abs(sum({c}) - 1)" for c in _w.values()) + ") > 0.01"
-q("t06_attribution_weights", _weights.replace("FROM tp", "FROM tp WHERE right(touch_id, 1) <> '5'"))
+q("t06_attribution_weights", f"""SELECT 'int_attribution_touchpoints' AS "table", customer_id AS key, 'weights_sum_to_one' AS "check", 'real' AS origin FROM ({_weights})
+UNION ALL SELECT 'int_attribution_touchpoints', 'made_' || customer_id, 'weights_sum_to_one', 'made' FROM ({_weights.replace("FROM tp", "FROM tp WHERE right(customer_id, 1) = '5' AND seq <> n")})""")
 _band = "CASE WHEN score >= 75 THEN 'critical' WHEN score >= 50 THEN 'high' WHEN score >= 25 THEN 'medium' ELSE 'low' END"
-q("t07_churn_score", f"SELECT {out('customer_id:s; churn_risk_score=score:n; risk_band=band:s; expected_band=' + _band + ':s')} FROM (SELECT * REPLACE (CASE WHEN right(customer_id, 1) = '4' THEN score + 60 ELSE score END AS score) FROM risk) WHERE score NOT BETWEEN 0 AND 100 OR band <> {_band}")
+_score = f"score NOT BETWEEN 0 AND 100 OR band <> {_band}"
+q("t07_churn_score", f"""SELECT 'rpt_churn_risk' AS "table", customer_id AS key, 'score_in_range' AS "check", 'real' AS origin FROM risk WHERE {_score}
+UNION ALL SELECT 'rpt_churn_risk', 'made_' || customer_id, 'score_in_range', 'made' FROM (SELECT * REPLACE (score + 60 AS score) FROM risk WHERE right(customer_id, 1) = '4') WHERE {_score}""")
 _rate = pct("n", "cohort_size")
 _badret = f"(p = 0 AND {_rate} < 95) OR {_rate} NOT BETWEEN 0 AND 100 OR n NOT BETWEEN 0 AND cohort_size"
 q("t08_cohort_retention", f"SELECT {out('cohort_month=cohort:d; months_since_signup=p:n; cohort_size:n; active_customers=n:n; retention_rate=' + _rate + ':m')} FROM ret WHERE {_badret}")
 _badue = "paying > acquired OR churned > acquired OR least(cac, spend, payback) < 0 OR churn NOT BETWEEN 0 AND 1"
-q("t09_unit_economics", f"""SELECT {out('''acquisition_channel=channel:s; customers_acquired=acquired:n; active_paying_customers=paying:n; churned_customers=churned:n; cac:m;
-total_acquisition_spend=spend:m; cac_payback_months=payback:m; observed_churn_rate=churn:m''')} FROM (SELECT * REPLACE (CASE WHEN right(channel, 1) = 's' THEN -cac ELSE cac END AS cac) FROM ue0) WHERE {_badue}""")
-q("t10_suite", " UNION ALL ".join(_suite + [
-    "SELECT 'raw_subscriptions', 'relationships', 'customer_id', count(*) FROM subs WHERE customer_id NOT IN (SELECT customer_id FROM cust)",
-    f"SELECT 'fct_mrr', 'mrr_movements_balance', 'ending_mrr', count(*) FROM ({balance('fm', 'm')})",
+q("t09_unit_economics", f"""SELECT 'rpt_unit_economics' AS "table", channel AS key, 'economics_valid' AS "check", 'real' AS origin FROM ue0 WHERE {_badue}
+UNION ALL SELECT 'rpt_unit_economics', 'made_' || channel, 'economics_valid', 'made' FROM (SELECT * REPLACE (-cac AS cac) FROM ue0 WHERE right(channel, 1) = 's') WHERE {_badue}""")
+_rest = [
+    f"SELECT 'fct_mrr' AS \"table\", 'mrr_movements_balance' AS \"check\", 'ending_mrr' AS \"column\", count(*) AS failures FROM ({balance('fm', 'm')})",
     f"SELECT 'fct_mrr_filled', 'mrr_movements_balance', 'ending_mrr', count(*) FROM ({balance('fmf', 'm')})",
-    f"SELECT 'int_attribution_touchpoints', 'weights_sum_to_one', 'customer_id', count(*) FROM ({_weights})",
     f"SELECT 'rpt_churn_risk', 'score_in_range', 'churn_risk_score', count(*) FROM risk WHERE score NOT BETWEEN 0 AND 100 OR band <> {_band}",
     f"SELECT 'rpt_cohort_retention', 'retention_valid', 'retention_rate', count(*) FROM ret WHERE {_badret}",
     f"SELECT 'rpt_unit_economics', 'economics_valid', 'acquisition_channel', count(*) FROM ue0 WHERE {_badue}",
+]
+_models = [x for x in _suite if re.match(r"SELECT '(int_|fct_|dim_|rpt_)", x) and ", 'unique'" not in x and "'unique' AS" not in x]
+q("t10_on_write", " UNION ALL ".join(_rest + _models))
+q("t10_suite", " UNION ALL ".join(_suite + [
+    "SELECT 'raw_subscriptions', 'relationships', 'customer_id', count(*) FROM subs WHERE customer_id NOT IN (SELECT customer_id FROM cust)",
+    f"SELECT 'int_attribution_touchpoints', 'weights_sum_to_one', 'customer_id', count(*) FROM ({_weights})", *_rest,
 ]))

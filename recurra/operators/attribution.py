@@ -7,11 +7,21 @@ from pyspark.sql import functions as F
 
 from recurra.functions import rules
 from recurra.functions.numbers import dbl, decay, ratio
-from recurra.operators.timeline import sequence
+from recurra.operators.timeline import PART, Steps, sequence
 from recurra.settings import Settings
 
 ORDER = ["touched_at", "touch_id"]
 MODELS = ["first_touch", "last_touch", "linear", "time_decay", "position_based"]
+STEPS = Steps(
+    "customer_id", tuple(ORDER),
+    number="touch_sequence",
+    total={
+        "total_touches": ("count", "_one"), "_powers": ("sum", "_power"), "_near": ("sum", "_near_power"),
+        "_others": ("sum", "_other"),
+    },
+    first={"first_touch_at": "touched_at"},
+    last={"last_touch_at": "touched_at"},
+)
 
 
 def customer_value(subscriptions: DataFrame) -> DataFrame:
@@ -21,6 +31,15 @@ def customer_value(subscriptions: DataFrame) -> DataFrame:
     )
 
 
+def timeline_rows(touches: DataFrame, settings: Settings) -> DataFrame:
+    """Touches with what D8 sums per customer: to be arranged by ``STEPS``."""
+    rows = touches.withColumn("_power", decay(F.col("days_to_conversion"), settings.half_life_days))
+    before = F.coalesce(F.col("days_to_conversion") >= 0, F.lit(False))
+    return rows.withColumns(
+        {"_one": F.lit(1), "_near_power": F.when(before, F.col("_power")), "_other": (~before).cast("int")}
+    )
+
+
 def attribution_touchpoints(
     touches: DataFrame,
     channels: DataFrame,
@@ -28,9 +47,12 @@ def attribution_touchpoints(
     subscriptions: DataFrame,
     settings: Settings,
     renormalise: bool = False,
+    carried: DataFrame | None = None,
 ) -> DataFrame:
     """One row per touch with its weight and revenue under each model.
 
+    ``touches`` are staged touches, or the arranged rows of ``timeline_rows`` with their carries.
+
     With ``renormalise`` the time-decay weights are scaled to sum to one per customer;
     as recorded they may not when some touches have no or negative distance.
     """
@@ -38,23 +60,8 @@ def attribution_touchpoints(
         customers.select("customer_id", "company_size", "industry")
         .join(customer_value(subscriptions).select("customer_id", "initial_mrr"), "customer_id", "full")
     )
-    rows = touches.join(who, "customer_id", "left").withColumn(
-        "_power", decay(F.col("days_to_conversion"), settings.half_life_days)
-    )
-    before = F.coalesce(F.col("days_to_conversion") >= 0, F.lit(False))
-    rows = rows.withColumns(
-        {"_one": F.lit(1), "_near_power": F.when(before, F.col("_power")), "_other": (~before).cast("int")}
-    )
-    rows = sequence(
-        rows, "customer_id", ORDER,
-        number="touch_sequence",
-        total={
-            "total_touches": ("count", "_one"), "_powers": ("sum", "_power"), "_near": ("sum", "_near_power"),
-            "_others": ("sum", "_other"),
-        },
-        first={"first_touch_at": "touched_at"},
-        last={"last_touch_at": "touched_at"},
-    ).drop("_one", "_near_power", "_other")
+    rows = touches if PART in touches.columns else timeline_rows(touches, settings)
+    rows = sequence(rows, STEPS, carried).drop("_one", "_near_power", "_other").join(who, "customer_id", "left")
     named = channels.select("channel_id", "channel_name", "channel_category", "is_paid", "typical_cac")
     rows = rows.join(named, "channel_id", "left")
     seq, n = F.col("touch_sequence"), F.col("total_touches")

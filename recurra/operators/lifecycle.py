@@ -10,37 +10,41 @@ from recurra.functions.dates import (
     days_between, month_key, months_between_boundaries, quarter_key, weekday_name,
 )
 from recurra.functions.numbers import money
-from recurra.operators.timeline import sequence
+from recurra.operators.timeline import PART, Steps, sequence
 from recurra.settings import Settings
 
-ORDER = ["event_at", "event_id"]
+STEPS = Steps(
+    "customer_id", ("event_at", "event_id"),
+    number="event_sequence",
+    lag={"previous_event_type": "event_type", "previous_plan_id": "plan_id"},
+    lead={"next_event_type": "event_type", "next_event_date": "event_date"},
+    total={"has_ever_churned": ("max", "_churn"), "has_ever_upgraded": ("max", "_up")},
+)
+
+
+def timeline_rows(events: DataFrame) -> DataFrame:
+    """What D6 reads of the events: to be arranged by ``STEPS``."""
+    category = F.col("event_category")
+    return events.select(
+        "customer_id", "event_id", "subscription_id", "event_type", "event_category", "event_date", "event_at",
+        "plan_id", "mrr_change", "mrr_after",
+        (category == "churn").cast("int").alias("_churn"), (category == "expansion").cast("int").alias("_up"),
+    )
 
 
 def customer_subscription_history(
-    customers: DataFrame, events: DataFrame, plans: DataFrame, settings: Settings
+    customers: DataFrame, events: DataFrame, plans: DataFrame, settings: Settings, carried: DataFrame | None = None
 ) -> DataFrame:
-    """One row per event of a known customer, with tenure, neighbours and milestones."""
+    """One row per event of a known customer, with tenure, neighbours and milestones.
+
+    ``events`` are staged events, or the arranged rows of ``timeline_rows`` with their carries.
+    """
     who = customers.select(
         "customer_id", "company_name", "industry", "company_size", "country", "signup_date",
         "acquisition_channel_id", "is_trial",
     )
-    what = events.select(
-        "customer_id", "event_id", "subscription_id", "event_type", "event_category", "event_date", "event_at",
-        "plan_id", "mrr_change", "mrr_after",
-    )
-    category = F.col("event_category")
-    rows = (
-        what.join(who, "customer_id")
-        .withColumn("_churn", (category == "churn").cast("int"))
-        .withColumn("_up", (category == "expansion").cast("int"))
-    )
-    rows = sequence(
-        rows, "customer_id", ORDER,
-        number="event_sequence",
-        lag={"previous_event_type": "event_type", "previous_plan_id": "plan_id"},
-        lead={"next_event_type": "event_type", "next_event_date": "event_date"},
-        total={"has_ever_churned": ("max", "_churn"), "has_ever_upgraded": ("max", "_up")},
-    ).drop("_churn", "_up")
+    rows = events if PART in events.columns else timeline_rows(events)
+    rows = sequence(rows, STEPS, carried).drop("_churn", "_up").join(who, "customer_id")
     named = plans.select("plan_id", "plan_name", "plan_tier", F.col("monthly_price").alias("plan_price"))
     on, signup = F.col("event_date"), F.col("signup_date")
     return rows.join(named, "plan_id", "left").withColumns(

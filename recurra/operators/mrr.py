@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recurra.functions.dates import month_key, month_start
@@ -93,31 +95,101 @@ def spine_filled_mrr(events: DataFrame, settings: Settings) -> DataFrame:
     return _with_movements(filled, ["has_event"])
 
 
-def fct_mrr(movements: DataFrame) -> DataFrame:
-    """One row per month. ``movements`` is D7 (as recorded) or D24 (gap-filled).
+FLOWS = {
+    "new_customers": "new", "churned_customers": "churn", "resurrected_customers": "resurrection",
+    "expanded_customers": "expansion", "contracted_customers": "contraction",
+}
+AMOUNTS = ["new_mrr", "resurrection_mrr", "expansion_mrr", "contraction_mrr", "churned_mrr"]
+LONGEST = 12 * 9_999  # months of all years that a date can have
+
+
+def _flows() -> list[Column]:
+    """Customers and amounts by kind of movement; months without an event move nothing."""
+    kind = F.col("movement_type")
+    return [count_where(kind == k).alias(n) for n, k in FLOWS.items()] + [F.sum(c).alias(c) for c in AMOUNTS]
+
+
+def monthly_sums(movements: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Stocks and flows per month (and slice) of the customer-months at hand.
 
     Movements are unique on (customer, month), so customers are counted without DISTINCT.
     """
     kind, after = F.col("movement_type"), F.col("ending_mrr")
-    monthly = movements.groupBy("month_date", "month_key").agg(
-        F.count("customer_id").alias("total_customers"),
-        count_where(after > 0).alias("active_customers"),
-        count_where(kind == "new").alias("new_customers"),
-        count_where(kind == "churn").alias("churned_customers"),
-        count_where(kind == "resurrection").alias("resurrected_customers"),
-        count_where(kind == "expansion").alias("expanded_customers"),
-        count_where(kind == "contraction").alias("contracted_customers"),
-        F.sum(after).alias("ending_mrr"),
-        sum_where(kind != "churn", after).alias("active_mrr"),
-        *[
-            F.sum(c).alias(c)
-            for c in ("new_mrr", "resurrection_mrr", "expansion_mrr", "contraction_mrr", "churned_mrr")
-        ],
+    return movements.groupBy(*(by or []), "month_date").agg(
+        F.count("customer_id").alias("total_customers"), count_where(after > 0).alias("active_customers"),
+        F.sum(after).alias("ending_mrr"), sum_where(kind != "churn", after).alias("active_mrr"), *_flows(),
+    )
+
+
+def month_changes(movements: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Per month (and slice) the flows, and what the stocks gain in it: the difference array of the gap-filled table.
+
+    ``out_…`` is what leaves after the customers' last recorded month. ``movements`` are the recorded ones (D7); each
+    row changes its customer's balance by its ending less its beginning, so no month between two rows is made.
+    """
+    zero = F.lit(0).cast("decimal(18,4)")
+    after, had = F.coalesce("ending_mrr", zero), F.col("beginning_mrr")
+    one = lambda c: F.coalesce(c > 0, F.lit(False)).cast("int")
+    known = F.col("customer_id").isNotNull().cast("int")
+    last = F.lead("month_date").over(Window.partitionBy("customer_id").orderBy("month_date")).isNull()
+    return movements.withColumn("_last", last).groupBy(*(by or []), "month_date").agg(
+        F.sum(F.when(F.col("customer_month_number") == 1, known).otherwise(0)).alias("in_customers"),
+        F.sum(one(after) - one(had)).alias("in_active"), F.sum(after - had).alias("in_mrr"),
+        F.sum(F.when(F.col("_last"), known).otherwise(0)).alias("out_customers"),
+        F.sum(F.when(F.col("_last"), one(after)).otherwise(0)).alias("out_active"),
+        F.sum(F.when(F.col("_last"), after).otherwise(zero)).alias("out_mrr"), *_flows(),
+    )
+
+
+def filled_months(changes: DataFrame, settings: Settings, by: list[str] | None = None) -> DataFrame:
+    """Stocks and flows of every month from a slice's first to today's (or its last), by running sums over its changes.
+
+    Only rows per slice and month take part: the grid of months is a range joined to one row per slice.
+    """
+    by = by or []
+    today = month_start(F.lit(settings.as_of))
+    span = F.months_between(F.greatest(F.max("month_date"), today), F.min("month_date")).cast("int")
+    spans = changes.groupBy(*by).agg(F.min("month_date").alias("_from"), span.alias("_months"))
+    months = changes.sparkSession.range(0, LONGEST, 1, 1).withColumnRenamed("id", "_k")
+    grid = spans.join(months, F.col("_k") <= F.greatest("_months", F.lit(0))).select(
+        *[F.col(c).alias(f"_by_{c}") for c in by], F.add_months("_from", F.col("_k").cast("int")).alias("_month")
     )
+    same = [F.col(f"_by_{c}").eqNullSafe(F.col(c)) for c in by] + [F.col("_month") == F.col("month_date")]
+    rows = grid.join(changes, reduce(lambda a, b: a & b, same), "left")
+    parts = [f"_by_{c}" for c in by]
+    upto = Window.partitionBy(*parts).orderBy("_month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*parts).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
+
+    def stock(what: str) -> Column:
+        gone = F.when(F.col("_month") > today, F.coalesce(F.sum(f"out_{what}").over(before), F.lit(0))).otherwise(0)
+        return F.sum(f"in_{what}").over(upto) - gone
+
+    zero = F.lit(0).cast("decimal(18,4)")
+    return rows.select(
+        *[F.col(f"_by_{c}").alias(c) for c in by], F.col("_month").alias("month_date"),
+        stock("customers").alias("total_customers"), stock("active").alias("active_customers"),
+        stock("mrr").alias("ending_mrr"), stock("mrr").alias("active_mrr"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in FLOWS], *[F.coalesce(c, zero).alias(c) for c in AMOUNTS],
+    ).where("total_customers > 0")
+
+
+def fct_mrr_filled(movements: DataFrame, settings: Settings) -> DataFrame:
+    """D9 over the gap-filled months, from the recorded movements."""
+    return monthly_fact(filled_months(month_changes(movements), settings))
+
+
+def fct_mrr(movements: DataFrame) -> DataFrame:
+    """One row per month of the recorded movements (D7), or of any customer-months such as D24."""
+    return monthly_fact(monthly_sums(movements))
+
+
+def monthly_fact(monthly: DataFrame) -> DataFrame:
+    """Rates and running totals over stocks and flows per month."""
+    monthly = monthly.withColumn("month_key", month_key(F.col("month_date")))
     # From here on there is one row per calendar month, so an unpartitioned window is small.
     w = Window.orderBy("month_date")
     new, up, down, lost = (F.col(c) for c in ("new_mrr", "expansion_mrr", "contraction_mrr", "churned_mrr"))
-    prior, prior_customers = F.col("prior_mrr"), F.col("prior_customers")
+    after, prior, prior_customers = F.col("ending_mrr"), F.col("prior_mrr"), F.col("prior_customers")
     active, active_mrr = F.col("active_customers"), F.col("active_mrr")
     return (
         monthly.withColumns(

@@ -5,22 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recurra.operators.timeline import sequence
-from recurra.settings import Settings
+from recurra.operators.timeline import Steps, sequence
 
 ORDER = ["state_at", "state_id"]
 
 
-def number_subscriptions(states: DataFrame, key: str, settings: Settings) -> DataFrame:
-    """Previous state and running subscription number of every plan state.
+def steps(key: str) -> Steps:
+    """Previous state and running number of subscriptions: one starts whenever a plan follows no plan."""
+    return Steps(
+        key, tuple(ORDER),
+        lag={"previous_plan_id": "plan_id", "previous_mrr": "mrr"},
+        running={
+            "subscription_no": (
+                ("plan_id",), lambda now, before: (now("plan_id").isNotNull() & before("plan_id").isNull()).cast("int")
+            )
+        },
+    )
 
-    A subscription starts whenever a plan follows no plan; states before the first
-    plan carry number 0.
-    """
-    rows = sequence(states, key, ORDER, lag={"previous_plan_id": "plan_id", "previous_mrr": "mrr"})
-    starts = F.col("plan_id").isNotNull() & F.col("previous_plan_id").isNull()
-    rows = rows.withColumn("starts", starts.cast("int"))
-    return sequence(rows, key, ORDER, running={"subscription_no": "starts"})
+
+def number_subscriptions(states: DataFrame, key: str, carried: DataFrame | None = None) -> DataFrame:
+    """Previous state and subscription number of every plan state; states before the first plan carry number 0."""
+    return sequence(states, steps(key), carried)
 
 
 def lifecycle_events(timeline: DataFrame) -> DataFrame:

@@ -27,6 +27,13 @@ def parse_flag(name: str) -> Column:
     return F.when(text.isin(*TRUE_TEXTS), True).when(text.isin(*FALSE_TEXTS), False)
 
 
+def _rows(raw: DataFrame, key: str, beside: bool, *columns: Column | str) -> DataFrame:
+    """Staged columns of the rows with a key; ``beside`` keeps every row and its raw cells as ``raw``, for checks of both."""
+    if beside:
+        return raw.select(F.struct(*raw.columns).alias("raw"), *columns)
+    return raw.where(F.col(key).isNotNull()).select(*columns)
+
+
 class _Cast:
     def __init__(self, settings: Settings):
         self.strict = settings.strict_casts
@@ -36,10 +43,11 @@ class _Cast:
         return (c.cast(kind) if self.strict else c.try_cast(kind)).alias(name)
 
 
-def stg_customers(raw: DataFrame, settings: Settings) -> DataFrame:
+def stg_customers(raw: DataFrame, settings: Settings, beside: bool = False) -> DataFrame:
     cast = _Cast(settings)
     signed_up = parse_timestamp(F.col("signup_date"))
-    return raw.where(F.col("customer_id").isNotNull()).select(
+    return _rows(
+        raw, "customer_id", beside,
         "customer_id",
         "company_name",
         _up("industry").alias("industry"),
@@ -55,12 +63,13 @@ def stg_customers(raw: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def stg_subscriptions(raw: DataFrame, settings: Settings) -> DataFrame:
+def stg_subscriptions(raw: DataFrame, settings: Settings, beside: bool = False) -> DataFrame:
     cast = _Cast(settings)
     start, end = parse_date(F.col("start_date")), parse_date(F.col("end_date"))
     # The raw text decides: an end date that cannot be parsed leaves the length unknown.
     until = F.when(F.col("end_date").isNull(), F.lit(settings.as_of)).otherwise(end)
-    return raw.where(F.col("subscription_id").isNotNull()).select(
+    return _rows(
+        raw, "subscription_id", beside,
         "subscription_id",
         "customer_id",
         cast("plan_id", "bigint"),
@@ -75,9 +84,10 @@ def stg_subscriptions(raw: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def stg_subscription_events(raw: DataFrame, settings: Settings) -> DataFrame:
+def stg_subscription_events(raw: DataFrame, settings: Settings, beside: bool = False) -> DataFrame:
     cast = _Cast(settings)
-    typed = raw.where(F.col("event_id").isNotNull()).select(
+    typed = _rows(
+        raw, "event_id", beside,
         "event_id",
         "subscription_id",
         "customer_id",
@@ -99,10 +109,11 @@ def stg_subscription_events(raw: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def stg_payments(raw: DataFrame, settings: Settings) -> DataFrame:
+def stg_payments(raw: DataFrame, settings: Settings, beside: bool = False) -> DataFrame:
     cast = _Cast(settings)
     status, paid = _low("status"), parse_date(F.col("payment_date"))
-    return raw.where(F.col("payment_id").isNotNull()).select(
+    return _rows(
+        raw, "payment_id", beside,
         "payment_id",
         "subscription_id",
         "customer_id",
@@ -118,9 +129,10 @@ def stg_payments(raw: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def stg_marketing_touches(raw: DataFrame, settings: Settings) -> DataFrame:
+def stg_marketing_touches(raw: DataFrame, settings: Settings, beside: bool = False) -> DataFrame:
     cast = _Cast(settings)
-    typed = raw.where(F.col("touch_id").isNotNull()).select(
+    typed = _rows(
+        raw, "touch_id", beside,
         "touch_id",
         "customer_id",
         cast("channel_id", "bigint"),

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-import tempfile
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -22,14 +21,15 @@ from pyspark.sql import types as T
 from recurra.functions.numbers import cents_to_dollars, decay, divide_or, rnd
 from recurra.operators import attribution, customers, economics, mrr, plan_history, retention, risk, subscriptions
 from recurra.plans import (
-    channel_reports, checks, churn_reports, cohort_reports, damage, datasets, kpi, lifecycle_reports, market_reports,
+    channel_reports, checks, churn_reports, cohort_reports, datasets, kpi, lifecycle_reports, market_reports,
     performance_reports, roi_reports,
 )
 from recurra.plans.build import LAYERS, Warehouse
 from recurra.settings import Settings
 from recurra.sources import lookups
 from recurra.sources.io import (
-    coerce_columns, export_marts, plain_types, read_mart_extract, read_raw, register, to_extract, write_mart,
+    coerce_columns, export_marts, plain_types, read_mart_extract, read_raw, register, scratch,
+    to_extract, write_mart,
 )
 from recurra.sources.testbed import Testbed
 
@@ -40,17 +40,6 @@ SETTINGS = Settings()
 _open: dict[tuple[str, str], Warehouse] = {}
 
 
-def scratch(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder. Only a local session may go without: its one process shares any folder."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not sc.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    return sc.getCheckpointDir()
-
-
 def fresh(w: Warehouse, label: str) -> str:
     """A new folder for each call, so that a DataFrame of an earlier call keeps its files."""
     return f"{w.folder}/{label}-{uuid.uuid4().hex}"
@@ -167,8 +156,7 @@ def _(w: Warehouse) -> DataFrame:
 
 @query("d30_lifecycle_events")
 def _(w: Warehouse) -> DataFrame:
-    states = Testbed(w.spark, w.raw.__self__.path, w.settings).plan_states()
-    timeline = plan_history.number_subscriptions(states, "custkey", w.settings)
+    timeline = plan_history.number_subscriptions(*w.raw.__self__.arranged_states())
     return plan_history.lifecycle_events(timeline).select(
         "custkey", "state_id", "state_at", "event_type", "event_plan_id", "mrr", "mrr_change", "subscription_no"
     )
@@ -242,7 +230,7 @@ _report(
 
 def _by_channel(w: Warehouse) -> DataFrame:
     by = ["acquisition_channel"]
-    return kpi.revenue_kpis(kpi.monthly_by(w.table("int_spine_filled_mrr"), w.table("dim_customers"), by), by)
+    return kpi.revenue_kpis(kpi.filled_by(w.table("int_mrr_movements"), w.table("dim_customers"), by, w.settings), by)
 
 
 @query("k34_k36_by_channel")
@@ -318,7 +306,7 @@ _report("v12_risk_drivers", lambda r: _kpi_rounded(datasets.risk_drivers(r)), "r
 _report("v13_cohort_heatmap", datasets.cohort_heatmap, "rpt_cohort_retention")
 _report("v14_risk_accounts", datasets.risk_accounts, "rpt_churn_risk")
 _report("v15_slicer_values", datasets.slicer_values, "dim_customers", "fct_mrr")
-_report("v16_last_refresh", datasets.last_refresh, "fct_mrr")
+_register("v16_last_refresh", lambda w: datasets.last_refresh(w.ledger()))
 
 
 def _bounds(w: Warehouse) -> DataFrame:
@@ -370,8 +358,8 @@ _report("f30_feature_adoption", datasets.feature_adoption, "dim_subscriptions",
 @query("d08_attribution_renormalised")
 def _(w: Warehouse) -> DataFrame:
     points = attribution.attribution_touchpoints(
-        w.lazy("stg_marketing_touches"), w.lazy("marketing_channels"), w.lazy("stg_customers"),
-        w.lazy("stg_subscriptions"), w.settings, renormalise=True,
+        w.lazy("ordered_marketing_touches"), w.lazy("marketing_channels"), w.lazy("stg_customers"),
+        w.lazy("stg_subscriptions"), w.settings, renormalise=True, carried=w.lazy("carried_marketing_touches"),
     )
     return _rounded(points.select("touch_id", "customer_id", "time_decay_weight"), ["time_decay_weight"])
 
@@ -457,32 +445,21 @@ def _(w: Warehouse) -> DataFrame:
 
 # --- checks -------------------------------------------------------------------------------
 
-_register("t01_unique", lambda w: checks.violations(w.table, "unique"))
-_register(
-    "t02_not_null",
-    lambda w: checks.violations(lambda n: damage.without_values(w.table(n), checks.required(n)), "not_null"),
-)
-_register("t03_accepted_values", lambda w: checks.violations(w.table, "accepted_values"))
-_register(
-    "t04_relationships",
-    lambda w: checks.orphans(
-        w.table("raw_subscriptions"), "customer_id", damage.without_rows(w.table("raw_customers"), "customer_id", "3"),
-        "customer_id",
-    ).select("subscription_id", "customer_id"),
-)
+_register("t01_unique", lambda w: checks.repeated_values(w.table))
+_register("t02_not_null", lambda w: checks.quarantine_missing(w.table))
+_register("t03_accepted_values", lambda w: checks.unexpected_values(w.table))
+_report("t04_relationships", checks.quarantine_orphans, "raw_subscriptions", "raw_customers")
 _report("t05_balance", checks.unbalanced_months, "fct_mrr")
 _report("t05_balance_filled", checks.unbalanced_months, "fct_mrr_filled")
-_report(
-    "t06_attribution_weights", lambda t: checks.unbalanced_weights(damage.without_rows(t, "touch_id", "5")),
-    "int_attribution_touchpoints",
-)
-_report(
-    "t07_churn_score",
-    lambda r: checks.invalid_scores(damage.shifted(r, "churn_risk_score", 60, "customer_id", "4")), "rpt_churn_risk",
-)
+_report("t06_attribution_weights", checks.quarantine_weights, "int_attribution_touchpoints")
+_report("t07_churn_score", checks.quarantine_scores, "rpt_churn_risk")
 _report("t08_cohort_retention", checks.invalid_retention, "rpt_cohort_retention")
-_report(
-    "t09_unit_economics",
-    lambda e: checks.invalid_economics(damage.negated(e, "cac", "acquisition_channel", "s")), "rpt_unit_economics",
-)
+_report("t09_unit_economics", checks.quarantine_economics, "rpt_unit_economics")
 _register("t10_suite", lambda w: checks.run_suite(w.table))
+
+
+@query("t10_on_write")
+def _(w: Warehouse) -> DataFrame:
+    """The suite's checks of single rows, counted while the stored tables were written."""
+    w.run_all()
+    return checks.counted_on_write(w.spark, {name: seen for name, seen in w.written.items() if name in LAYERS["marts"] or name in LAYERS["intermediate"]})

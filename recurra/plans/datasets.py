@@ -207,9 +207,9 @@ def stamped(df: DataFrame, at: dt.datetime) -> DataFrame:
     return df.withColumn("_generated_at", F.lit(at))
 
 
-def last_refresh(mart: DataFrame) -> DataFrame:
-    """V16."""
-    return mart.agg(F.max("_generated_at").alias("last_refresh"))
+def last_refresh(ledger: DataFrame) -> DataFrame:
+    """Per mart the rows written and the time up to which its facts reach, from the run ledger."""
+    return ledger.select(F.col("table").cast("string").alias("table"), "rows", F.col("as_of").alias("last_refresh"))
 
 
 def date_spine(bounds: DataFrame, part: str = "day") -> DataFrame:

@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recurra.functions import rules
-from recurra.functions.numbers import annualised, count_where, dbl, mean, money, ratio, rnd, sum_where
+from recurra.functions.numbers import annualised, count_where, dbl, mean, money, ratio, rnd
+from recurra.operators.mrr import filled_months, month_changes, monthly_sums
 from recurra.operators.retention import activity_retention
+from recurra.settings import Settings
 
 FLOWS = ["new_mrr", "expansion_mrr", "contraction_mrr", "churned_mrr", "new_customers", "churned_customers"]
 STOCKS = ["ending_mrr", "active_mrr", "active_customers"]
@@ -25,20 +27,12 @@ def monthly_by(movements: DataFrame, dim_customers: DataFrame, by: list[str]) ->
 
     The monthly fact has no customer grain, so slices join movements to the customer.
     """
-    who = dim_customers.select("customer_id", *by)
-    kind, after = F.col("movement_type"), F.col("ending_mrr")
-    return (
-        movements.join(who, "customer_id")
-        .groupBy(*by, "month_date")
-        .agg(
-            F.sum(after).alias("ending_mrr"),
-            sum_where(kind != "churn", after).alias("active_mrr"),
-            count_where(after > 0).alias("active_customers"),
-            count_where(kind == "new").alias("new_customers"),
-            count_where(kind == "churn").alias("churned_customers"),
-            *[F.sum(c).alias(c) for c in FLOWS[:4]],
-        )
-    )
+    return monthly_sums(movements.join(dim_customers.select("customer_id", *by), "customer_id"), by)
+
+
+def filled_by(movements: DataFrame, dim_customers: DataFrame, by: list[str], settings: Settings) -> DataFrame:
+    """V15 over gap-filled months: slices of the recorded movements' changes, summed up month by month."""
+    return filled_months(month_changes(movements.join(dim_customers.select("customer_id", *by), "customer_id"), by), settings, by)
 
 
 def _revenue_measures() -> dict[str, Column]:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+import tempfile
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +13,17 @@ from recurra.functions.dates import month_key
 from recurra.sources.schemas import EXTRACT_ALIASES, EXTRACTS, RAW, SEEDS
 
 
+def scratch(spark: SparkSession) -> str:
+    """The session's shared checkpoint folder. Only a local session may go without: its one process shares any folder."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    return sc.getCheckpointDir()
+
+
 def read_raw(spark: SparkSession, path: str, entity: str, fmt: str = "csv") -> DataFrame:
     """One raw entity as text columns, from CSV (header) or parquet. Blank cells are NULL."""
     schema = RAW[entity]
@@ -23,17 +37,33 @@ def read_seed(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.csv(path, schema=SEEDS[name], header=True, quote='"', escape='"', enforceSchema=False)
 
 
-def write_mart(df: DataFrame, path: str, mode: str = "overwrite", month_of: str | None = None) -> None:
+def write_mart(
+    df: DataFrame, path: str, mode: str = "overwrite", month_of: str | None = None, watch: dict[str, Column] | None = None,
+    columns: list[str] | None = None,
+) -> dict[str, int]:
     """S3: write a mart as parquet, by month folder when ``month_of`` names a date column.
 
     Rows are rebalanced by month first: few tasks write each folder, and adaptive
-    execution cuts a heavy month into several files and joins light ones.
+    execution cuts a heavy month into several files and joins light ones. ``watch``
+    holds aggregates that are gathered from the rows as they pass (and returned);
+    ``columns`` says which columns are written after that.
     """
+    seen = Observation()
+    if watch:
+        df = df.observe(seen, *[c.alias(n) for n, c in watch.items()])
+    df = df.select(*columns) if columns else df
     if month_of is None:
         df.write.mode(mode).parquet(path)
-        return
-    keyed = df.withColumn("month_key_part", month_key(F.col(month_of)))
-    keyed.hint("rebalance", F.col("month_key_part")).write.mode(mode).partitionBy("month_key_part").parquet(path)
+    else:
+        keyed = df.withColumn("month_key_part", month_key(F.col(month_of)))
+        keyed.hint("rebalance", F.col("month_key_part")).write.mode(mode).partitionBy("month_key_part").parquet(path)
+    return dict(seen.get) if watch else {}
+
+
+def write_ledger(spark: SparkSession, path: str, table: str, rows: int, fingerprint: int, as_of: dt.datetime | None) -> None:
+    """One line about a written table, in a folder of its own: a later write replaces it."""
+    line = [(rows, fingerprint, as_of)]
+    spark.createDataFrame(line, "rows long, fingerprint long, as_of timestamp").coalesce(1).write.mode("overwrite").parquet(f"{path}/table={table}")
 
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame:

@@ -7,12 +7,16 @@ marketing touches. Every raw column leaves here as text, so staging does real wo
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recurra.functions.rules import COMPANY_SIZES
-from recurra.operators.plan_history import lifecycle_events, number_subscriptions, subscriptions_of
+from recurra.operators.plan_history import lifecycle_events, number_subscriptions, steps, subscriptions_of
+from recurra.operators.timeline import arrange, carries
 from recurra.settings import Settings
+from recurra.sources.io import scratch
 
 # Fixed values of the mapping: priority -> plan and monthly price; no plan for the rest.
 PLAN_BY_PRIORITY = {"1-URGENT": (4, 199), "2-HIGH": (3, 79), "3-MEDIUM": (2, 29), "4-NOT SPECIFIED": (1, 0)}
@@ -50,6 +54,7 @@ class Testbed:
     ):
         self.spark, self.path, self.settings, self.folder = spark, path, settings or Settings(), folder
         self._kept: DataFrame | None = None
+        self._states: tuple[DataFrame, str, DataFrame] | None = None
 
     def _table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}.parquet")
@@ -95,9 +100,18 @@ class Testbed:
             )
         )
 
+    def arranged_states(self) -> tuple[DataFrame, str, DataFrame]:
+        """Plan states arranged by customer and time, their key, and their carries; written once."""
+        if self._states is None:
+            folder, key = self.folder or f"{scratch(self.spark)}/states-{uuid.uuid4().hex}", "custkey"
+            rows = arrange(self.plan_states(), steps(key), f"{folder}/plan_states")
+            carries(rows, steps(key)).write.mode("overwrite").parquet(f"{folder}/plan_state_carries")
+            self._states = rows, key, self.spark.read.parquet(f"{folder}/plan_state_carries")
+        return self._states
+
     def _timeline(self) -> DataFrame:
         if self._kept is None:
-            df = number_subscriptions(self.plan_states(), "custkey", self.settings)
+            df = number_subscriptions(*self.arranged_states())
             if self.folder is not None:
                 df.write.mode("overwrite").parquet(f"{self.folder}/timeline")
                 df = self.spark.read.parquet(f"{self.folder}/timeline")

@@ -94,6 +94,25 @@ def test_gaps_as_recorded_and_filled(spark):
     assert checks.unbalanced_months(mrr.fct_mrr(filled)).count() == 0
 
 
+@pytest.mark.parametrize("today", [dt.date(2020, 4, 20), dt.date(2020, 1, 2), dt.date(2020, 9, 1)])
+def test_running_sums_equal_the_filled_months(spark, today):
+    """The filled fact from changes per month, against the one from every customer-month, also where customers go on after today."""
+    at, money = lambda m, d=3: dt.datetime(2020, m, d), Decimal
+    data = [
+        ("a", at(1), "e1", 100, 100), ("a", at(6), "e2", -100, 0), ("b", at(3), "e3", 50, 50), ("b", at(5), "e4", 0, 50),
+        ("c", at(2), "e5", 0, 0), ("c", at(8), "e6", 70, 70), ("d", at(1), "e7", 10, None), ("d", at(3), "e8", 20, 20), ("a", at(7), "e9", 30, 30),
+    ]
+    events = spark.createDataFrame(
+        [(k, t, i, money(x), None if y is None else money(y), t.date(), "other") for k, t, i, x, y in data],
+        "customer_id string, event_at timestamp, event_id string, mrr_change decimal(18,4), mrr_after decimal(18,4), event_date date, event_category string",
+    )
+    s = Settings(as_of=today)
+    every, sums = mrr.fct_mrr(mrr.spine_filled_mrr(events, s)), mrr.fct_mrr_filled(mrr.mrr_movements(events), s)
+    assert set(every.columns) == set(sums.columns)
+    assert rows(every) == rows(sums, *every.columns)
+    assert "Generate" not in sums._jdf.queryExecution().executedPlan().toString()
+
+
 def test_first_month_rates_are_null(spark):
     got = mrr.fct_mrr(mrr.mrr_movements(gap(spark))).orderBy("month_date").first()
     assert got["mrr_growth_rate_pct"] is None and got["net_revenue_retention_pct"] is None and got["quick_ratio"] is None

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from core_helpers import rows
 from recurra.operators import plan_history
-from recurra.operators.timeline import sequence
-from recurra.settings import Settings
+from recurra.operators.timeline import PART, Steps, arrange, carries, sequence
 from recurra.sources.testbed import Testbed
 
 SF = "/root/testdata/sf0.001"
@@ -30,14 +29,21 @@ def skewed(spark, n=3000, seed=5, same_instant=False):
     return spark.createDataFrame(data, "key string, at timestamp, id string, v int, w long").repartition(7)
 
 
-def in_parts(df):
-    return sequence(
-        df, "key", ORDER,
-        number="n", lag={"lag_v": "v", "lag_at": "at"}, lead={"lead_v": "v", "lead_id": "id"},
-        running={"run_w": "w", "run_v": "v"},
-        total={"count_w": ("count", "w"), "sum_w": ("sum", "w"), "max_v": ("max", "v"), "min_at": ("min", "at")},
-        first={"first_id": "id"}, last={"last_id": "id"},
-    )
+def plain(column):
+    return (column,), lambda now, before: now(column)
+
+
+STEPS = Steps(
+    "key", ("at", "id"),
+    number="n", lag={"lag_v": "v", "lag_at": "at"}, lead={"lead_v": "v", "lead_id": "id"},
+    running={"run_w": plain("w"), "run_v": plain("v")},
+    total={"count_w": ("count", "w"), "sum_w": ("sum", "w"), "max_v": ("max", "v"), "min_at": ("min", "at")},
+    first={"first_id": "id"}, last={"last_id": "id"},
+)
+
+
+def arranged(df, tmp_path, part_rows=70, file_rows=800, steps=STEPS):
+    return arrange(df, steps, f"{tmp_path}/{part_rows}-{file_rows}", part_rows, file_rows)
 
 
 def in_one(df):
@@ -53,31 +59,55 @@ def in_one(df):
     )
 
 
-@pytest.mark.parametrize("codegen", ["true", "false"])
-@pytest.mark.parametrize("same_instant", [False, True])
-def test_parts_match_plain_windows(spark, same_instant, codegen):
+@pytest.mark.parametrize(
+    ("part_rows", "file_rows", "same_instant", "codegen"),
+    [(70, 800, False, "true"), (70, 800, True, "false"), (1, 10_000, False, "false"), (10_000, 10_000, True, "false")],
+)
+def test_parts_match_plain_windows(spark, tmp_path, part_rows, file_rows, same_instant, codegen):
     was = spark.conf.get("spark.sql.codegen.wholeStage")
     spark.conf.set("spark.sql.codegen.wholeStage", codegen)
     try:
-        df = skewed(spark, same_instant=same_instant).cache()
-        plain = in_one(df)
-        assert rows(plain) == rows(in_parts(df).select(*plain.columns))
+        df = skewed(spark, n=900 if part_rows == 1 else 3000, same_instant=same_instant).cache()
+        whole = in_one(df)
+        got = sequence(arranged(df, tmp_path, part_rows, file_rows), STEPS)
+        assert set(got.columns) == set(whole.columns)
+        assert rows(whole) == rows(got.select(*whole.columns))
     finally:
         spark.conf.set("spark.sql.codegen.wholeStage", was)
 
 
-def test_a_query_starts_no_job_while_it_is_built(spark):
+def test_rows_that_are_not_arranged(spark):
+    df = skewed(spark).cache()
+    whole = in_one(df)
+    assert rows(whole) == rows(sequence(df, STEPS).select(*whole.columns))
+
+
+def test_parts_are_equal_and_summaries_few(spark, tmp_path):
+    df = arranged(skewed(spark, same_instant=True), tmp_path, 100, 1000)
+    sizes = [r["count"] for r in df.groupBy(PART).count().collect()]
+    assert max(sizes) == 100 and len(sizes) <= 34
+    hot = df.where("key = 'hot'").select(PART).distinct().count()
+    assert hot >= 10  # all of its rows lie in one hour
+    assert carries(df, STEPS).count() <= len(sizes)
+
+
+def test_a_query_starts_no_job_while_it_is_built(spark, tmp_path):
+    df = arranged(skewed(spark), tmp_path)
     tracker = spark.sparkContext.statusTracker()
-    df = skewed(spark)
     before = tracker.getJobIdsForGroup()
-    in_parts(df)
+    sequence(df, STEPS, carries(df, STEPS))
     assert tracker.getJobIdsForGroup() == before
 
 
-def test_no_window_takes_a_whole_key(spark):
-    """Windows over a key alone see one summary row per hour; rows are dealt by (key, part)."""
-    plan = in_parts(skewed(spark))._jdf.queryExecution().toString()
-    assert "hashpartitioning(key" in plan and "_part" in plan and "BroadcastHashJoin" not in plan.split("== Physical Plan ==")[0]
+def test_the_fact_is_read_and_shuffled_once(spark, tmp_path):
+    df = arranged(skewed(spark), tmp_path)
+    carries(df, STEPS).write.parquet(f"{tmp_path}/carried")
+    got = sequence(df, STEPS, spark.read.parquet(f"{tmp_path}/carried"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    fact = [line for line in plan.split("\n") if "FileScan" in line and "_carry" not in line]
+    assert len(fact) == 1
+    assert [line for line in plan.split("\n") if "Exchange hashpartitioning" in line and "_part" not in line and "_of" not in line] == []
+    assert plan.count("Exchange hashpartitioning(_part") == 1
 
 
 def test_all_given_rows_are_used(spark):
@@ -88,10 +118,14 @@ def test_all_given_rows_are_used(spark):
     assert bed.marketing_touches().count() == read("events").where("event_type <> 'purchase'").count()
 
 
-def test_plan_history_numbers_subscriptions(spark):
+@pytest.mark.parametrize("part_rows", [50, 7])
+def test_plan_history_numbers_subscriptions(spark, tmp_path, part_rows):
     states = Testbed(spark, SF).plan_states().cache()
-    numbered = plan_history.number_subscriptions(states, "custkey", Settings())
+    steps = plan_history.steps("custkey")
+    numbered = plan_history.number_subscriptions(arranged(states, tmp_path, part_rows, 400, steps), "custkey")
     w = Window.partitionBy("custkey").orderBy("state_at", "state_id")
     starts = F.col("plan_id").isNotNull() & F.lag("plan_id").over(w).isNull()
-    plain = states.withColumn("s", starts.cast("int")).withColumn("subscription_no", F.sum("s").over(w))
-    assert rows(numbered, "state_id", "subscription_no") == rows(plain, "state_id", "subscription_no")
+    plain_ = states.withColumn("s", starts.cast("int")).withColumn("subscription_no", F.sum("s").over(w))
+    assert rows(numbered, "state_id", "subscription_no") == rows(plain_, "state_id", "subscription_no")
+    same = plan_history.number_subscriptions(states, "custkey")
+    assert rows(numbered, *same.columns) == rows(same)
