@@ -2,6 +2,7 @@
 
 import re
 
+from oracle.models import BODIES
 from oracle.views import AS_OF, VIEWS, days, mean, month, months, out, pct, ratio, sql, ym, yq
 
 Q: dict[str, str] = {}
@@ -68,6 +69,23 @@ VIEWS["sl_chan"] = slices("mvf", "acquisition_channel")
 VIEWS["kmc"] = """SELECT a.acquisition_channel, a.m, a.ending AS mrr, a.active_mrr AS act_mrr, a.new_mrr AS nw, a.up_mrr AS up, a.down_mrr AS dn, a.lost_mrr AS lo, a.active AS act,
   a.n_new, a.n_churn, p.ending AS b, p.active AS b_act FROM sl_chan a LEFT JOIN sl_chan p ON a.m = p.m + INTERVAL 1 MONTH AND a.acquisition_channel = p.acquisition_channel"""
 q("v15_revenue_by_channel", f"SELECT {out('acquisition_channel:s; month_date=m:d; ' + measures())} FROM kmc")
+_slicers = {"plan_tier": "current_plan_tier", "channel": "acquisition_channel", "industry": "industry", "company_size": "company_size", "all": "whole"}
+for _name, _col in _slicers.items():
+    VIEWS[f"sl_{_name}"] = slices("(SELECT *, 'all' AS whole FROM mvf)", _col)
+VIEWS["kms"] = " UNION ALL ".join(f"""SELECT '{n}' AS slicer, a.{c} AS value, a.m, a.ending AS mrr, a.active_mrr AS act_mrr, a.new_mrr AS nw, a.up_mrr AS up, a.down_mrr AS dn, a.lost_mrr AS lo,
+  a.active AS act, a.n_new, a.n_churn, p.ending AS b, p.active AS b_act FROM sl_{n} a LEFT JOIN sl_{n} p ON a.m = p.m + INTERVAL 1 MONTH AND a.{c} IS NOT DISTINCT FROM p.{c}""" for n, c in _slicers.items())
+q("v15_revenue_by_slicer", f"SELECT {out('slicer:s; value:s; month_date=m:d; ' + measures())} FROM kms")
+VIEWS["acct"] = """SELECT d.current_plan_tier, d.acquisition_channel, d.industry, d.company_size, 'all' AS whole, d.customer_id, d.customer_status, d.has_churned, d.current_mrr, d.lifetime_revenue,
+  r.score, r.band, r.at_risk, CAST(c.typical_cac AS DOUBLE) AS cost FROM dc d LEFT JOIN risk r ON r.customer_id = d.customer_id LEFT JOIN chan c ON c.channel_name = d.acquisition_channel"""
+VIEWS["accs"] = " UNION ALL ".join(f"""SELECT '{n}' AS slicer, {c} AS value, count(*) AS n, count(*) FILTER (WHERE customer_status = 'active_paying') AS paying, count(*) FILTER (WHERE has_churned) AS gone,
+  sum(current_mrr) AS mrr, sum(lifetime_revenue) AS rev, sum(cost) AS spend, count(*) FILTER (WHERE band IN ('high', 'critical')) AS risky, sum(at_risk) AS lose, {mean('score')} AS score,
+  {mean('current_mrr')} AS arpu, {mean('NULLIF(current_mrr, 0)')} * CAST(0.8 AS DOUBLE) AS margin FROM acct GROUP BY {c}""" for n, c in _slicers.items())
+_accounts = """slicer:s; value:s; total_customers=n:n; paying_customers=paying:n; churned_customers=gone:n; total_mrr=mrr:m; lifetime_revenue=rev:m;
+acquisition_spend=round(spend, 6):m; customers_at_risk=risky:n; mrr_at_risk=lose:m; arpu=round(arpu, 6):m; cac=round(spend / n, 6):m; realized_ltv=round(CAST(rev AS DOUBLE) / n, 6):m;
+predicted_ltv=round(margin / greatest(CAST(gone AS DOUBLE) / n, 0.01), 6):m; ltv_to_cac=round(CAST(rev AS DOUBLE) / n / (spend / n), 6):m; cac_payback_months=round(spend / n / margin, 6):m;
+acquisition_roi=round((CAST(rev AS DOUBLE) / n - spend / n) / (spend / n), 6):m; revenue_per_spend=round(CAST(rev AS DOUBLE) / spend, 6):m; avg_churn_risk_score=round(score, 6):m;
+pct_mrr_at_risk=round(CAST(lose AS DOUBLE) / NULLIF(CAST(mrr AS DOUBLE), 0), 6):m"""
+q("v15_accounts_by_slicer", f"SELECT {out(_accounts)} FROM accs")
 VIEWS["sl_ts"] = slices("mv", "current_plan_tier, company_size")
 q("v15_revenue_by_tier_and_size", f"SELECT {out('current_plan_tier:s; company_size:s; last_month=lm:d; ' + measures())} FROM ({scope('sl_ts', 'current_plan_tier, company_size', 'true')})")
 
@@ -91,7 +109,7 @@ _g, _n = ratio("mrr - b", "b"), ratio("b + up - dn - lo", "b")
 _efficiency = f"""month_date=m:d; rule_of_40_proxy={r6(f'{_g} * 12 + ({_n} - 1)')}:m; magic_number={r6(ratio('(nw + up - dn - lo) * 12', 'total'))}:m;
 burn_multiple_proxy={r6(ratio('total', '(nw + up - dn - lo) * 12'))}:m"""
 q("k34_k36_efficiency", f"SELECT {out(_efficiency)} FROM kmf, (SELECT sum(spend) AS total FROM ue0)")
-q("k34_k36_by_channel", f"SELECT {out('acquisition_channel:s; ' + _efficiency)} FROM kmc, (SELECT sum(spend) AS total FROM ue0)")
+q("k34_k36_by_channel", f"SELECT {out('acquisition_channel:s; ' + _efficiency)} FROM kmc LEFT JOIN (SELECT channel, spend AS total FROM ue0) ON channel = acquisition_channel")
 _risk = f"""customer_count=count(*):n; avg_churn_risk_score={r6(mean('score'))}:m; customers_at_risk=count(*) FILTER (WHERE band IN ('high', 'critical')):n;
 mrr_at_risk=sum(at_risk):m; pct_mrr_at_risk={r6(ratio('sum(at_risk)', 'any_value(last_mrr)'))}:m"""
 _risk_from = "FROM risk, (SELECT arg_max(ending, m) AS last_mrr FROM fm)"
@@ -198,8 +216,7 @@ q("m01_month_spine", f"SELECT DISTINCT {out('date_value=' + month('x') + ':d')}
 q("m02_divide_or_default", f"SELECT {out('month_key:s; net_new_per_churned=round(CASE WHEN lost_mrr = 0 THEN 0 ELSE CAST(net_new AS DOUBLE) / CAST(lost_mrr AS DOUBLE) END, 6):m')} FROM fk")
 q("m03_cents_to_dollars", f"SELECT {out('payment_id:s; amount_dollars=amount:m')} FROM pay")
 q("m07_decay_weight", f"SELECT {out('touch_id:s; decay_weight=round(pow(0.5, d / CAST(7 AS DOUBLE)), 6):m')} FROM touch")
-q("a09_journey_paths", f"""SELECT customer_id, CAST((seq - 1) // 1000 AS BIGINT) AS chunk_no, count(*) AS touches, string_agg(channel_name, ' → ' ORDER BY seq) AS journey_path
-FROM tp GROUP BY customer_id, (seq - 1) // 1000""")
+q("a09_journey_paths", "SELECT customer_id, count(*) AS touches, string_agg(channel_name, ' → ' ORDER BY seq) AS journey_path FROM tp GROUP BY customer_id")
 q("a10_exact_median", "SELECT CAST(round(median(x)) AS DOUBLE) AS median_days_to_paid FROM (SELECT min(age_days) FILTER (WHERE first_paid) AS x FROM hist2 GROUP BY customer_id)")
 q("f30_feature_adoption", f"""SELECT {out('feature=f:s; active_subscriptions=count(*):n')} FROM (SELECT unnest(string_split(features, ',')) AS f
 FROM ds JOIN plan USING (plan_id) WHERE end_date IS NULL) GROUP BY f""")
@@ -213,16 +230,32 @@ q("s03_month_partitions", f"SELECT {ym('event_date')} AS month_key, count(*) AS
 q("s04_sql_view", f"SELECT {out('month_key:s; ending_mrr=ending:m; active_customers=active:n')} FROM fk WHERE active > 0")
 q("s05_mart_extracts", f"""SELECT {out('''month_date=m:d; month_key:s; active_customers=active:n; new_customers=n_new:n; churned_customers=n_churn:n; ending_mrr=ending:m; new_mrr:m; expansion_mrr=up_mrr:m;
 contraction_mrr=down_mrr:m; churned_mrr=lost_mrr:m; net_new_mrr=net_new:m; nrr_pct=nrr:m; quick_ratio=qr:m; arpc:m''')} FROM fk""")
-q("s05_extract_rows", " UNION ALL ".join(f"SELECT '{t}' AS \"table\", CAST({k} AS VARCHAR) AS key, count(*) AS \"rows\", CAST(sum({v}) AS DOUBLE) AS total FROM {view} GROUP BY ALL" for t, view, k, v in [
-    ("fct_mrr", "fm", "strftime(m, '%Y-%m-%d')", "ending"), ("dim_customers", "dc", "customer_id", "lifetime_revenue"), ("dim_subscriptions", "ds", "subscription_id", "mrr"),
-    ("rpt_unit_economics", "ue", "channel", "acquired"), ("rpt_churn_risk", "risk", "customer_id", "score"), ("rpt_cohort_retention", "ret", "p", "n")]))
+
+
+def fingerprints(table: str, body: str, columns: list[str], alias: dict[str, str]) -> str:
+    text = "CASE WHEN typeof({0}) = 'DOUBLE' THEN CAST(CAST(round(TRY_CAST({0} AS DOUBLE) * 10000) AS BIGINT) AS VARCHAR) ELSE CAST({0} AS VARCHAR) END"
+    lines = [
+        f"""SELECT '{table}' AS "table", '{c}' AS "column", count(*) AS "rows", count({alias.get(c, c)}) AS filled,
+  coalesce(sum(CAST('0x' || substr(md5({text.format(alias.get(c, c))}), 1, 8) AS BIGINT)), 0)::BIGINT AS fingerprint FROM ({body})""" for c in columns
+    ]
+    return " UNION ALL ".join(lines)
+
+
+_of = {"fct_mrr": "d09_fct_mrr", "fct_mrr_filled": "d09_fct_mrr_filled", "fct_subscription_events": "d10_fct_subscription_events", "dim_customers": "d11_dim_customers",
+    "dim_subscriptions": "d12_dim_subscriptions", "rpt_cohort_retention": "d13_cohort_retention", "rpt_unit_economics": "d14_unit_economics", "rpt_churn_risk": "d15_churn_risk"}
+# The columns of the six extracts.
+_extracts = {
+    "fct_mrr": "month_date month_key active_customers new_customers churned_customers ending_mrr new_mrr expansion_mrr contraction_mrr churned_mrr net_new_mrr nrr_pct quick_ratio arpc",
+    "dim_customers": "customer_id company_name industry company_size country acquisition_channel current_plan_tier customer_status current_mrr lifetime_revenue health_status signup_cohort_month",
+    "dim_subscriptions": "subscription_id customer_id plan_name plan_tier status billing_cycle mrr subscription_length_days tenure_bucket is_active is_churned churn_timing",
+    "rpt_unit_economics": "acquisition_channel customers_acquired cac realized_ltv predicted_ltv ltv_to_cac_ratio cac_payback_months acquisition_roi_pct total_acquisition_spend total_lifetime_revenue churn_rate_pct",
+    "rpt_churn_risk": "customer_id company_name risk_band churn_risk_score current_mrr mrr_at_risk",
+    "rpt_cohort_retention": "cohort_month_key period_label months_since_signup cohort_size active_customers retention_rate mrr_retention_from_m0",
+}
+q("s05_extract_rows", " UNION ALL ".join(fingerprints(t, BODIES[_of[t]][0], c.split(), {"nrr_pct": "net_revenue_retention_pct"}) for t, c in _extracts.items()))
+q("s07_export_bundle", " UNION ALL ".join(fingerprints(t, *BODIES[d], {}) for t, d in _of.items()))
 _method = "CASE payment_method WHEN 'ach' THEN 'ACH' WHEN 'wire' THEN ' wire ' ELSE payment_method END"
 q("s06_coerce_columns", f"SELECT {out('payment_id:s; subscription_id:s; customer_id:s; amount:m; currency=lower(currency):s; payment_date:d; payment_method=' + _method + ':s; status:s; created_at:t')} FROM pay")
-q("s07_export_bundle", " UNION ALL ".join(f"SELECT '{t}' AS \"table\", CAST({k} AS VARCHAR) AS key, count(*) AS \"rows\", CAST(sum({v}) AS DOUBLE) AS total FROM {view} GROUP BY ALL" for t, view, k, v in [
-    ("fct_mrr", "fm", "strftime(m, '%Y-%m')", "ending"), ("fct_mrr_filled", "fmf", "strftime(m, '%Y-%m')", "ending"),
-    ("fct_subscription_events", "fse", "event_id", "mrr_change"), ("dim_customers", "dc", "customer_id", "current_mrr"),
-    ("dim_subscriptions", "ds", "subscription_id", "mrr"), ("rpt_cohort_retention", "ret", "strftime(cohort, '%Y-%m')", "n"),
-    ("rpt_unit_economics", "ue", "channel", "revenue"), ("rpt_churn_risk", "risk", "customer_id", "score")]))
 
 # --- checks -----------------------------------------------------------------------------
 # Table name, view, unique column (view name), other required columns, allowed values.

@@ -1,12 +1,17 @@
 """Oracle statements for the dataset operators (d…)."""
 
-from oracle.views import AS_OF, mean, month, months, out, pct, ratio, sql, ym, yq
+from oracle.views import AS_OF, COLUMNS, mean, month, months, out, pct, ratio, sql, ym, yq
 
 Q: dict[str, str] = {}
 
 
+# Body and columns of each statement, for fingerprints of whole tables.
+BODIES: dict[str, tuple[str, list[str]]] = {}
+
+
 def q(name: str, body: str) -> None:
     Q[name] = sql(body)
+    BODIES[name] = body, list(COLUMNS)
 
 
 q("d01_stg_customers", f"""SELECT {out('''customer_id:s; company_name:s; industry:s; company_size:s; country:s; email:s;

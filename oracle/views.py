@@ -50,6 +50,10 @@ def tenure(x: str) -> str:
     )
 
 
+# Names of the columns that ``out`` made last.
+COLUMNS: list[str] = []
+
+
 def out(spec: str) -> str:
     """Output columns: name or name=expression, each with a kind after a colon.
 
@@ -60,9 +64,11 @@ def out(spec: str) -> str:
         "m": "CAST({0} AS DOUBLE)", "n": "CAST({0} AS BIGINT)", "s": "{0}",
     }
     cols = []
+    COLUMNS.clear()
     for item in [i.strip() for i in spec.strip().strip(";").split(";") if i.strip()]:
         body, kind = item.rsplit(":", 1)
         name, _, expr = body.partition("=")
+        COLUMNS.append(name.strip())
         cols.append(f"{forms[kind.strip()].format(expr.strip() or name.strip())} AS {name.strip()}")
     return ", ".join(cols)
 

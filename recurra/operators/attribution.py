@@ -106,20 +106,19 @@ def first_last_channels(touches: DataFrame, channels: DataFrame) -> DataFrame:
     )
 
 
-def journey_paths(touchpoints: DataFrame, chunk: int = 1_000) -> DataFrame:
-    """Channels of a journey in order, joined by arrows.
+def journey_paths(touchpoints: DataFrame, piece: int = 1_000) -> DataFrame:
+    """Channels of a journey in order, joined by arrows: one path per customer.
 
-    A path longer than ``chunk`` touches continues on further rows (``chunk_no`` 1, 2, …),
-    so one cell stays small however long a journey is; joining the rows gives it whole.
+    Concatenated as a tree: pieces of up to ``piece`` neighbouring touches first, wherever they lie, then a customer's pieces in
+    order. So no task lists a long journey's touches; only its path comes together, which is one value by definition.
     """
-    return (
-        touchpoints.withColumn("chunk_no", F.floor((F.col("touch_sequence") - 1) / chunk).cast("bigint"))
-        .groupBy("customer_id", "chunk_no")
+    pieces = (
+        touchpoints.groupBy("customer_id", F.floor((F.col("touch_sequence") - 1) / piece).alias("_piece"))
         .agg(F.sort_array(F.collect_list(F.struct("touch_sequence", "channel_name"))).alias("steps"))
         .select(
-            "customer_id",
-            "chunk_no",
-            F.size("steps").cast("bigint").alias("touches"),
-            F.array_join(F.col("steps.channel_name"), " → ").alias("journey_path"),
+            "customer_id", "_piece", F.size("steps").cast("bigint").alias("touches"),
+            F.array_join(F.col("steps.channel_name"), " → ").alias("path"),
         )
     )
+    whole = F.sort_array(F.collect_list(F.struct("_piece", "path")))
+    return pieces.groupBy("customer_id").agg(F.sum("touches").alias("touches"), F.array_join(whole["path"], " → ").alias("journey_path"))

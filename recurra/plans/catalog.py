@@ -22,15 +22,16 @@ from recurra.functions.numbers import cents_to_dollars, decay, divide_or, rnd
 from recurra.operators import attribution, customers, economics, mrr, plan_history, retention, risk, subscriptions
 from recurra.plans import (
     channel_reports, checks, churn_reports, cohort_reports, datasets, kpi, lifecycle_reports, market_reports,
-    performance_reports, roi_reports,
+    performance_reports, roi_reports, slices,
 )
 from recurra.plans.build import LAYERS, Warehouse
 from recurra.settings import Settings
 from recurra.sources import lookups
 from recurra.sources.io import (
-    coerce_columns, export_marts, plain_types, read_mart_extract, read_raw, register, scratch,
+    coerce_columns, export_marts, fingerprints, plain_types, read_mart_extract, read_raw, register, scratch,
     to_extract, write_mart,
 )
+from recurra.sources.schemas import EXTRACTS
 from recurra.sources.testbed import Testbed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -251,6 +252,18 @@ _report("k52_risk_by_industry", lambda r, f: _kpi_rounded(kpi.risk_kpis(r, f, ["
 _register("v15_revenue_by_channel", lambda w: _kpi_rounded(_by_channel(w)))
 
 
+_register(
+    "v15_revenue_by_slicer",
+    lambda w: _kpi_rounded(slices.revenue_by_slicer(w.table("int_mrr_movements"), w.table("dim_customers"), w.settings)),
+)
+_register(
+    "v15_accounts_by_slicer",
+    lambda w: _kpi_rounded(
+        slices.accounts_by_slicer(w.table("dim_customers"), w.table("rpt_churn_risk"), w.table("marketing_channels"), w.settings)
+    ),
+)
+
+
 @query("v15_revenue_by_tier_and_size")
 def _(w: Warehouse) -> DataFrame:
     by = ["current_plan_tier", "company_size"]
@@ -397,27 +410,12 @@ def _(w: Warehouse) -> DataFrame:
     return read_mart_extract(w.spark, paths[0], "fct_mrr")
 
 
-def _by_key(df: DataFrame, table: str, key: str, value: str) -> DataFrame:
-    """Rows and the sum of one measure per key of a table read back."""
-    return df.groupBy(F.col(key).cast("string").alias("key")).agg(
-        F.count("*").alias("rows"), F.sum(value).cast("double").alias("total")
-    ).select(F.lit(table).alias("table"), "key", "rows", "total")
-
-
 @query("s05_extract_rows")
 def _(w: Warehouse) -> DataFrame:
-    """Keys and a measure of all six extracts after export and typed import."""
-    checked = {
-        "fct_mrr": ("month_date", "ending_mrr"), "dim_customers": ("customer_id", "lifetime_revenue"),
-        "dim_subscriptions": ("subscription_id", "mrr"), "rpt_unit_economics": ("acquisition_channel", "customers_acquired"),
-        "rpt_churn_risk": ("customer_id", "churn_risk_score"), "rpt_cohort_retention": ("months_since_signup", "active_customers"),
-    }
-    extracts = {name: to_extract(w.table(name), name) for name in checked}
-    paths = dict(zip(checked, export_marts(extracts, fresh(w, "all-extracts")), strict=True))
-    return reduce(
-        DataFrame.unionByName,
-        [_by_key(read_mart_extract(w.spark, paths[n], n), n, key, value) for n, (key, value) in checked.items()],
-    )
+    """Every column of all six extracts after export and typed import, as fingerprints."""
+    extracts = {name: to_extract(w.table(name), name) for name in EXTRACTS}
+    paths = dict(zip(extracts, export_marts(extracts, fresh(w, "all-extracts")), strict=True))
+    return reduce(DataFrame.unionByName, [fingerprints(plain_types(read_mart_extract(w.spark, paths[n], n)), n) for n in extracts])
 
 
 @query("s06_coerce_columns")
@@ -428,18 +426,12 @@ def _(w: Warehouse) -> DataFrame:
 
 @query("s07_export_bundle")
 def _(w: Warehouse) -> DataFrame:
-    """Keys and a measure per exported table, read from the written files."""
-    checked = {
-        "fct_mrr": ("month_key", "ending_mrr"), "fct_mrr_filled": ("month_key", "ending_mrr"),
-        "fct_subscription_events": ("event_id", "mrr_change"), "dim_customers": ("customer_id", "current_mrr"),
-        "dim_subscriptions": ("subscription_id", "mrr"), "rpt_cohort_retention": ("cohort_month_key", "active_customers"),
-        "rpt_unit_economics": ("acquisition_channel", "total_lifetime_revenue"), "rpt_churn_risk": ("customer_id", "churn_risk_score"),
-    }
+    """Every column of every exported table, read from the written files, as fingerprints."""
     flat = {n: plain_types(w.table(n)) for n in LAYERS["marts"]}
     paths = dict(zip(flat, export_marts(flat, fresh(w, "bundle")), strict=True))
     return reduce(
         DataFrame.unionByName,
-        [_by_key(w.spark.read.csv(paths[n], header=True, schema=flat[n].schema), n, key, value) for n, (key, value) in checked.items()],
+        [fingerprints(w.spark.read.csv(paths[n], header=True, schema=flat[n].schema), n) for n in flat],
     )
 
 

@@ -149,10 +149,13 @@ def economics_kpis(economics: DataFrame, include_total: bool = False, by: list[s
 
 
 def efficiency_kpis(revenue: DataFrame, economics: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """K34-K36 per month and slice: rule of 40, magic number and burn multiple against the whole spend."""
-    spend = economics_kpis(economics).select("total_acquisition_spend").scalar()
-    net_new_arr = F.col("net_new_mrr") * 12
-    return revenue.select(
+    """K34-K36 per month and slice: rule of 40, magic number and burn multiple against the slice's own spend."""
+    spend, net_new_arr = F.col("total_acquisition_spend"), F.col("net_new_mrr") * 12
+    if by:
+        rows = revenue.join(economics_kpis(economics, by=by).select(*by, "total_acquisition_spend"), by, "left")
+    else:
+        rows, spend = revenue, economics_kpis(economics).select("total_acquisition_spend").scalar()
+    return rows.select(
         *(by or []), "month_date", "rule_of_40_proxy",
         ratio(net_new_arr, spend).alias("magic_number"),
         ratio(spend, net_new_arr).alias("burn_multiple_proxy"),

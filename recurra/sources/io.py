@@ -135,6 +135,27 @@ def export_marts(tables: dict[str, DataFrame], folder: str) -> list[str]:
     return [f"{folder}/{name}" for name in tables]
 
 
+def fingerprints(df: DataFrame, table: str) -> DataFrame:
+    """Per column of a table in plain types: rows, filled cells, and a sum of hashes that does not depend on their order.
+
+    Numbers count to four decimals. One pass and one row per task; two tables agree in a column's line if it holds the same
+    values equally often.
+    """
+    def cell(f: T.StructField):
+        c = F.col(f"`{f.name}`")
+        text = F.round(c * 10000).cast("bigint").cast("string") if isinstance(f.dataType, T.DoubleType) else c.cast("string")
+        return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+
+    fields = [f for f in df.schema.fields if f.name not in ("_generated_at", "month_key_part")]
+    sums = [F.coalesce(F.sum(cell(f)), F.lit(0)).alias(f"h{i}") for i, f in enumerate(fields)]
+    counts = [F.count(f"`{f.name}`").alias(f"n{i}") for i, f in enumerate(fields)]
+    lines = [
+        F.struct(F.lit(f.name).alias("column"), F.col("rows"), F.col(f"n{i}").alias("filled"), F.col(f"h{i}").alias("fingerprint"))
+        for i, f in enumerate(fields)
+    ]
+    return df.agg(F.count(F.lit(1)).alias("rows"), *sums, *counts).select(F.lit(table).alias("table"), F.inline(F.array(*lines)))
+
+
 def plain_types(df: DataFrame) -> DataFrame:
     """Exchange form: decimals as double, counts as bigint, dates and timestamps as ISO text."""
     def form(f: T.StructField) -> str:

@@ -157,9 +157,11 @@ def test_undated_touch_gets_an_equal_share(spark):
     assert scaled.agg(F.sum("time_decay_weight")).first()[0] == pytest.approx(1.0)
 
 
-def test_long_paths_continue_on_further_rows(spark):
-    got = rows(attribution.journey_paths(credit(spark, touches(spark, 5)), chunk=2), "chunk_no", "touches", "journey_path")
-    assert got == [(0, 2, "google_ads → google_ads"), (1, 2, "google_ads → google_ads"), (2, 1, "google_ads")]
+@pytest.mark.parametrize("piece", [1, 2, 100])
+def test_paths_come_together_from_pieces(spark, piece):
+    kinds = touches(spark, 12)
+    got = rows(attribution.journey_paths(credit(spark, kinds), piece=piece), "touches", "journey_path")
+    assert got == [(12, " → ".join(["google_ads"] * 12))]
 
 
 def dim(spark, people, subs=(), pays=(), evs=()):
