@@ -12,12 +12,14 @@ Classes in buckets that still hold several components are then compared exactly
 positional filter of set-similarity joins): two bags at 0.8 share a shingle so early in the order of rarity that the
 rest of both still reaches the overlap. Shingles of passages that many texts share come last in that order. Pairs found
 so, across components only and the largest component of a shingle against the rest, are checked. So linked groups are
-never expanded into pairs, nor are texts that only share a passage. The exact check is the multiset overlap of the
+never expanded into pairs, nor are texts that only share a passage. Values meet within bands of sizes that allow the
+similarity. The exact check is the multiset overlap of the
 shingles of whole texts.
 
 Defined cases: null text is empty text; texts without a word are alike only if equal; an empty table gives no row;
 repeated rows are repeated in the result; of rows
-with one id but other texts, one is compared; rows with a null id get null class and group and count for none.
+with one id but other texts, one is compared; rows with a null id get null class and group and count for none; very long
+texts are compared whole, one at a time; ties go to the least id; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,10 +29,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import stored
+from llm.common import join_groups, stored
 from llm.tokens import slices
 from llm.words import mixed, word_hashes
 
@@ -175,12 +177,19 @@ def rare_shingles(texts: DataFrame, least: float) -> DataFrame:
     )
     alone = F.col("size") - F.size("common")
     last = F.col("size") - F.ceil(least * F.col("size") - 1e-9) + 1
-    kept = F.slice("common", F.lit(1), F.greatest(last - alone, F.lit(0)).cast("int"))
-    early = common.select("doc", "root", "size", alone.alias("alone"), F.transform(kept, lambda c: c["value"]).alias("kept")).select(
-        "doc", "root", "size", "alone", "kept", F.posexplode("kept").alias("at", "value")
-    )
-    before = F.slice("kept", F.greatest(F.col("at") - NEARBY, F.lit(0)) + 1, F.least(F.col("at"), F.lit(NEARBY)))
-    return early.select("value", "doc", "root", "size", (F.col("alone") + F.col("at") + 1).alias("place"), before.alias("before"))
+    kept = F.transform(F.slice("common", F.lit(1), F.greatest(last - alone, F.lit(0)).cast("int")), lambda c: c["value"])
+    early = common.select("doc", "root", "size", alone.alias("alone"), kept.alias("kept"))
+    # Each value with its place and the few before it, before rows are made: no row carries the whole list.
+    near = F.transform("kept", lambda v, at: F.struct(
+        v.alias("value"), (F.col("alone") + at + 1).alias("place"),
+        F.slice("kept", F.greatest(at - NEARBY, F.lit(0)) + 1, F.least(at, F.lit(NEARBY))).alias("before"),
+    ))
+    return early.select("doc", "root", "size", F.inline(near)).select("value", "doc", "root", "size", "place", "before")
+
+
+def size_band(size: Column, least: float) -> Column:
+    """Texts whose sizes allow the similarity lie in the same band or in neighbouring ones."""
+    return F.floor(F.log(F.greatest(size, F.lit(1)).cast("double")) / F.log(F.lit(1 / least)) + 1e-9).cast("int")
 
 
 def cross_pairs(early: DataFrame, least: float) -> DataFrame:
@@ -188,12 +197,13 @@ def cross_pairs(early: DataFrame, least: float) -> DataFrame:
     parts = early.groupBy("value", "root").agg(F.count("*").alias("n")).groupBy("value").agg(
         F.count("*").alias("parts"), F.max_by("root", F.struct("n", "root")).alias("major")
     ).where("parts > 1")
-    mixed_ = stored(early.join(parts.select("value", "major"), "value"), "op5-mixed")
-    rest = mixed_.where("root <> major").select("value", *[F.col(c).alias(f"x_{c}") for c in ("doc", "root", "size", "place", "before")])
+    mixed_ = stored(early.join(parts.select("value", "major"), "value").withColumn("band", size_band(F.col("size"), least)), "op5-mixed")
+    bands = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band")
+    rest = mixed_.where("root <> major").select("value", bands, *[F.col(c).alias(f"x_{c}") for c in ("doc", "root", "size", "place", "before")])
     # Against the largest component, and among the rest once. What lies behind both places must still hold the overlap.
     overlap = F.ceil(least / (1 + least) * (F.col("size") + F.col("x_size")) - 1e-9)
     behind = F.least(F.col("size") - F.col("place"), F.col("x_size") - F.col("x_place")) + 1
-    pairs = rest.join(mixed_, "value").where(
+    pairs = rest.join(mixed_, ["value", "band"]).where(
         F.expr("x_root <> root AND (root = major OR x_doc < doc)") & (behind >= overlap)
         # Not where both just had another value in common: the first common value always stays.
         & ~F.arrays_overlap("before", "x_before")
@@ -228,9 +238,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, class_id, group_id) per row: least id with the same words, least id linked by chains of near-duplicates."""
+    """(doc_id, class_id, group_id, linked_to) per row: least id with the same words, least id linked by chains of
+    near-duplicates, and the least class that this one's text was compared with and found alike (null: none)."""
     prints = stored(fingerprints(docs, id_col, text_col), "op5-prints")
-    classes = prints.groupBy("same").agg(F.min("doc_id").alias("class_id"), F.min("bands").alias("bands"))
+    classes = stored(prints.groupBy("same").agg(F.min("doc_id").alias("class_id"), F.min("bands").alias("bands"), F.count("*").alias("n")), "op5-classes")
     bands = classes.select(F.col("class_id").alias("doc"), F.explode("bands").alias("bucket"))
     leads = bands.groupBy("bucket").agg(F.min("doc").alias("lead"), F.count("*").alias("size")).where("size > 1").select("bucket", "lead")
     members = stored(bands.join(leads, "bucket").select("bucket", "doc", "lead"), "op5-members")
@@ -243,15 +254,20 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
     labelled = members.join(roots, "doc", "left").select("bucket", "doc", F.coalesce("root", "doc").alias("root"))
     mixed_ = labelled.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     unsure = stored(labelled.join(mixed_, "bucket").groupBy("doc").agg(F.min("root").alias("root")), "op5-unsure")
-    found = verified(stored(cross_pairs(rare_shingles(texts.join(unsure, "doc"), least), least), "op5-pairs"), texts, least)
-    roots = components(links.union(found))
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"))
-    known = prints.select("doc_id", "same").join(classes.select("same", "class_id"), "same").join(
-        roots.select(F.col("doc").alias("class_id"), "root"), "class_id", "left"
-    ).select("doc_id", "class_id", F.coalesce("root", "class_id").alias("group_id"))
-    return known.unionByName(
-        own.where("doc_id IS NULL").select("doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(None).cast("long").alias("group_id"))
-    )
+    early = stored(rare_shingles(texts.join(unsure, "doc"), least), "op5-early")
+    found = verified(stored(cross_pairs(early, least), "op5-pairs"), texts, least)
+    links = stored(links.union(found), "op5-all-links")
+    roots = components(links)
+    ends = links.select(F.col("a").alias("doc"), F.col("b").alias("other")).union(links.select("b", "a"))
+    linked = ends.where("doc <> other").groupBy("doc").agg(F.min("other").alias("linked_to"))
+    facts = roots.join(linked, "doc", "left").select(F.col("doc").alias("class_id"), "root", "linked_to")
+    known = join_groups(prints.select("doc_id", "same"), classes.select("same", "class_id", "n"), "same", "n")
+    sizes = classes.groupBy("class_id").agg(F.sum("n").alias("n"))
+    known = join_groups(known, sizes.join(facts, "class_id"), "class_id", "n")
+    known = known.select("doc_id", "class_id", F.coalesce("root", "class_id").alias("group_id"), "linked_to")
+    none = F.lit(None).cast("long")
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id IS NULL")
+    return known.unionByName(own.select("doc_id", none.alias("class_id"), none.alias("group_id"), none.alias("linked_to")))
 
 
 def keep_one(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
