@@ -6,9 +6,11 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from llm_helpers import make
 
 from llm import decontaminate, line_dedup, near_dedup, queries
+from llm import words as words_module
 from llm.words import word_hashes
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -110,8 +112,15 @@ def test_near_duplicates_equal_all_pairs(spark, given, odd_docs):
         texts += [texts[-1]] * (g % 3)
     for docs in (make(spark, texts), given, odd_docs.where("doc_id IS NOT NULL").drop("n_chars")):
         rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-        found = sorted(tuple(r) for r in near_dedup.near_duplicates(docs).collect())
-        assert found == brute_groups(rows)
+        found = near_dedup.near_duplicates(docs).collect()
+        assert sorted(tuple(r)[:3] for r in found) == brute_groups(rows)
+        # Every link is one, and no class of a group of several is without.
+        bags = {d: near_dedup.bag(word_hashes([t or ""])[0]) for d, t in rows}
+        several = {g for g in {r["group_id"] for r in found} if len({r["class_id"] for r in found if r["group_id"] == g}) > 1}
+        for r in found:
+            assert (r["linked_to"] is not None) == (r["group_id"] in several)
+            if r["linked_to"] is not None:
+                assert near_dedup.similarity(bags[r["class_id"]], bags[r["linked_to"]]) >= 0.8
 
 
 def test_near_duplicates_odd_rows(odd_docs, no_docs):
@@ -214,18 +223,73 @@ def test_passages_equal_brute_force_on_given(spark, given):
 def test_passages_odd_rows(spark, odd_docs, no_docs, monkeypatch):
     bench = spark.createDataFrame([(1, "the same text twice over here"), (1, "the same text twice over here"), (2, "word5 and5 word6 and6 word7 and7")], "item_id long, text string")
     pairs = [(5, 1), (6, 1), (4, 2)]
-    for block in (decontaminate.BLOCK, 1):
-        monkeypatch.setattr(decontaminate, "BLOCK", block)
+    for block in (decontaminate.BLOCK_BYTES, 20):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
         assert sorted((r["doc_id"], r["item_id"]) for r in decontaminate.find_passages(odd_docs, bench).collect()) == sorted(pairs)
     kept = decontaminate.clean(odd_docs, bench)
     assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 4
+    # A leaked text goes under a null id too, and a clean row stays though it shares an id with a leaked one.
+    leaked = odd_docs.where("doc_id = 5").limit(1)
+    nameless = leaked.withColumn("doc_id", F.lit(None).cast("long"))
+    shared = leaked.withColumn("text", F.lit("nothing of the kind"))
+    assert [r["text"] for r in decontaminate.clean(leaked.union(nameless).union(shared), bench).collect()] == ["nothing of the kind"]
     assert decontaminate.find_passages(no_docs, bench).count() == 0
     assert decontaminate.find_passages(odd_docs, bench.where("false")).count() == 0
 
 
 def test_repetitions_follow_the_recall():
-    few, many = decontaminate.repetitions_for(0.8, 0.9), decontaminate.repetitions_for(0.97, 0.8)
+    few, many = decontaminate.repetitions_for(5, 0.8, 0.9), decontaminate.repetitions_for(5, 0.97, 0.8)
     assert 1 <= few < many <= 64
+    assert decontaminate.repetitions_for(1, 0.95, 0.8) == 0  # no edit is allowed
+
+
+@pytest.mark.parametrize("length", [3, 4, 5, 6, 7, 8, 9])
+def test_the_walk_alone_reaches_the_recall(length):
+    """Without the segments, on other passages than those that the number of repetitions was measured on."""
+    rng, found, trials = np.random.default_rng(77 + length), 0, 80
+    repetitions = decontaminate.repetitions_for(length, 0.99, 0.8)
+    assert repetitions > 0
+    for _ in range(trials):
+        n = int(rng.integers(1 << length, 2 << length))
+        item = rng.integers(1, 1 << 62, n).astype(np.uint64)
+        around = rng.integers(1, 1 << 62, 60).astype(np.uint64)
+        text = np.concatenate([around[:30], decontaminate.edited(item, n // 5, rng), around[30:]])
+        index = decontaminate.Index([0], [item], np.array([repetitions]), 0.8)
+        assert not index.segments
+        found += bool(decontaminate.search(index, text, np.array([len(text)]), 0.8))
+    assert found >= 0.95 * trials
+
+
+def test_tables_follow_the_walk():
+    """Sampled words of an item, against the walk written out."""
+    rng = np.random.default_rng(3)
+    items = [rng.integers(1, 1 << 62, n).astype(np.uint64) for n in (5, 9, 30, 200)]
+    index = decontaminate.Index(list(range(4)), items, np.full(4, 12), 0.8)
+    for r, (back, bits, _, anchor, groups) in enumerate(index.tables):
+        _, near, far, _ = decontaminate.draw(r)
+        for b, keys, last, c, item in groups:
+            for key, end, step, k in zip(keys, last, c, item):
+                words = items[k][: anchor[k] + 1][::-1] if back else items[k][anchor[k] :]
+                path = decontaminate.walk(words, bits)
+                spelled = np.searchsorted(index.vocabulary, words)
+                assert (key, end) == (spelled[0] * len(index.vocabulary) + spelled[path[b]], spelled[path[step]])
+                assert (b, step) == (near, far) or path[step] == len(words) - 1
+
+
+def test_short_items_match_exactly(spark):
+    bench = spark.createDataFrame([(1, "rare four word item"), (2, "Single")], "item_id long, text string")
+    texts = ["has a rare four word item.", "a rare four words item", "single", "no such thing"]
+    found = decontaminate.find_passages(make(spark, texts), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(0, 1), (2, 2)}
+
+
+def test_words_of_long_texts_in_pieces(monkeypatch):
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("aé b.\n", k=rng.randrange(400))) for _ in range(50)] + ["x" * 900, ""]
+    hashes, counts = word_hashes(texts)
+    monkeypatch.setattr(words_module, "PIECE", 64)
+    again, same = word_hashes(texts)
+    assert (hashes == again).all() and (counts == same).all()
 
 
 @pytest.mark.parametrize("name", ["op5_near_dedup", "op7_decontamination"])
