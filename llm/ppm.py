@@ -3,8 +3,8 @@
 A text is its token stream: ASCII-lower-cased words, each followed by a space, then an end symbol (also the padding
 before the first byte). The byte-context trie is the table of all (order + 1)-grams of the training streams: shorter
 contexts are sums over it. The code length of a symbol starts at the longest context and, while the symbol was never
-seen there, pays an escape (method C: distinct symbols against occurrences) and goes one byte shorter; symbols of the
-longer context are excluded from the counts below. Under the empty context all symbols not yet excluded are equal.
+seen there, pays an escape (method D: each distinct symbol leaves half an occurrence to the unseen) and goes one byte
+shorter; symbols of the longer context are excluded from the counts below. Under the empty context all symbols not yet excluded are equal.
 
 Since the model is fixed while scoring, the code length depends on the gram alone. So documents are dealt to chunks of
 bounded size by id; a chunk reports each distinct gram and token once with its training count; counts are summed over
@@ -188,10 +188,10 @@ def code_lengths(codes: np.ndarray, counts: np.ndarray, order: int, low: dict[in
         here = gram >> BITS
         seen, symbols = _find(grams, n, gram), _find(contexts, distinct, here)
         fresh = symbols - excluded
-        room = _find(contexts, total, here) - excluded_mass + fresh
+        room = _find(contexts, total, here) - excluded_mass
         coded, escaped = coding & (seen > 0), coding & (seen == 0) & (room > 0)
-        length[coded] += np.log10(room[coded] / seen[coded])
-        length[escaped] += np.log10(room[escaped] / fresh[escaped])
+        length[coded] += np.log10(room[coded] / (seen[coded] - 0.5))
+        length[escaped] += np.log10(room[escaped] / (0.5 * fresh[escaped]))
         coding &= ~coded
         if j:
             below = _find(*tables[j - 1], grams & ((1 << BITS * j) - 1))
@@ -241,7 +241,7 @@ def score(
         w = model.filter(pc.invert(is_gram))
         count = _Counts(zip(w.column("token").to_pylist(), w.column("value").to_pylist(), strict=True))
         out: dict[str, list] = {x: [] for x in ("doc_id", "n_tokens", "n_known", "base_score", "score")}
-        floor = -np.log10(n_train + 1) - np.log10(v + 1)
+        floor = -np.log10(n_train + v + 1)
         end = np.log10(ends + 1)
         for rows, words in _batches(texts):
             found, sizes = grams_of([_stream(x) for x in words], order)
