@@ -1,22 +1,26 @@
 """Approximate nearest neighbours by inner product with balanced posting lists.
 
-Centroids are fitted on a bounded sample (about ``sample`` vectors, drawn by a hash of the vector) by halving along the
-direction of most spread at the median, so the lists are balanced. Every vector goes to its nearest centroid's list and,
-near a boundary, to those of other centroids whose distance is within the ratio ``overlap`` (at most ``copies`` lists).
-Centroids are found by best-first search in an in-memory graph of their neighbours. A query visits the lists whose
+Cells are fitted on a bounded sample (about ``sample`` vectors, drawn by a hash of the vector) by halving along the
+direction of most spread at the median, so they are balanced. Every vector goes to its nearest centroid's cell and,
+near a boundary, to those of other centroids whose distance is within the ratio ``overlap`` (at most ``copies`` of them).
+Centroids are found by best-first search in an in-memory graph of their neighbours. A query visits the cells whose
 centroid is within a ratio of its nearest centroid's distance; that ratio is set on the sample so that the measured
 recall reaches ``recall``. Inner product becomes distance by the usual extra coordinate, sqrt(longest norm^2 - norm^2).
 
-Neighbouring lists form ``SHARDS`` shards; a shard is dealt into blocks of bounded size by a hash of the vector id, and
+The sample bounds the number of cells; a cell of more than ``list_size`` rows is cut into lists the same way, from a sample
+of its own, in the task that holds it, so the lists follow the input. Its rows are placed in them, again with copies near boundaries, and
+its queries visit those within the same ratio. What a query compares is then bounded by the lists it visits.
+
+Nothing is keyed by more than a list: a list is dealt into blocks of bounded size by a hash of the vector id, and
 so are its queries, so a list with a third of all rows is many tasks' work. Each block answers each of its queries with
-at most ``k`` rows from the lists that the query visits, merged per query after combining. Scores are sums of products
+at most ``k`` rows, merged per query after combining. Scores are sums of products
 in double precision in the order of the components, the same for equal vectors wherever they lie; a matrix product only
 sorts out vectors that cannot be among the ``k``.
 
 Defined cases: vectors that are null, all zero, or hold a null or non-finite component take no part, as query or
-candidate, nor do those of another length than most; fewer candidates than ``k``: all of them; an empty table gives no
+candidate, nor do those of another length than most, however long; fewer candidates than ``k``: all of them; an empty table gives no
 row; rows with a null id take no part, an id with several rows is
-as near as its nearest and comes once; ties go to the smaller id.
+as near as its nearest and comes once; ties go to the smaller id; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,9 +34,10 @@ from pyspark.sql import functions as F
 
 from llm.common import stored
 
-SHARDS = 16
 BLOCK = 32_768
 QUERY_BLOCK = 512
+PER_LIST = 32  # sampled rows for each list within a cell
+LISTED = "cell int, vec_id long, v array<double>"
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -216,74 +221,132 @@ def top_neighbours(
     model = fit(rows, k, sample, lists, copies, overlap, recall)
     if model is None:
         return vectors.sparkSession.createDataFrame([], schema)
-    rows, lists_ = rows.where(F.size("v") == model["d"]), len(model["centres"])
+    rows = rows.where(F.size("v") == model["d"])
+    posted = stored(rows.mapInArrow(_assigner(model), LISTED), "op9-cells")
+    asked = stored(rows.where(is_query).mapInArrow(_visitor(model), LISTED), "op9-visits")
+    sizes = posted.groupBy("cell").agg(F.count("*").alias("n"))
+    # Cells are as many as the sample allows; lists within them follow their size.
+    subs = stored(_subcentroids(posted, sizes, model, list_size), "op9-lists")
+    posted = stored(_within(posted, sizes, subs, model, False), "op9-posted")
+    asked = stored(_within(asked, asked.groupBy("cell").agg(F.count("*").alias("n")), subs, model, True), "op9-asked")
+    # A list is cut into blocks, and its queries into turns, of bounded size by a hash of the id; both know only their own list.
+    key = ["cell", "list"]
+    plan = posted.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).join(
+        asked.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("turns")), key
+    )
+    plan = stored(plan, "op9-plan")
+    spread = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int").alias(n)
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias(n)
+    dealt = posted.join(plan, key).select(*key, spread("blocks"), all_of("turns"), "vec_id", "v")
+    asked = asked.join(plan, key).select(*key, all_of("blocks"), spread("turns"), "vec_id", "v")
+
+    def answer(candidates: pa.Table, queries: pa.Table) -> pa.Table:
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        if candidates.num_rows and queries.num_rows:
+            ids, x = candidates.column("vec_id").to_numpy(), vectors_of(candidates, model["d"])
+            asks, q = queries.column("vec_id").to_numpy(), vectors_of(queries, model["d"])
+            for part in range(0, len(asks), QUERY_BLOCK):
+                some = slice(part, part + QUERY_BLOCK)
+                out.append(best_of(asks[some], q[some], ids, x, k))
+        query, found, value = (np.concatenate(c) for c in zip(*out, strict=True))
+        return pa.table({"query_id": query, "vec_id": found, "score": value})
+
+    keys = [*key, "blocks", "turns"]
+    hits = dealt.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(answer, "query_id long, vec_id long, score double")
+    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(ranked))
+    return best.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def vectors_of(batch: pa.RecordBatch | pa.Table, width: int) -> np.ndarray:
+    v = batch.column("v")
+    return (v.combine_chunks() if isinstance(v, pa.ChunkedArray) else v).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
 
-    def vectors_of(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
-        v = batch.column("v")
-        return (v.combine_chunks() if isinstance(v, pa.ChunkedArray) else v).flatten().to_numpy(zero_copy_only=False).reshape(-1, model["d"])
+def _assigner(model: dict):
+    """Cells of each candidate."""
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = Graph(model["centres"])
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                found, _ = homes(graph, augmented(vectors_of(part), model["longest"]), model)
+                found, _ = homes(graph, augmented(vectors_of(part, model["d"]), model["longest"]), model)
                 row = np.repeat(np.arange(part.num_rows), [len(f) for f in found])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(found).astype(np.int32)), *(part.column(c).take(pa.array(row)) for c in ("vec_id", "v"))],
-                    ["list", "vec_id", "v"],
+                    ["cell", "vec_id", "v"],
                 )
 
-    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return run
+
+
+def _visitor(model: dict):
+    """Cells that each query visits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = Graph(model["centres"])
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                x = vectors_of(part)
+                x = vectors_of(part, model["d"])
                 ids, dist = graph.search(np.column_stack([x, np.zeros(len(x))]), model["width"])
                 row, col = np.nonzero(dist <= model["ratio"] * np.maximum(dist[:, :1], 1e-12))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[row, col].astype(np.int32)), *(part.column(c).take(pa.array(row)) for c in ("vec_id", "v"))],
-                    ["list", "vec_id", "v"],
+                    ["cell", "vec_id", "v"],
                 )
 
-    schema_listed = "list int, vec_id long, v array<double>"
-    posted = stored(rows.mapInArrow(assign, schema_listed), "op9-lists")
-    asked = stored(rows.where(is_query).mapInArrow(visit, schema_listed), "op9-visits")
-    # A shard and its queries become blocks of about BLOCK rows each; SHARDS rows at most are broadcast.
-    shard = F.floor(F.col("list") * min(SHARDS, lists_) / lists_).cast("int").alias("shard")
-    posted, asked = posted.select(shard, "*"), asked.select(shard, "*")
-    sizes = posted.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    visits = asked.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("turns"))
-    plan = F.broadcast(stored(sizes.join(visits, "shard"), "op9-plan"))
-    spread = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int").alias(n)
-    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias(n)
-    dealt = posted.join(plan, "shard").select("shard", spread("blocks"), all_of("turns"), "list", "vec_id", "v")
-    asked = asked.join(plan, "shard").select("shard", all_of("blocks"), spread("turns"), "list", "vec_id", "v")
-
-    def answer(candidates: pa.Table, queries: pa.Table) -> pa.Table:
-        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-        if candidates.num_rows and queries.num_rows:
-            at, ids, x = candidates.column("list").to_numpy(), candidates.column("vec_id").to_numpy(), vectors_of(candidates)
-            visit_at, asks, q = queries.column("list").to_numpy(), queries.column("vec_id").to_numpy(), vectors_of(queries)
-            for c in np.unique(visit_at):
-                mine, ours = at == c, np.flatnonzero(visit_at == c)
-                if mine.any():
-                    for part in range(0, len(ours), QUERY_BLOCK):
-                        some = ours[part : part + QUERY_BLOCK]
-                        out.append(best_of(asks[some], q[some], ids[mine], x[mine], k))
-        query, found, value = (np.concatenate(c) for c in zip(*out, strict=True))
-        # A vector in several lists comes once; then the k best of each query.
-        order = np.lexsort((found, -value, query))
-        query, found, value = query[order], found[order], value[order]
-        _, first = np.unique(np.stack([query, found]), axis=1, return_index=True)
-        keep = np.sort(first)
-        query, found, value = query[keep], found[keep], value[keep]
-        top = np.arange(len(query)) - np.searchsorted(query, query) < k
-        return pa.table({"query_id": query[top], "vec_id": found[top], "score": value[top]})
-
-    keys = ["shard", "blocks", "turns"]
-    hits = dealt.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(answer, "query_id long, vec_id long, score double")
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    best = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(ranked))
-    return best.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return run
+
+
+def _subcentroids(posted: DataFrame, sizes: DataFrame, model: dict, list_size: int) -> DataFrame:
+    """(cell, subs): centroids of a cell's lists, as one row of bytes; from a sample of the cell, ``PER_LIST`` rows a list."""
+    parts = sizes.select("cell", F.greatest(F.floor(F.col("n") / (2 * list_size)), F.lit(1)).alias("lists"), "n")
+    draw = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
+    share = F.col("lists") * PER_LIST / F.col("n")
+    # Cells of one list need no rows for it.
+    chosen = posted.join(parts.where("lists > 1"), "cell").where(draw < share).select("cell", "lists", "v")
+
+    def split(group: pa.Table) -> pa.Table:
+        x = augmented(vectors_of(group, model["d"]), model["longest"])
+        lists = group.column("lists")[0].as_py()
+        centres = halved(x, max(1, -(-len(x) // lists)))
+        return pa.table({"cell": group.column("cell").slice(0, 1), "subs": pa.array([centres.tobytes()], pa.binary())})
+
+    return chosen.groupBy("cell").applyInArrow(split, "cell int, subs binary")
+
+
+def _within(listed: DataFrame, sizes: DataFrame, subs: DataFrame, model: dict, asking: bool) -> DataFrame:
+    """Lists (``list``) within the cells of each row: of a candidate the nearest and, near boundaries, further ones, of a query
+    all within the visiting ratio. A cell without lists of its own is one list. A cell's rows are cut into blocks of
+    bounded size, each of which gets the cell's centroids once."""
+    blocks = sizes.select("cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    dealt = listed.join(blocks, "cell").select("cell", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), "vec_id", "v")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    known = blocks.join(subs, "cell", "left").select(F.col("cell").alias("cell"), every, "subs")
+
+    def place(rows: pa.Table, centroids: pa.Table) -> pa.Table:
+        raw = centroids.column("subs")[0].as_py() if centroids.num_rows else None
+        if raw is None:
+            row, found = np.arange(rows.num_rows), np.zeros(rows.num_rows, np.int64)
+        else:
+            centres = np.frombuffer(raw).reshape(-1, model["d"] + 1)
+            picked = [np.zeros((2, 0), np.int64)]
+            for at in range(0, rows.num_rows, 1024):
+                x = vectors_of(rows.slice(at, 1024), model["d"])
+                x = np.column_stack([x, np.zeros(len(x))]) if asking else augmented(x, model["longest"])
+                away = np.sqrt(np.maximum((x**2).sum(axis=1)[:, None] - 2 * x @ centres.T + (centres**2).sum(axis=1)[None, :], 0))
+                limit = model["ratio"] if asking else model["overlap"]
+                near = away <= limit * np.maximum(away.min(axis=1, keepdims=True), 1e-12)
+                if not asking:
+                    order = np.argsort(np.argsort(away, axis=1, kind="stable"), axis=1)
+                    near &= order < model["copies"]
+                r, c = np.nonzero(near)
+                picked.append(np.stack([r + at, c]))
+            row, found = np.concatenate(picked, axis=1)
+        columns = [rows.column(c).take(pa.array(row)) for c in ("cell", "vec_id", "v")]
+        return pa.table([columns[0], pa.array(found.astype(np.int32)), *columns[1:]], names=["cell", "list", "vec_id", "v"])
+
+    key = ["cell", "block"]
+    return dealt.groupBy(*key).cogroup(known.groupBy(*key)).applyInArrow(place, "cell int, list int, vec_id long, v array<double>")
