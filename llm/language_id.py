@@ -7,7 +7,8 @@ centroid nearest by cosine; it is marked ``rejected`` when it lies farther from
 centroid's own texts. The model has ``languages * clusters * DIMENSIONS`` numbers.
 
 Defined cases: null text, or text without a letter: ``und``, score 0, not rejected; no training text: ``und`` for all;
-an empty table gives no row; repeated rows are repeated; only the id, text and label columns are read.
+an empty table gives no row; repeated rows are repeated; very long texts are read whole, one at a time; of equally near
+centroids the first by (language, reach) counts; only the id, text and label columns are read, whatever others are called.
 """
 
 from __future__ import annotations

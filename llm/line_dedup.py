@@ -8,7 +8,8 @@ row after the count; its occurrences are dealt by (hash, salt).
 
 Defined cases: null or empty text is one empty line; an empty table gives no row; repeated rows count as one document
 and are all treated alike; rows with one id but other texts count as one document, each with its own lines; a line held
-only under a null id counts no document. Other columns are kept untouched by ``dedup_lines``, whatever their names.
+only under a null id counts no document. Very long texts are one row like others; a line held by several is kept in the largest id, so there
+are no ties. Other columns are kept untouched by ``dedup_lines``, whatever their names.
 """
 
 from __future__ import annotations

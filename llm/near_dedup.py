@@ -271,7 +271,15 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
 
 
 def keep_one(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs``, whole: of each group those with its least id; rows without id stay."""
+    """Rows of ``docs``, whole: of each group those with its least id, and of several rows with one id and text one (the first by
+    its other columns). Rows without id take part in no group; equal ones shrink to one."""
     groups = near_duplicates(docs, least, id_col, text_col)
-    out = groups.where("doc_id <> group_id").select(F.col("doc_id").alias("copy")).distinct()
-    return docs.join(out, docs[id_col] == out["copy"], "left_anti")
+    out = stored(groups.where("doc_id <> group_id").select(F.col("doc_id").alias("_copy")).distinct(), "op5-out")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    named = [F.col(f"`{id_col}`").cast("long").alias("_id"), F.md5(text.cast("binary")).alias("_text")]
+    twice = docs.groupBy(*named).agg(F.count("*").alias("n")).where("n > 1").select(F.col("_id").alias("_i"), F.col("_text").alias("_t"))
+    twice = stored(twice, "op5-twice")
+    kept = docs.select(F.struct("*").alias("_row"), *named).join(out, F.col("_id") == F.col("_copy"), "left_anti")
+    again = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_text") == F.col("_t"))
+    one = kept.join(twice, again, "left_semi").groupBy("_id", "_text").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
+    return kept.join(twice, again, "left_anti").select("_row.*").unionByName(one.select("_row.*"))

@@ -5,7 +5,9 @@ row per task, give every partition its global offset. The second cuts each docum
 a window boundary cuts carries ``cut_before`` / ``cut_after``.
 
 Defined cases: null or empty text is the end token alone; an empty table gives no piece; repeated rows are packed as
-often as they occur; null ids stay null; only the id and text columns are read. Only the last sequence is short.
+often as they occur; null ids stay null; very long texts are cut like others, one row in memory at a time; the order is that of
+the partitions' rows, so there are no ties; only the id and text columns are read, whatever others are called. Only the last
+sequence is short.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ the token table that it needs. Nothing is broadcast but the order-1 table (at mo
 
 Defined cases: null or empty text is the end symbol alone; an empty table gives no row; with no training text at all
 every symbol has probability 1/257 and the base is 0; repeated rows are scored as often as they occur and count that
-often in training; only the id and text columns are read.
+often in training; very long texts are worked on in batches of 2 MB or of one text; scores of equal texts are equal, so there
+are no ties; only the id and text columns are read, whatever others are called.
 """
 
 from __future__ import annotations

@@ -218,13 +218,14 @@ def predict(docs: DataFrame, model: dict | None, threshold: float = 0.3, id_col:
 
 def keep(docs: DataFrame, model: dict | None, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, whole, that score ``threshold`` or more."""
-    score, schema = scorer(model), docs.schema
+    score, text = scorer(model), f"c{docs.columns.index(text_col)}"
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names may hold dots
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in slices(batches, text_col):
+        for rows, texts in slices(batches, text):
             yield rows.filter(pa.array(score(texts) >= threshold))
 
-    return docs.mapInArrow(run, schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def trusted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:

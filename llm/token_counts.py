@@ -5,7 +5,8 @@ the front of its string are taken off, and the number of tokens taken off on the
 automaton never looks back. A character that no piece begins with counts as its UTF-8 bytes (byte fallback).
 
 Defined cases: null or empty text has no words and no tokens; an empty table gives no row; repeated rows are counted as
-often as they occur; only the id and text columns are read.
+often as they occur; very long texts are read in slices of about 2 MB or one text; there is nothing to tie; only the id and
+text columns are read, whatever others are called.
 """
 
 from __future__ import annotations
