@@ -1,20 +1,23 @@
 """Packed token-id output: best-fit-decreasing packing of whole documents into rows of ``window`` ids.
 
 Documents longer than a row are split into full rows and a rest, without loss. Best fit decreasing looks at lengths
-only, so the plan is made exactly, for the whole input, from the histogram of lengths (at most ``window`` numbers): from
+only, so a plan is made exactly from the histogram of lengths (at most ``window`` numbers): from
 the longest length down, as many pieces as there are rows with the least room that fits take their place together; a
 segment tree over the room left finds that room. The plan is a list of runs (length, first rank, first row, offset), and
-a piece finds its place by its rank among the pieces of its length. Ranks come from two passes: running counts within
-tasks, and sums per (task, length). Nothing but the histogram and the plan passes through the driver, whose size
-follows ``window``, not the data, and, where ids are kept, those sums: a row per task of the first pass and length. The id matrices are built where a file's sequences meet, in order, and stored.
+a piece finds its place by its rank among the pieces of its length.
 
-Defined cases: null or empty text is the end token alone; an empty table gives no rows; repeated rows are packed as often
-as they occur; only the id and text columns are read.
+``token_output`` plans group by group within the tasks that encode the texts, and writes the matrices there: no shuffle, no
+table that grows but one row a task. ``pack_best_fit`` plans the whole input at once and returns pieces: ranks come from two
+passes, running counts within tasks and sums per (task, length); only the histogram and the plan pass through the
+driver, whose size follows ``window``, not the data.
+
+Defined cases: null or empty text is the end token alone; very long texts are split as they are encoded; an empty table
+gives no rows; repeated rows are packed as often as they occur; pieces of equal length go in the order of their rows; only
+the id and text columns are read, whatever other columns are called.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import shared_folder, stored
+from llm.common import stored
 from llm.tokens import crc_of, default_tokenizer, encoder, slices
 
 #: Padded ids as unsigned 32-bit bytes, cumulative segment lengths, positions that start again at each segment; of each
@@ -32,6 +35,7 @@ MATRIX = (
     "sequence_id long, ids binary, segment_ends array<long>, positions array<int>,"
     " doc_ids array<long>, starts array<long>, ids_crc32 array<long>, doc_tokens array<long>"
 )
+ROWS_AT_ONCE = 256
 PIECE = "part int, doc_id long, start long, length int, ids_crc32 long, doc_tokens long, rank long"
 
 
@@ -146,8 +150,7 @@ def _placed(
     plan, sequences = best_fit_decreasing(histogram, window)
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = per_part.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    # Ids stay where they are: a second shuffle of them would cost more than a row per task and length on every executor.
-    ranked = pieces.join(F.broadcast(base) if with_ids else base, ["part", "length"]).withColumn("rank", F.col("rank") + F.col("base")).drop("part", "base")
+    ranked = pieces.join(base, ["part", "length"]).withColumn("rank", F.col("rank") + F.col("base")).drop("part", "base")
     begin = np.searchsorted(plan[:, 0], np.arange(window + 2))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,8 +176,8 @@ def matrices(pieces: DataFrame, window: int = 2048, pad: int = 0) -> DataFrame:
     return pieces.repartition("sequence_id").sortWithinPartitions("sequence_id", "offset").mapInArrow(_builder(window, pad), MATRIX)
 
 
-def _builder(window: int, pad: int):
-    """Sequences from pieces in order of sequence and offset; the last sequence of a batch waits for the next one."""
+def _build(window: int, pad: int):
+    """Turns pieces in order of sequence and offset into ``MATRIX`` rows."""
 
     def build(rows: pa.Table) -> pa.RecordBatch:
         sequence, length, offset = (rows.column(c).to_numpy() for c in ("sequence_id", "length", "offset"))
@@ -195,6 +198,13 @@ def _builder(window: int, pad: int):
             columns.append(pa.ListArray.from_arrays(pa.array(bounds), rows.column(name).combine_chunks()))
         return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in MATRIX.split(", ")])
 
+    return build
+
+
+def _builder(window: int, pad: int):
+    """Sequences from pieces in order of sequence and offset; the last sequence of a batch waits for the next one."""
+    build = _build(window, pad)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
         for batch in batches:
@@ -229,12 +239,81 @@ def write_matrices(
     rows.write.option("compression", "zstd").option("parquet.block.size", 8 << 20).parquet(path)
 
 
+def _packed(docs: DataFrame, path: str, eos: int, window: int, pad: int, group_tokens: int, id_col: str, text_col: str) -> DataFrame:
+    """``MATRIX`` rows numbered within the task (``part``, ``row``): a task packs its documents in groups of about
+    ``group_tokens`` tokens, each by a plan of its own."""
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    out = [x.split()[0] for x in MATRIX.split(", ")][1:]
+    build = _build(window, pad)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc, part = encoder(path), TaskContext.get().partitionId()
+        end, made, held, tokens = np.array([eos], "<u4").tobytes(), 0, [[] for _ in names], 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            nonlocal made
+            length = np.array(held[2], np.int64)
+            sequence, offset, rows = assigned(length, window)
+            order = np.lexsort((offset, sequence))
+            table = pa.table([pa.array(c, k) for c, k in zip(held, kinds, strict=True)], names=names).take(pa.array(order))
+            table = table.append_column("sequence_id", pa.array(sequence[order])).append_column("offset", pa.array(offset[order]))
+            cuts = np.searchsorted(sequence[order], np.arange(0, rows + ROWS_AT_ONCE, ROWS_AT_ONCE))
+            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                found = build(table.slice(lo, hi - lo))
+                row = pa.array(found.column("sequence_id").to_numpy() + made)
+                parts = pa.array(np.full(found.num_rows, part, np.int32))
+                yield pa.RecordBatch.from_arrays([parts, row, *(found.column(c) for c in out)], ["part", "row", *out])
+            made += rows
+            for column in held:
+                column.clear()
+
+        for batch, texts in slices(batches):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), enc.encode(texts), strict=True):
+                ids += end
+                total = len(ids) // 4
+                for start in range(0, total, window):
+                    length = min(window, total - start)
+                    values = [doc, start, length, crc_of(ids, start, length), total, ids[4 * start : 4 * (start + length)]]
+                    for column, value in zip(held, values, strict=True):
+                        column.append(value)
+                    tokens += length
+                    if tokens >= group_tokens:
+                        yield from close()
+                        tokens = 0
+        if held[0]:
+            yield from close()
+
+    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return chosen.mapInArrow(run, "part int, row long, " + MATRIX.split(", ", 1)[1])
+
+
+def assigned(length: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Sequence and offset of each piece, and the number of sequences, by best fit decreasing."""
+    sizes, times = np.unique(length, return_counts=True)
+    plan, rows = best_fit_decreasing(dict(zip(sizes.tolist(), times.tolist(), strict=True)), window)
+    order = np.argsort(length, kind="stable")
+    # The plan's runs cover the ranks of each length in order, as the sorted pieces do.
+    nth = np.arange(len(length)) - np.repeat(np.cumsum(plan[:, 2]) - plan[:, 2], plan[:, 2])
+    sequence, offset = np.empty(len(length), np.int64), np.empty(len(length), np.int64)
+    sequence[order] = np.repeat(plan[:, 3], plan[:, 2]) + nth
+    offset[order] = np.repeat(plan[:, 4], plan[:, 2])
+    return sequence, offset, rows
+
+
 def token_output(
     docs: DataFrame, window: int = 2048, eos: int = 1, pad: int = 0, tokenizer: str | None = None,
-    id_col: str = "doc_id", text_col: str = "text", rows_per_file: int = 4096,
+    id_col: str = "doc_id", text_col: str = "text", group_tokens: int = 4_000_000,
 ) -> DataFrame:
-    """``MATRIX`` rows of all documents, written to a new folder of the shared scratch space and read back."""
-    pieces, sequences = _placed(docs, window, eos, tokenizer, id_col, text_col, True)
-    path = f"{shared_folder(docs.sparkSession)}/op10-matrices-{uuid.uuid4().hex}"
-    write_matrices(pieces, path, rows_per_file, window, pad, sequences)
-    return docs.sparkSession.read.schema(MATRIX).parquet(path)
+    """``MATRIX`` rows of all documents, stored in a new folder of the shared scratch space and read back.
+
+    Texts are encoded, packed and written in one pass without a shuffle: what a task packs together is a group of
+    ``group_tokens`` tokens, whose last rows are all that a plan of the whole input could fill better. The files number
+    their rows by task; ids without gaps follow from the rows of each task, one line a task.
+    """
+    rows = stored(_packed(docs, tokenizer or default_tokenizer(), eos, window, pad, group_tokens, id_col, text_col), "op10-matrices", 8 << 20)
+    totals = rows.groupBy("part").agg(F.count("*").alias("n"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = totals.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    columns = [x.split()[0] for x in MATRIX.split(", ")][1:]
+    return rows.join(F.broadcast(base), "part").select((F.col("row") + F.col("base")).alias("sequence_id"), *columns)

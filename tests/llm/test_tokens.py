@@ -196,6 +196,13 @@ def test_token_output_query_gives_the_matrices_of_all_documents(spark, given, to
 def test_token_output_odd_rows(odd_docs, no_docs, tokenizer):
     want = {r["doc_id"]: expected(tokenizer, r["text"]) for r in odd_docs.collect()}
     copies = Counter(r["doc_id"] for r in odd_docs.collect())
-    for stored in (token_output.token_output(odd_docs, 64, rows_per_file=50), token_output.matrices(token_output.pack_best_fit(odd_docs, 64, with_ids=True), 64)):
+    for stored in (token_output.token_output(odd_docs, 64, group_tokens=5_000), token_output.matrices(token_output.pack_best_fit(odd_docs, 64, with_ids=True), 64)):
         check_matrices(stored.collect(), want, copies, 64)
     assert token_output.token_output(no_docs).count() == 0
+
+
+def test_groups_waste_little(spark, given, tokenizer):
+    sizes = {r["doc_id"]: len(expected(tokenizer, r["text"])) for r in given.collect()}
+    rows = token_output.token_output(given.coalesce(1), 512, group_tokens=20_000).count()
+    groups = sum(sizes.values()) // 20_000 + 1
+    assert rows <= sum(sizes.values()) / 512 * 1.02 + 2 * groups
