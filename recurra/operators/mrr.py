@@ -78,11 +78,13 @@ def spine_filled_mrr(events: DataFrame, settings: Settings) -> DataFrame:
     """One row per customer and month from the first event's to today's month.
 
     Each recorded month is carried forward up to the customer's next one: a look-ahead
-    and an explode per row, bounded by the months of the calendar, with no join.
+    and an explode per row, bounded by the months of the calendar, with no join. Few recorded
+    months become many rows, so their partitions are not merged beforehand.
     """
     w = Window.partitionBy("customer_id").orderBy("month_date")
     today = month_start(F.lit(settings.as_of))
-    known = customer_months(events).select("customer_id", "month_date", "ending_mrr")
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = customer_months(events).select("customer_id", "month_date", "ending_mrr").repartition(tasks, "customer_id")
     upto = F.coalesce(
         F.add_months(F.lead("month_date").over(w), -1), F.greatest(today, F.col("month_date"))
     )
