@@ -89,32 +89,37 @@ def to_extract(mart: DataFrame, table: str) -> DataFrame:
     )
 
 
-_WHOLE = r"^-?\d+$"
 _FRACTION = r"^-?\d*\.\d+$"
 _ISO_DAY = r"^\d{4}-\d{2}-\d{2}$"
+# What a cell can be; a column's kinds add up to a mask.
+BOOLEAN, WHOLE, FRACTION, DAY, TEXT = 1, 2, 4, 8, 16
+
+
+def cell_kind(v: Column) -> Column:
+    """Kind of one non-empty cell. The first character decides whether numbers and days are tried at all, and only cells with a
+    point or a dash inside meet a regular expression."""
+    number = F.substring(v, 1, 1).isin(*"0123456789-.")
+    digits = F.when(v.startswith("-"), F.substr(v, F.lit(2))).otherwise(v)
+    whole = (F.length(digits) > 0) & (F.length(F.translate(digits, "0123456789", "")) == 0)
+    return (
+        F.when(~number, F.when(F.lower(v).isin("true", "false"), BOOLEAN).otherwise(TEXT))
+        .when(whole, F.when(v.try_cast("bigint").isNotNull(), WHOLE).otherwise(FRACTION))
+        .when(v.contains("."), F.when(v.rlike(_FRACTION), FRACTION).otherwise(TEXT))
+        .when(v.rlike(_ISO_DAY) & F.try_to_date(v, "yyyy-MM-dd").isNotNull(), DAY)
+        .otherwise(TEXT)
+    )
 
 
 def profile_columns(df: DataFrame) -> dict[str, str]:
     """S6, first half: the narrowest type that every non-empty cell of each column fits.
 
-    One aggregate over all columns; a column of mixed kinds stays text. Whole numbers
+    One aggregate over all columns, one number a column; a column of mixed kinds stays text. Whole numbers
     mixed with fractions make a double.
     """
-    def every(c, test):
-        filled = F.col(c).isNotNull() & (F.col(c) != "")
-        return F.coalesce(F.min(F.when(filled, F.coalesce(test, F.lit(False)))), F.lit(False))
-
-    aggs = []
-    for c in df.columns:
-        v = F.col(c)
-        aggs += [
-            every(c, F.lower(v).isin("true", "false")).alias(f"{c}|boolean"),
-            every(c, v.rlike(_ISO_DAY) & F.try_to_date(v, "yyyy-MM-dd").isNotNull()).alias(f"{c}|date"),
-            every(c, v.rlike(_WHOLE) & v.try_cast("bigint").isNotNull()).alias(f"{c}|bigint"),
-            every(c, v.rlike(_WHOLE) | v.rlike(_FRACTION)).alias(f"{c}|double"),
-        ]
-    fits = df.agg(*aggs).first().asDict()
-    return {c: next((t for t in ("boolean", "date", "bigint", "double") if fits[f"{c}|{t}"]), "string") for c in df.columns}
+    kinds = [F.bit_or(F.when(F.col(f"`{c}`") != "", cell_kind(F.col(f"`{c}`")))).alias(f"k{i}") for i, c in enumerate(df.columns)]
+    masks = df.agg(*kinds).first()
+    named = {BOOLEAN: "boolean", DAY: "date", WHOLE: "bigint", FRACTION: "double", WHOLE | FRACTION: "double"}
+    return {c: named.get(mask, "string") for c, mask in zip(df.columns, masks, strict=True)}
 
 
 def coerce_columns(df: DataFrame, types: dict[str, str] | None = None) -> DataFrame:
