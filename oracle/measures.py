@@ -22,7 +22,7 @@ def measures(flow: str = "{}") -> str:
     cols = {
         "mrr": "mrr", "arr": "mrr * 12", "active_mrr": "act_mrr", "new_mrr": "nw", "expansion_mrr": "up",
         "contraction_mrr": "dn", "churned_mrr": "lo", "net_new_mrr": "nw + up - dn - lo", "gross_new_mrr": "nw + up",
-        "gross_lost_mrr": "dn + lo", "mrr_mom": growth, "mrr_annualised_growth": f"pow({growth} + 1, 12) - 1",
+        "gross_lost_mrr": "dn + lo", "mrr_mom": growth, "mrr_annualised_growth": " * ".join([f"(({growth} + 1) * ({growth} + 1) * ({growth} + 1))"] * 4) + " - 1",
         "beginning_mrr": "b", "net_revenue_retention": nrr, "gross_revenue_retention": ratio("b - dn - lo", "b"),
         "gross_mrr_churn": ratio("lo", "b"), "logo_churn": ratio("n_churn", "b_act"), "quick_ratio": ratio("nw + up", "dn + lo"),
         "arpc": ratio("act_mrr", "act"), "arpa_annual": ratio("act_mrr", "act") + " * 12",

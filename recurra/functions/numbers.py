@@ -86,7 +86,8 @@ def decay(days: Column, half_life: float = 7.0) -> Column:
 
 
 def annualised(growth: Column) -> Column:
-    return F.pow(growth + 1.0, F.lit(12.0)) - 1.0
+    quarter = (growth + 1.0) * (growth + 1.0) * (growth + 1.0)  # products give the same last digit everywhere, powers do not
+    return quarter * quarter * quarter * quarter - 1.0
 
 
 def money_label(c: Column) -> Column:
