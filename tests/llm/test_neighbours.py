@@ -43,22 +43,6 @@ def test_recall_and_exact_scores(spark, blocks, monkeypatch):
         assert [s for _, s in hits] == [score[v] for v, _ in hits] and len(hits) == 10
 
 
-def test_lists_follow_the_input(spark):
-    """Few cells for the sample, many lists within them: recall holds and queries see a part of the rows."""
-    rng = np.random.default_rng(4)
-    x = (rng.normal(size=(6000, 12)) + 3 * rng.normal(size=(30, 12))[rng.integers(0, 30, 6000)]).astype(np.float32).astype(float)
-    data = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>").repartition(3)
-    rows = neighbours.usable(data, "vec_id", "embedding")
-    model = neighbours.fit(rows, 10, 500, 8, 3, 1.03, 0.97)
-    posted = rows.mapInArrow(neighbours._assigner(model), neighbours.LISTED).cache()
-    sizes = posted.groupBy("cell").count().withColumnRenamed("count", "n")
-    subs = neighbours._subcentroids(posted, sizes, model, 50).collect()
-    assert sum(len(r["subs"]) // 8 // 13 for r in subs) >= 6000 / 200
-    got = found(neighbours.top_neighbours(data, F.col("vec_id") % 20 == 0, k=10, sample=500, list_size=50))
-    want = brute(np.arange(6000), x, np.arange(6000) % 20 == 0, 10)
-    assert recall(got, want) >= 0.9
-
-
 def test_equal_vectors_and_ties(spark):
     same = [0.6, 0.8, 0.0]
     rows = [(i, same) for i in range(300)] + [(300 + i, [0.0, 0.0, float(i + 1)]) for i in range(5)]
