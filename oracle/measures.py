@@ -337,8 +337,10 @@ _rate = pct("n", "cohort_size")
 _badret = f"(p = 0 AND {_rate} < 95) OR {_rate} NOT BETWEEN 0 AND 100 OR n NOT BETWEEN 0 AND cohort_size"
 q("t08_cohort_retention", f"SELECT {out('cohort_month=cohort:d; months_since_signup=p:n; cohort_size:n; active_customers=n:n; retention_rate=' + _rate + ':m')} FROM ret WHERE {_badret}")
 _badue = "paying > acquired OR churned > acquired OR least(cac, spend, payback) < 0 OR churn NOT BETWEEN 0 AND 1"
-q("t09_unit_economics", f"""SELECT 'rpt_unit_economics' AS "table", channel AS key, 'economics_valid' AS "check", 'real' AS origin FROM ue0 WHERE {_badue}
-UNION ALL SELECT 'rpt_unit_economics', 'made_' || channel, 'economics_valid', 'made' FROM (SELECT * REPLACE (-cac AS cac) FROM ue0 WHERE right(channel, 1) = 's') WHERE {_badue}""")
+_figures = """acquisition_channel=channel:s; customers_acquired=acquired:n; active_paying_customers=paying:n; churned_customers=churned:n; cac:m;
+total_acquisition_spend=spend:m; cac_payback_months=payback:m; observed_churn_rate=churn:m"""
+q("t09_unit_economics", f"""SELECT 'rpt_unit_economics' AS "table", channel AS key, 'economics_valid' AS "check", 'real' AS origin, {out(_figures)} FROM ue0 WHERE {_badue}
+UNION ALL SELECT 'rpt_unit_economics', channel, 'economics_valid', 'made', {out(_figures)} FROM (SELECT * REPLACE ('made_' || channel AS channel, -cac AS cac) FROM ue0 WHERE right(channel, 1) = 's') WHERE {_badue}""")
 _rest = [
     f"SELECT 'fct_mrr' AS \"table\", 'mrr_movements_balance' AS \"check\", 'ending_mrr' AS \"column\", count(*) AS failures FROM ({balance('fm', 'm')})",
     f"SELECT 'fct_mrr_filled', 'mrr_movements_balance', 'ending_mrr', count(*) FROM ({balance('fmf', 'm')})",

@@ -128,12 +128,15 @@ def bad_retention() -> Column:
     )
 
 
+ECONOMICS = [
+    "acquisition_channel", "customers_acquired", "active_paying_customers", "churned_customers", "cac",
+    "total_acquisition_spend", "cac_payback_months", "observed_churn_rate",
+]
+
+
 def invalid_economics(economics: DataFrame) -> DataFrame:
     """T9."""
-    return economics.where(bad_economics()).select(
-        "acquisition_channel", "customers_acquired", "active_paying_customers", "churned_customers", "cac",
-        "total_acquisition_spend", "cac_payback_months", "observed_churn_rate",
-    )
+    return economics.where(bad_economics()).select(*ECONOMICS)
 
 
 def bad_economics() -> Column:
@@ -318,8 +321,10 @@ def beside(real: DataFrame, made: DataFrame) -> DataFrame:
     return real.withColumn("origin", F.lit("real")).unionByName(made.withColumn("origin", F.lit("made")))
 
 
-def _quarantined(bad: DataFrame, table: str, key: str, check: str) -> DataFrame:
-    return bad.select(F.lit(table).alias("table"), F.col(key).cast("string").alias("key"), F.lit(check).alias("check"), "origin")
+def _quarantined(bad: DataFrame, table: str, key: str, check: str, figures: list[str] | None = None) -> DataFrame:
+    return bad.select(
+        F.lit(table).alias("table"), F.col(key).cast("string").alias("key"), F.lit(check).alias("check"), "origin", *(figures or [])
+    )
 
 
 def quarantine_missing(t: Callable[[str], DataFrame], ending: str = "7") -> DataFrame:
@@ -367,8 +372,9 @@ def quarantine_scores(risk: DataFrame, ending: str = "4", by: int = 60) -> DataF
 
 
 def quarantine_economics(economics: DataFrame, ending: str = "s") -> DataFrame:
-    """Impossible channel figures. Made rows are copies whose acquisition cost has the wrong sign."""
+    """Impossible channel figures, with all that the check looks at. Made rows are copies whose acquisition cost has the wrong sign."""
     made = economics.where(F.col("acquisition_channel").endswith(ending)).withColumns(
         {"acquisition_channel": F.concat(F.lit("made_"), "acquisition_channel"), "cac": -F.col("cac")}
     )
-    return _quarantined(beside(economics, made).where(bad_economics()), "rpt_unit_economics", "acquisition_channel", "economics_valid")
+    bad = beside(economics, made).where(bad_economics())
+    return _quarantined(bad, "rpt_unit_economics", "acquisition_channel", "economics_valid", ECONOMICS)

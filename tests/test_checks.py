@@ -130,3 +130,12 @@ def test_sixty_column_checks_are_declared():
     required = sum(len(checks.required(t)) for t in checks.TABLES)
     accepted = sum(len(v) for v in checks.ACCEPTED.values())
     assert (uniques, required, accepted, len(checks.RELATIONSHIPS)) == (20, 31, 8, 1)
+
+
+def test_quarantined_economics_keep_their_figures(spark):
+    names = "acquisition_channel string, customers_acquired long, active_paying_customers long, churned_customers long, cac double, total_acquisition_spend double, cac_payback_months double, observed_churn_rate double"
+    table = spark.createDataFrame([("ads", 4, 2, 1, 85.0, 340.0, 3.0, 0.25), ("referral", 4, 5, 1, 25.0, 100.0, None, 0.25)], names)
+    assert rows(checks.quarantine_economics(table)) == [
+        ("rpt_unit_economics", "made_ads", "economics_valid", "made", "made_ads", 4, 2, 1, -85.0, 340.0, 3.0, 0.25),
+        ("rpt_unit_economics", "referral", "economics_valid", "real", "referral", 4, 5, 1, 25.0, 100.0, None, 0.25),
+    ]
