@@ -95,17 +95,25 @@ def _local(df: DataFrame, s: Steps) -> DataFrame:
     return rows
 
 
+def _shared(arranged: DataFrame, s: Steps) -> DataFrame:
+    """(part, key) of the keys that lie in several parts: at most two rows per part, its first and its last key."""
+    key = F.struct(s.key)
+    ends = arranged.groupBy(F.col(PART).alias("_in")).agg(F.min(key).alias("_a"), F.max(key).alias("_b"))
+    ends = ends.select("_in", F.explode(F.array_distinct(F.array("_a", "_b"))).alias("_of")).select("_in", F.col(f"_of.{s.key}").alias("_of"))
+    return ends.withColumn("_parts", F.count(F.lit(1)).over(Window.partitionBy("_of"))).where("_parts > 1").select("_in", "_of")
+
+
 def carries(arranged: DataFrame, s: Steps) -> DataFrame:
-    """One row per part that shares a key with another part: ``_carry`` lists, for its first and last key, what lies beyond."""
-    inside = Window.partitionBy(PART).orderBy(s.key, *s.order)
-    rows = _local(arranged, s).withColumns(
-        {"_head": F.row_number().over(inside) == 1, "_tail": F.lead(F.lit(1)).over(inside).isNull()}
-    )
+    """One row per part that shares a key with another part: ``_carry`` lists, for its first and last key, what lies beyond.
+
+    Only rows of keys that lie in several parts are shuffled.
+    """
+    rows = _local(arranged.join(F.broadcast(_shared(arranged, s)), (F.col(PART) == F.col("_in")) & F.col(s.key).eqNullSafe(F.col("_of")), "left_semi"), s)
     seen = [F.col(c) for c in sorted({*s.looked_at, *s.ahead})] or [F.lit(1).alias("one")]
     same = [*(f"_total_{n}" for n in s.total), *(f"_first_{n}" for n in s.first), *(f"_last_{n}" for n in s.last), *(f"_all_{n}" for n in s.running)]
-    segments = rows.where("_head OR _tail").groupBy(PART, s.key).agg(
-        F.max("_size").alias("_size"), F.max(F.when(F.col("_head"), F.struct(*seen))).alias("_begin"),
-        F.max(F.when(F.col("_tail"), F.struct(*seen))).alias("_end"), *[F.max(c).alias(c) for c in same],
+    segments = rows.groupBy(PART, s.key).agg(
+        F.max("_size").alias("_size"), F.max(F.when(F.col("_n") == 1, F.struct(*seen))).alias("_begin"),
+        F.max(F.when(F.col("_n") == F.col("_size"), F.struct(*seen))).alias("_end"), *[F.max(c).alias(c) for c in same],
     )
     every = Window.partitionBy(s.key)
     seq = every.orderBy(PART)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from core_helpers import rows
 from recurra.operators import plan_history
-from recurra.operators.timeline import PART, Steps, arrange, carries, sequence
+from recurra.operators.timeline import PART, Steps, _shared, arrange, carries, sequence
 from recurra.sources.testbed import Testbed
 
 SF = "/root/testdata/sf0.001"
@@ -129,3 +129,14 @@ def test_plan_history_numbers_subscriptions(spark, tmp_path, part_rows):
     assert rows(numbered, "state_id", "subscription_no") == rows(plain_, "state_id", "subscription_no")
     same = plan_history.number_subscriptions(states, "custkey")
     assert rows(numbered, *same.columns) == rows(same)
+
+
+@pytest.mark.parametrize("same_instant", [False, True])
+def test_carries_gather_only_keys_of_several_parts(spark, tmp_path, same_instant):
+    df = arranged(skewed(spark, same_instant=same_instant), tmp_path)
+    parts = {}
+    for r in df.select(PART, "key").distinct().collect():
+        parts.setdefault(r["key"], set()).add(r[PART])
+    many = sorted(((p, k) for k, ps in parts.items() if len(ps) > 1 for p in ps), key=str)
+    assert sorted(((r["_in"], r["_of"]) for r in _shared(df, STEPS).collect()), key=str) == many
+    assert "LeftSemi" in carries(df, STEPS)._jdf.queryExecution().executedPlan().toString()
