@@ -60,7 +60,7 @@ def customer_subscription_history(
 
 
 def fct_subscription_events(history: DataFrame, channels: DataFrame) -> DataFrame:
-    """The history with its acquisition channel, buckets and calendar parts."""
+    """The history with its acquisition channel, buckets and calendar parts; a month it was dealt by stays."""
     channel = channels.select(
         F.col("channel_id").alias("acquisition_channel_id"),
         F.col("channel_name").alias("acquisition_channel"),
@@ -88,4 +88,5 @@ def fct_subscription_events(history: DataFrame, channels: DataFrame) -> DataFram
         weekday_name(on).alias("event_day_of_week"),
         month_key(signup).alias("signup_cohort_month"),
         quarter_key(signup).alias("signup_cohort_quarter"),
+        *[c for c in history.columns if c == "month_key_part"],
     )

@@ -19,7 +19,7 @@ from recurra.operators import (
 )
 from recurra.settings import Settings
 from recurra.sources import lookups
-from recurra.sources.io import scratch, write_ledger, write_mart
+from recurra.sources.io import by_month, scratch, write_ledger, write_mart
 from recurra.sources.schemas import RAW
 
 LAYERS = {
@@ -33,8 +33,9 @@ LAYERS = {
         "int_customer_subscription_history", "int_mrr_movements", "int_attribution_touchpoints",
         "int_spine_filled_mrr",
     ],
+    # The customer dimension first: it stores the payments, whose latest time every mart's line in the ledger needs.
     "marts": [
-        "fct_mrr", "fct_mrr_filled", "fct_subscription_events", "dim_customers", "dim_subscriptions",
+        "dim_customers", "fct_mrr", "fct_mrr_filled", "fct_subscription_events", "dim_subscriptions",
         "rpt_cohort_retention", "rpt_unit_economics", "rpt_churn_risk",
     ],
 }
@@ -88,15 +89,19 @@ class Warehouse:
         return self.spark.read.parquet(path)
 
     def data_as_of(self) -> dt.datetime | None:
-        """The latest time that the raw facts hold."""
+        """The latest time that the raw facts hold. A fact that no table needed so far is read by its time column and not stored."""
         if self._data_as_of is None:
             latest = [
-                self.table(f"stg_{entity}").agg(F.max(c)).first()[0]
+                self._staged(entity).agg(F.max(c)).first()[0]
                 for entity, c in (("subscription_events", "event_at"), ("payments", "created_at"), ("marketing_touches", "touched_at"))
             ]
             self._data_as_of = max((x for x in latest if x is not None), default=None)
         return self._data_as_of
 
+    def _staged(self, entity: str) -> DataFrame:
+        raw = self._kept.get(f"raw_{entity}")
+        return getattr(staging, f"stg_{entity}")(self.raw(entity) if raw is None else raw, self.settings)
+
     def ledger(self) -> DataFrame:
         """One row per stored mart: rows, fingerprint, and the latest time of the facts it was made from."""
         self.run_layer("marts")
@@ -142,7 +147,10 @@ class Warehouse:
         if name == "fct_mrr_filled":
             return mrr.fct_mrr_filled(t("int_mrr_movements"), s)
         if name == "fct_subscription_events":
-            return lifecycle.fct_subscription_events(t("int_customer_subscription_history"), channels)
+            history = t("int_customer_subscription_history")
+            if self.folder is not None and t == self.table:
+                history = by_month(history, BY_MONTH[name])  # before its rows grow by a half
+            return lifecycle.fct_subscription_events(history, channels)
         if name == "dim_customers":
             return customers.dim_customers(
                 stg("customers"), stg("subscriptions"), stg("subscription_events"), stg("payments"), channels,

@@ -37,14 +37,19 @@ def read_seed(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.csv(path, schema=SEEDS[name], header=True, quote='"', escape='"', enforceSchema=False)
 
 
+def by_month(df: DataFrame, date: str) -> DataFrame:
+    """Rows dealt by the month of ``date``, which ``write_mart`` then finds in ``month_key_part``."""
+    return df.withColumn("month_key_part", month_key(F.col(date))).hint("rebalance", F.col("month_key_part"))
+
+
 def write_mart(
     df: DataFrame, path: str, mode: str = "overwrite", month_of: str | None = None, watch: dict[str, Column] | None = None,
     columns: list[str] | None = None,
 ) -> dict[str, int]:
     """S3: write a mart as parquet, by month folder when ``month_of`` names a date column.
 
-    Rows are rebalanced by month first: few tasks write each folder, and adaptive
-    execution cuts a heavy month into several files and joins light ones. ``watch``
+    Rows are rebalanced by month first, unless ``by_month`` did so before the wide columns were made: few tasks write each folder,
+    and adaptive execution cuts a heavy month into several files and joins light ones. ``watch``
     holds aggregates that are gathered from the rows as they pass (and returned);
     ``columns`` says which columns are written after that.
     """
@@ -55,8 +60,8 @@ def write_mart(
     if month_of is None:
         df.write.mode(mode).parquet(path)
     else:
-        keyed = df.withColumn("month_key_part", month_key(F.col(month_of)))
-        keyed.hint("rebalance", F.col("month_key_part")).write.mode(mode).partitionBy("month_key_part").parquet(path)
+        dealt = df if "month_key_part" in df.columns else by_month(df, month_of)
+        dealt.write.mode(mode).partitionBy("month_key_part").parquet(path)
     return dict(seen.get) if watch else {}
 
 

@@ -41,6 +41,11 @@ def _stamp(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
 
 
+def _day(ts: Column) -> Column:
+    """The day of a stamp, cut from its text: a time whose stamp is also written is formatted once."""
+    return F.substring_index(_stamp(ts), " ", 1)
+
+
 class Testbed:
     """Reads the given tables under ``path`` and maps them to the five raw entities.
 
@@ -150,8 +155,8 @@ class Testbed:
             F.upper("status").alias("status"),
             F.when(F.col("custkey") % 10 < 3, "annual").otherwise("monthly").alias("billing_cycle"),
             F.col("mrr").cast("string").alias("mrr"),
-            F.date_format("started_at", "yyyy-MM-dd").alias("start_date"),
-            F.date_format("ended_at", "yyyy-MM-dd").alias("end_date"),
+            _day(F.col("started_at")).alias("start_date"),
+            _day(F.col("ended_at")).alias("end_date"),
             _stamp(F.col("started_at")).alias("created_at"),
             _stamp(F.col("last_event_at")).alias("updated_at"),
         )
@@ -174,7 +179,7 @@ class Testbed:
             F.concat(F.lit("cust_"), F.col("custkey").cast("string")).alias("customer_id"),
             F.col("amount").cast("string").alias("amount"),
             F.lit("usd").alias("currency"),
-            F.date_format("paid_at", "yyyy-MM-dd").alias("payment_date"),
+            _day(F.col("paid_at")).alias("payment_date"),
             method.alias("payment_method"),
             F.when((F.col("l_linenumber") == 1) & (F.col("flag") == "R"), "failed")
             .otherwise("succeeded")
